@@ -227,3 +227,13 @@ def run_transform(raw: dict[str, DataFrame]) -> dict[str, tuple[DataFrame, DataF
 
 def clean_tables(raw: dict[str, DataFrame]) -> dict[str, DataFrame]:
     return {name: pair[0] for name, pair in run_transform(raw).items()}
+
+
+def typed_table(raw: DataFrame, name: str) -> DataFrame:
+    """A raw table typed the way its cleaning step types it, before anything is
+    quarantined or de-duplicated (what the data-quality study looks at)."""
+    if name == "geolocation":
+        return type_geolocation(raw)
+    overrides = {"customers": {"customer_zip_code_prefix": zfill("customer_zip_code_prefix")},
+                 "sellers": {"seller_zip_code_prefix": zfill("seller_zip_code_prefix")}}.get(name)
+    return raw.select(*typed_exprs(raw, name, overrides))

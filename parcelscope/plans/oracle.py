@@ -50,8 +50,41 @@ o_rejected AS (
 items AS (
   SELECT CAST(l_orderkey AS VARCHAR) AS order_id, l_linenumber AS order_item_id,
          CAST(l_partkey AS VARCHAR) AS product_id, CAST(l_suppkey AS VARCHAR) AS seller_id,
+         l_shipdate AS shipping_limit_date,
          l_extendedprice AS price, CAST(l_quantity AS DOUBLE) * 0.25 AS freight_value
   FROM lineitem),
+o_typed AS (SELECT * EXCLUDE (cba, cbc) FROM o_all),
+pay AS (
+  SELECT CAST(o_orderkey AS VARCHAR) AS order_id, 1 AS payment_sequential,
+         CASE o_orderkey % 4 WHEN 0 THEN 'credit_card' WHEN 1 THEN 'boleto' WHEN 2 THEN 'voucher'
+                             ELSE 'debit_card' END AS payment_type,
+         CAST(CASE WHEN o_orderkey % 71 = 0 THEN 0 ELSE 1 + o_orderkey % 12 END AS INTEGER) AS payment_installments,
+         CASE WHEN o_orderkey % 83 = 0 THEN CAST(0 AS DOUBLE) ELSE o_totalprice END AS payment_value
+  FROM orders),
+mql_t AS (
+  SELECT 'mql_' || CAST(s_suppkey AS VARCHAR) AS mql_id,
+         printf('2018-%02d-%02d', 1 + s_suppkey % 12, 1 + s_suppkey % 28) AS first_contact_date,
+         'lp_' || CAST(s_suppkey % 7 AS VARCHAR) AS landing_page_id,
+         CASE WHEN s_suppkey % 40 = 0 THEN ''
+              ELSE CASE s_suppkey % 5 WHEN 0 THEN 'organic_search' WHEN 1 THEN 'paid_search' WHEN 2 THEN 'social'
+                                      WHEN 3 THEN 'email' ELSE 'direct_traffic' END END AS origin
+  FROM supplier),
+deals AS (
+  SELECT 'mql_' || CAST(s_suppkey AS VARCHAR) AS mql_id, CAST(s_suppkey AS VARCHAR) AS seller_id,
+         'sdr_' || CAST(s_suppkey % 4 AS VARCHAR) AS sdr_id, 'sr_' || CAST(s_suppkey % 6 AS VARCHAR) AS sr_id,
+         printf('2018-%02d-%02d 00:00:00', 1 + s_suppkey % 12, 1 + s_suppkey % 28) AS won_date,
+         CASE s_suppkey % 4 WHEN 0 THEN 'home_decor' WHEN 1 THEN 'health_beauty' WHEN 2 THEN 'car_accessories'
+                            ELSE 'computers' END AS business_segment,
+         CASE s_suppkey % 3 WHEN 0 THEN 'online_medium' WHEN 1 THEN 'online_big' ELSE 'industry' END AS lead_type,
+         CASE WHEN s_suppkey % 5 = 0 THEN '' ELSE 'cat' END AS lead_behaviour_profile,
+         CASE WHEN s_suppkey % 2 = 0 THEN '' ELSE 'True' END AS has_company,
+         CASE WHEN s_suppkey % 2 = 0 THEN '' ELSE 'False' END AS has_gtin,
+         CASE WHEN s_suppkey % 4 = 0 THEN '' ELSE '5-20' END AS average_stock,
+         CASE WHEN s_suppkey % 7 = 0 THEN 'manufacturer' ELSE 'reseller' END AS business_type,
+         CASE WHEN s_suppkey % 2 = 0 THEN NULL ELSE CAST(s_suppkey % 200 AS DOUBLE) END
+           AS declared_product_catalog_size,
+         CAST((s_suppkey % 10) * 1000 AS DOUBLE) AS declared_monthly_revenue
+  FROM supplier WHERE s_suppkey % 3 = 0),
 cust AS (
   SELECT CAST(c_custkey AS VARCHAR) AS customer_id, c_name AS customer_unique_id,
          lpad(CAST(c_custkey % 10000 AS VARCHAR), 5, '0') AS customer_zip_code_prefix,
@@ -80,13 +113,23 @@ ct AS (
   SELECT DISTINCT p_brand AS product_category_name,
          replace(p_brand, 'Brand#', 'brand_') AS product_category_name_english
   FROM part WHERE p_brand NOT IN ('Brand#3', 'Brand#7')),
-rev AS (
-  SELECT 'rv' || CAST(k AS VARCHAR) AS review_id, CAST(k AS VARCHAR) AS order_id,
-         CASE WHEN k % 43 = 0 THEN NULL ELSE CAST(1 + (k * 7) % 5 AS INTEGER) END AS review_score
-  FROM (SELECT o_orderkey AS k FROM orders) WHERE k % 11 <> 0
+rev_k AS (SELECT o_orderkey AS k, o_orderdate + to_seconds((o_orderkey * 7919) % 86400) AS purchase FROM orders),
+rev_1 AS (
+  SELECT 'rv' || CAST(k AS VARCHAR) AS review_id, k,
+         CASE WHEN k % 43 = 0 THEN NULL ELSE CAST(1 + (k * 7) % 5 AS INTEGER) END AS review_score,
+         purchase + to_seconds(86400 * (10 + k % 15)) AS created
+  FROM rev_k WHERE k % 11 <> 0
   UNION ALL
-  SELECT 'rw' || CAST(k AS VARCHAR), CAST(k AS VARCHAR), CAST(1 + (k * 3) % 5 AS INTEGER)
-  FROM (SELECT o_orderkey AS k FROM orders) WHERE k % 37 = 0),
+  SELECT 'rw' || CAST(k AS VARCHAR), k, CAST(1 + (k * 3) % 5 AS INTEGER),
+         purchase + to_seconds(86400 * (20 + k % 9))
+  FROM rev_k WHERE k % 37 = 0),
+rev AS (
+  SELECT review_id, CAST(k AS VARCHAR) AS order_id, review_score,
+         CASE WHEN k % 5 = 0 THEN 'titulo' ELSE '' END AS review_comment_title,
+         CASE WHEN k % 3 = 0 THEN 'comentario ' || CAST(k AS VARCHAR) ELSE '' END AS review_comment_message,
+         date_trunc('day', created) AS review_creation_date,
+         created + to_seconds(3600 * (k % 72)) AS review_answer_timestamp
+  FROM rev_1),
 geo_raw AS (
   SELECT c_custkey AS c, c_nationkey FROM customer
   UNION ALL
@@ -317,3 +360,164 @@ def finish(q: dict[str, str]) -> dict[str, str]:
         else:
             out[k] = with_base(s)
     return out
+
+
+# --- cleaning outputs and data-quality profiles ------------------------------------------
+
+def _union(parts: list[str]) -> str:
+    return "\nUNION ALL\n".join(parts)
+
+
+# canonical table -> (clean CTE, typed-before-quarantine CTE, raw row-count source)
+CTE = {
+    "orders": ("o_clean", "o_typed", "orders"),
+    "order_items": ("items", "items", "lineitem"),
+    "sellers": ("sell", "sell", "supplier"),
+    "customers": ("cust", "cust", "customer"),
+    "geolocation": ("geo_clean", "geo_typed", "geo_raw"),
+    "order_reviews": ("rev", "rev", "rev"),
+    "products": ("prod", "prod", "part"),
+    "category_translation": ("ct", "ct", "ct"),
+    "order_payments": ("pay", "pay", "orders"),
+    "closed_deals": ("deals", "deals", "deals"),
+    "mql": ("mql_t", "mql_t", "supplier"),
+}
+REJECTED_CTE = {"orders": "o_rejected", "geolocation": "geo_rejected"}
+
+
+def _is_null(col: str, is_text: bool) -> str:
+    return f"({col} IS NULL OR {col} = '')" if is_text else f"{col} IS NULL"
+
+
+def _as_null(col: str, is_text: bool) -> str:
+    return f"nullif({col}, '')" if is_text else col
+
+
+def check_sql(schemas) -> dict[str, str]:
+    from pyspark.sql import types as T
+
+    def text_cols(name):
+        return [(f.name, isinstance(f.dataType, T.StringType)) for f in schemas[name].fields]
+
+    q: dict[str, str] = {}
+    for name, (clean, _, _) in CTE.items():
+        q[f"clean_{name}"] = f"SELECT * FROM {clean}"
+    for name, rej in REJECTED_CTE.items():
+        q[f"{name}_rejected"] = f"SELECT * FROM {rej}"
+
+    audit = []
+    for name, (clean, _, src) in CTE.items():
+        rej = REJECTED_CTE.get(name)
+        rej_n = f"(SELECT count(*) FROM {rej})" if rej else "CAST(0 AS BIGINT)"
+        audit.append(f"SELECT '{name}' AS table_name, (SELECT count(*) FROM {src}) AS rows_before, "
+                     f"(SELECT count(*) FROM {clean}) AS rows_after, {rej_n} AS rows_rejected")
+    q["etl_audit"] = f"""
+, a AS ({_union(audit)})
+SELECT table_name, rows_before, rows_after, rows_rejected, rows_before - rows_after AS rows_dropped,
+       CASE WHEN rows_before > 0
+            THEN round(CAST(rows_before - rows_after AS DOUBLE) * 100.0 / CAST(rows_before AS DOUBLE), 2)
+            ELSE 0.0 END AS dropped_pct
+FROM a"""
+
+    q["e01_profile_tables"] = _union([
+        f"SELECT '{name}' AS table_name, count(*) AS n_rows, {len(schemas[name].fields)} AS n_cols FROM {typed}"
+        for name, (_, typed, _) in CTE.items()])
+    q["e03_profile_length"] = _union([
+        "SELECT 'customers' AS table_name, 'customer_zip_code_prefix' AS column_name, "
+        "CAST(min(length(z)) AS INTEGER) AS min_length, CAST(max(length(z)) AS INTEGER) AS max_length "
+        "FROM (SELECT CAST(c_custkey % 10000 AS VARCHAR) AS z FROM customer)",
+        "SELECT 'geolocation', 'geolocation_zip_code_prefix', CAST(min(length(z)) AS INTEGER), "
+        "CAST(max(length(z)) AS INTEGER) FROM (SELECT CAST(c % 30 AS VARCHAR) AS z FROM geo_raw)"])
+    q["e04_distinct_review_scores"] = "SELECT DISTINCT review_score FROM rev"
+
+    nulls = []
+    for name in NULL_PROFILE_TABLES:
+        typed = CTE[name][1]
+        for col, is_text in text_cols(name):
+            cond = _is_null(col, is_text)
+            nulls.append(
+                f"SELECT '{name}' AS table_name, '{col}' AS column_name, "
+                f"count(*) FILTER (WHERE {cond}) AS null_count, "
+                f"round(coalesce(CAST(count(*) FILTER (WHERE {cond}) AS DOUBLE) * 100.0 "
+                f"/ CAST(count(*) AS DOUBLE), 0.0), 2) AS null_pct FROM {typed}")
+    q["e05_profile_nulls"] = _union(nulls)
+    q["e06_profile_nulls_ranked"] = f", n AS ({_union(nulls)}) SELECT * FROM n WHERE null_count > 0"
+    q["e07_nulls_by_status"] = f"""
+SELECT nullif(order_status, '') AS order_status,
+       count(*) FILTER (WHERE {A} IS NULL) AS {A}_nulls,
+       count(*) FILTER (WHERE {C} IS NULL) AS {C}_nulls,
+       count(*) FILTER (WHERE {CU} IS NULL) AS {CU}_nulls
+FROM o_typed GROUP BY 1"""
+    q["e08_missing_category_rows"] = """
+SELECT product_id, CAST(NULL AS VARCHAR) AS product_category_name, product_name_lenght,
+       product_description_lenght, product_photos_qty, product_weight_g, product_height_cm, product_width_cm
+FROM prod WHERE product_category_name = ''"""
+    q["e08_missing_weight_rows"] = """
+SELECT product_id, nullif(product_category_name, '') AS product_category_name, product_weight_g,
+       product_height_cm, product_width_cm
+FROM prod WHERE product_weight_g IS NULL"""
+    q["e09_missing_impact"] = """
+SELECT count(*) AS fact_rows FROM items
+WHERE product_id IN (SELECT product_id FROM prod WHERE product_category_name = '')"""
+
+    deal_cols = [(c, t) for c, t in text_cols("closed_deals") if c in VALUE_COUNT_DEAL_COLS]
+    q["e11_value_counts_deals"] = _union([
+        f"SELECT '{c}' AS column_name, CAST({_as_null(c, t)} AS VARCHAR) AS value, count(*) AS count "
+        f"FROM deals GROUP BY 2" for c, t in deal_cols])
+    q["e11_value_counts_origin"] = (
+        "SELECT 'origin' AS column_name, nullif(origin, '') AS value, count(*) AS count FROM mql_t GROUP BY 2")
+
+    q["e12_duplicate_census"] = _union([
+        f"SELECT '{name}' AS table_name, (SELECT count(*) FROM {CTE[name][1]}) AS total_rows, "
+        f"(SELECT count(*) FROM (SELECT DISTINCT * FROM {CTE[name][1]})) AS distinct_rows, "
+        f"(SELECT count(*) FROM {CTE[name][1]}) - (SELECT count(*) FROM (SELECT DISTINCT * FROM {CTE[name][1]})) "
+        f"AS duplicate_rows" for name in CENSUS_TABLES])
+    gcols = [c for c, _ in text_cols("geolocation")]
+    q["e13_duplicate_groups"] = f"""
+SELECT {', '.join(gcols)}, count(*) AS count FROM geo_typed
+GROUP BY ALL HAVING count(*) > 1
+ORDER BY count DESC, {', '.join(c + ' NULLS FIRST' for c in gcols)} LIMIT 20"""
+
+    def rule(table: str, cte: str, name: str, pred: str) -> str:
+        return (f"SELECT '{table}' AS table_name, '{name}' AS rule, "
+                f"count(*) FILTER (WHERE coalesce({pred}, false)) AS violations FROM {cte}")
+    q["e14_range_checks"] = _union([
+        rule("order_items", "items", "price_or_freight", "price <= 0 OR freight_value < 0"),
+        rule("order_payments", "pay", "value_or_installments", "payment_value <= 0 OR payment_installments <= 0"),
+        rule("products", "prod", "weight_or_dimensions",
+             "product_weight_g <= 0 OR product_length_cm <= 0 OR product_height_cm <= 0 OR product_width_cm <= 0"),
+        rule("geolocation", "geo_typed", "outside_box",
+             "geolocation_lat < -35 OR geolocation_lat > 5 OR geolocation_lng < -75 OR geolocation_lng > -30"),
+        rule("order_reviews", "rev", "score_out_of_range", "review_score < 1 OR review_score > 5"),
+    ])
+    q["e19_order_violations"] = f"""
+SELECT count(*) FILTER (WHERE {A} < {P}) AS approved_before_purchase,
+       count(*) FILTER (WHERE {C} < {A}) AS carrier_before_approved,
+       count(*) FILTER (WHERE {CU} < {C}) AS customer_before_carrier
+FROM o_typed"""
+    gap = f"(SELECT order_status, date_diff('second', {C}, {A}) AS s FROM o_typed WHERE {C} < {A})"
+    q["e20_violation_gap_stats"] = f"""
+SELECT min(s) AS min_seconds, max(s) AS max_seconds, avg(s) AS avg_seconds FROM {gap}"""
+    q["e21_violations_by_status"] = f"SELECT order_status, count(*) AS count FROM {gap} GROUP BY 1"
+    q["e22_violation_gap_buckets"] = f"""
+SELECT count(s) AS total, count(*) FILTER (WHERE s < 300) AS under_5_min,
+       count(*) FILTER (WHERE s BETWEEN 300 AND 3600) AS from_5_min_to_1_hour,
+       count(*) FILTER (WHERE s BETWEEN 3600 AND 86400) AS from_1_hour_to_1_day,
+       count(*) FILTER (WHERE s > 86400) AS over_1_day
+FROM {gap}"""
+    q["e23_dist_status"] = "SELECT nullif(order_status, '') AS order_status, count(*) AS count FROM o_typed GROUP BY 1"
+    q["e24_dist_seller_state"] = ("SELECT nullif(seller_state, '') AS seller_state, count(*) AS count FROM sell "
+                                  "GROUP BY 1 ORDER BY count DESC, seller_state NULLS FIRST LIMIT 10")
+    q["e25_dist_customer_state"] = ("SELECT nullif(customer_state, '') AS customer_state, count(*) AS count FROM cust "
+                                    "GROUP BY 1 ORDER BY count DESC, customer_state NULLS FIRST LIMIT 10")
+    q["e26_items_per_order"] = """
+SELECT min(n) AS min_items, max(n) AS max_items, avg(n) AS avg_items
+FROM (SELECT order_id, count(*) AS n FROM items GROUP BY order_id)"""
+    q["e27_dist_review_score"] = "SELECT review_score, count(*) AS count FROM rev GROUP BY 1"
+    return q
+
+
+NULL_PROFILE_TABLES = ("orders", "order_reviews", "products", "closed_deals", "mql")
+CENSUS_TABLES = ("orders", "order_items", "customers", "geolocation", "order_reviews", "products", "order_payments")
+VALUE_COUNT_DEAL_COLS = ("business_segment", "lead_type", "lead_behaviour_profile", "has_company", "has_gtin",
+                         "average_stock", "business_type", "declared_product_catalog_size")

@@ -19,9 +19,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..operators.clean import TRANSFORMS
+from ..operators import quality as Q
+from ..operators.clean import TRANSFORMS, typed_table
+from ..schema import SCHEMAS, TABLES
 from ..session import pin_utc
 from ..sources.adapter import raw_table
+from ..sources.zones import etl_audit
 from . import metrics as M
 from . import oracle
 
@@ -64,6 +67,14 @@ class Lake:
     def tables(self, *names: str) -> dict[str, DataFrame]:
         return {n: self.clean(n) for n in names}
 
+    def typed(self, name: str) -> DataFrame:
+        """Typed but not yet quarantined or de-duplicated."""
+        return typed_table(self.raw(name), name)
+
+    def profiled(self, name: str) -> DataFrame:
+        """Typed, with ``''`` read as NULL (how the study's CSV reader saw the data)."""
+        return Q.empty_as_null(self.typed(name))
+
 
 def ntz(df: DataFrame) -> DataFrame:
     """Timestamps as wall-clock values, independent of the reader's time zone."""
@@ -129,9 +140,99 @@ def metric_oracles() -> dict[str, str]:
     return oracle.metric_sql(SINCE, MIN_STATE, MIN_FREIGHT, MIN_SELLER, MIN_CATEGORY, TREND_PERIODS)
 
 
+def _lake_query(fn) -> Query:
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        return fn(Lake(spark, sf_dir))
+    run.__name__ = getattr(fn, "__name__", "query")
+    return run
+
+
+def _union(frames: list[DataFrame]) -> DataFrame:
+    out = frames[0]
+    for f in frames[1:]:
+        out = out.unionByName(f)
+    return out
+
+
+def _range_checks(lake: Lake) -> DataFrame:
+    c = F.col
+    return _union([
+        Q.check_rules(lake.typed("order_items"),
+                      {"price_or_freight": (c("price") <= 0) | (c("freight_value") < 0)}, "order_items"),
+        Q.check_rules(lake.typed("order_payments"),
+                      {"value_or_installments": (c("payment_value") <= 0) | (c("payment_installments") <= 0)},
+                      "order_payments"),
+        Q.check_rules(lake.typed("products"),
+                      {"weight_or_dimensions": (c("product_weight_g") <= 0) | (c("product_length_cm") <= 0)
+                       | (c("product_height_cm") <= 0) | (c("product_width_cm") <= 0)}, "products"),
+        Q.check_rules(lake.typed("geolocation"),
+                      {"outside_box": (c("geolocation_lat") < -35) | (c("geolocation_lat") > 5)
+                       | (c("geolocation_lng") < -75) | (c("geolocation_lng") > -30)}, "geolocation"),
+        Q.check_rules(lake.typed("order_reviews"),
+                      {"score_out_of_range": (c("review_score") < 1) | (c("review_score") > 5)}, "order_reviews"),
+    ])
+
+
+def _nulls(lake: Lake) -> DataFrame:
+    return _union([Q.profile_nulls(lake.profiled(t), t) for t in oracle.NULL_PROFILE_TABLES])
+
+
+STAGE_COLS = ["order_approved_at", "order_delivered_carrier_date", "order_delivered_customer_date"]
+
+
+def check_queries() -> dict[str, Query]:
+    q: dict[str, Query] = {}
+    for name in TABLES:
+        q[f"clean_{name}"] = _lake_query(lambda lake, n=name: ntz(lake.clean(n)))
+    for name in oracle.REJECTED_CTE:
+        q[f"{name}_rejected"] = _lake_query(lambda lake, n=name: ntz(lake.rejected(n)))
+    q["etl_audit"] = _lake_query(lambda lake: etl_audit({n: lake.raw(n) for n in TABLES},
+                                                        {n: lake.split(n) for n in TABLES}))
+    q["e01_profile_tables"] = _lake_query(lambda lake: Q.profile_tables({n: lake.typed(n) for n in TABLES}))
+    q["e03_profile_length"] = _lake_query(lambda lake: _union([
+        Q.profile_length(lake.raw("customers"), ["customer_zip_code_prefix"], "customers"),
+        Q.profile_length(lake.raw("geolocation"), ["geolocation_zip_code_prefix"], "geolocation")]))
+    q["e04_distinct_review_scores"] = _lake_query(
+        lambda lake: Q.distinct_values(lake.typed("order_reviews"), "review_score"))
+    q["e05_profile_nulls"] = _lake_query(_nulls)
+    q["e06_profile_nulls_ranked"] = _lake_query(lambda lake: Q.profile_nulls_ranked(_nulls(lake)))
+    q["e07_nulls_by_status"] = _lake_query(lambda lake: Q.nulls_by_status(lake.profiled("orders"), STAGE_COLS))
+    q["e08_missing_category_rows"] = _lake_query(lambda lake: Q.missing_rows(
+        lake.profiled("products"), "product_category_name",
+        ["product_id", "product_category_name", "product_name_lenght", "product_description_lenght",
+         "product_photos_qty", "product_weight_g", "product_height_cm", "product_width_cm"]))
+    q["e08_missing_weight_rows"] = _lake_query(lambda lake: Q.missing_rows(
+        lake.profiled("products"), "product_weight_g",
+        ["product_id", "product_category_name", "product_weight_g", "product_height_cm", "product_width_cm"]))
+    q["e09_missing_impact"] = _lake_query(lambda lake: Q.missing_impact(
+        lake.typed("order_items"), lake.profiled("products"), "product_id", "product_category_name"))
+    q["e10_sample_columns"] = _lake_query(lambda lake: Q.sample_columns(
+        lake.profiled("closed_deals"), ["has_company", "has_gtin", "average_stock", "declared_product_catalog_size"]))
+    q["e11_value_counts_deals"] = _lake_query(lambda lake: Q.value_counts(
+        lake.profiled("closed_deals"), list(oracle.VALUE_COUNT_DEAL_COLS)))
+    q["e11_value_counts_origin"] = _lake_query(lambda lake: Q.value_counts(lake.profiled("mql"), ["origin"]))
+    q["e12_duplicate_census"] = _lake_query(
+        lambda lake: Q.duplicate_census({n: lake.typed(n) for n in oracle.CENSUS_TABLES}))
+    q["e13_duplicate_groups"] = _lake_query(lambda lake: Q.duplicate_groups(lake.typed("geolocation")))
+    q["e14_range_checks"] = _lake_query(_range_checks)
+    q["e19_order_violations"] = _lake_query(lambda lake: Q.order_violations(lake.typed("orders")))
+    q["e20_violation_gap_stats"] = _lake_query(lambda lake: Q.violation_gap_stats(lake.typed("orders")))
+    q["e21_violations_by_status"] = _lake_query(lambda lake: Q.violations_by_status(lake.typed("orders")))
+    q["e22_violation_gap_buckets"] = _lake_query(lambda lake: Q.violation_gap_buckets(lake.typed("orders")))
+    q["e23_dist_status"] = _lake_query(lambda lake: Q.distribution(lake.profiled("orders"), "order_status"))
+    q["e24_dist_seller_state"] = _lake_query(
+        lambda lake: Q.distribution(lake.profiled("sellers"), "seller_state", top_n=10))
+    q["e25_dist_customer_state"] = _lake_query(
+        lambda lake: Q.distribution(lake.profiled("customers"), "customer_state", top_n=10))
+    q["e26_items_per_order"] = _lake_query(lambda lake: Q.items_per_order(lake.typed("order_items")))
+    q["e27_dist_review_score"] = _lake_query(
+        lambda lake: Q.distribution(lake.typed("order_reviews"), "review_score", by_value=True))
+    return q
+
+
 def queries() -> dict[str, Query]:
-    return {**metric_queries()}
+    return {**metric_queries(), **check_queries()}
 
 
 def oracle_sql() -> dict[str, str]:
-    return oracle.finish({**metric_oracles()})
+    return oracle.finish({**metric_oracles(), **oracle.check_sql(SCHEMAS)})
