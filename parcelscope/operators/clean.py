@@ -80,9 +80,19 @@ def first_reason(checks: list[tuple[Column, str]]) -> Column:
     return out
 
 
-def split_by_reason(flagged: DataFrame, keep: list[str]) -> tuple[DataFrame, DataFrame]:
-    clean = flagged.filter(F.col(REJECT_REASON).isNull()).select(keep)
-    rejected = flagged.filter(F.col(REJECT_REASON).isNotNull()).select(*keep, REJECT_REASON)
+def split_by_reason(typed: DataFrame, checks: list[tuple[Column, str]], keep: list[str]) -> tuple[DataFrame, DataFrame]:
+    """Rows failing no check are clean; the others get the first failing check's reason.
+
+    The filters test one OR of the checks, so the optimizer never has to inline
+    the reason's CASE chain (and the parsing expressions under it) into them.
+    """
+    if not checks:
+        return typed.select(keep), typed.filter(F.lit(False)).select(*keep, F.lit("").alias(REJECT_REASON))
+    any_bad = F.lit(False)
+    for bad, _ in checks:
+        any_bad = any_bad | bad
+    clean = typed.filter(~any_bad).select(keep)
+    rejected = typed.filter(any_bad).select(*keep, first_reason(checks).alias(REJECT_REASON))
     return clean, rejected
 
 
@@ -105,7 +115,7 @@ def conform(raw: DataFrame, name: str, overrides: dict[str, Column] | None = Non
     checks += [(F.col(f.name).isNull(), f"null_in_required:{f.name}")
                for f in SCHEMAS[name].fields
                if not f.nullable and not isinstance(f.dataType, T.StringType)]
-    return split_by_reason(typed.withColumn(REJECT_REASON, first_reason(checks)), cols)
+    return split_by_reason(typed, checks, cols)
 
 
 # --- T1-T4: orders --------------------------------------------------------------
@@ -118,12 +128,6 @@ def order_anomalies() -> tuple[Column, Column]:
     return carrier_first, customer_first
 
 
-def order_reject_reason(carrier_first: Column, customer_first: Column) -> Column:
-    return (F.when(carrier_first & customer_first, F.lit(BOTH_REASONS))
-            .when(customer_first, F.lit(CUSTOMER_BEFORE_CARRIER))
-            .when(carrier_first, F.lit(CARRIER_BEFORE_APPROVED)))
-
-
 def clean_orders(raw: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Parse the five timestamps; quarantine impossible stage orderings.
 
@@ -132,8 +136,9 @@ def clean_orders(raw: DataFrame) -> tuple[DataFrame, DataFrame]:
     cols = [f.name for f in SCHEMAS["orders"].fields]
     typed = raw.select(*typed_exprs(raw, "orders"))
     carrier_first, customer_first = order_anomalies()
-    flagged = typed.withColumn(REJECT_REASON, order_reject_reason(carrier_first, customer_first))
-    return split_by_reason(flagged, cols)
+    checks = [(carrier_first & customer_first, BOTH_REASONS), (customer_first, CUSTOMER_BEFORE_CARRIER),
+              (carrier_first, CARRIER_BEFORE_APPROVED)]
+    return split_by_reason(typed, checks, cols)
 
 
 # --- T5-T8, T12 ---------------------------------------------------------------

@@ -23,7 +23,7 @@ from ..operators import quality as Q
 from ..operators.clean import TRANSFORMS, typed_table
 from ..schema import SCHEMAS, TABLES
 from ..session import pin_utc
-from ..sources.adapter import raw_table
+from ..sources.adapter import raw_table, typed_source
 from ..sources.zones import etl_audit
 from . import metrics as M
 from . import oracle
@@ -40,17 +40,24 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 
 class Lake:
-    """Lazily derived raw and clean tables of one scale-factor directory."""
+    """Lazily derived raw and clean tables of one scale-factor directory.
 
-    def __init__(self, spark: SparkSession, sf_dir: str):
+    ``text=True`` starts from the raw zone as text, so cleaning parses every
+    value as it would from CSV (used by the cleaning and data-quality checks).
+    ``text=False`` starts from the typed canonical tables, the way the
+    dashboard reads an already typed clean zone; the cleaning rules still run.
+    """
+
+    def __init__(self, spark: SparkSession, sf_dir: str, text: bool = True):
         pin_utc(spark)
-        self.spark, self.sf_dir = spark, sf_dir
+        self.spark, self.sf_dir, self.text = spark, sf_dir, text
         self._raw: dict[str, DataFrame] = {}
         self._split: dict[str, tuple[DataFrame, DataFrame]] = {}
 
     def raw(self, name: str) -> DataFrame:
         if name not in self._raw:
-            self._raw[name] = raw_table(self.spark, self.sf_dir, name)
+            build = raw_table if self.text else typed_source
+            self._raw[name] = build(self.spark, self.sf_dir, name)
         return self._raw[name]
 
     def split(self, name: str) -> tuple[DataFrame, DataFrame]:
@@ -92,14 +99,14 @@ PRODUCT_TABLES = ("orders", "order_items", "products", "category_translation")
 
 def _metric(fn, needs: tuple[str, ...], **params) -> Query:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        return fn(Lake(spark, sf_dir).tables(*needs), **params)
+        return fn(Lake(spark, sf_dir, text=False).tables(*needs), **params)
     run.__name__ = fn.__name__
     return run
 
 
 def _trend(base, value: str, periods: int) -> Query:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        monthly = base(Lake(spark, sf_dir).tables(*ORDER_TABLES), since=SINCE)
+        monthly = base(Lake(spark, sf_dir, text=False).tables(*ORDER_TABLES), since=SINCE)
         return M.trend_change(monthly, value, periods)
     return run
 

@@ -3,9 +3,10 @@
 The driver ships ``orders``, ``lineitem``, ``customer``, ``supplier``,
 ``part`` and ``nation`` but no delivery timestamps, so every canonical column
 is derived from the keys by integer arithmetic that any SQL engine can repeat
-exactly (``plans/oracle.py`` holds the same rules as DuckDB SQL).  The output
-is the *raw zone*: every column a string, missing values as ``''``, so the
-cleaning step still parses text exactly as it would for CSV input.
+exactly (``plans/oracle.py`` holds the same rules as DuckDB SQL).  Each table
+is built typed (``typed_source``) and can be rendered as the *raw zone*
+(``raw_table``: every column a string, missing values ``''``) so the cleaning
+step parses text exactly as it would for CSV input.
 
 Everything is a narrow projection over a single scan, apart from two bounded
 broadcasts of the 25-row ``nation`` table (a fixed-size TPC-H dimension) and a
@@ -16,9 +17,10 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions.timefn import TS_FORMAT
-from ..schema import raw_schema
+from ..schema import SCHEMAS, raw_schema
 
 DRIVER_TABLES = ("orders", "lineitem", "customer", "supplier", "part", "nation")
 
@@ -35,10 +37,6 @@ def read_driver(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def _plus_seconds(ts: Column, seconds: Column) -> Column:
-    return F.timestamp_seconds(F.unix_seconds(ts) + seconds)
-
-
 def _txt(c: Column) -> Column:
     """Value as source text; NULL becomes ''."""
     return F.coalesce(c.cast("string"), F.lit(""))
@@ -59,61 +57,87 @@ def _pick(index: Column, values: list[str]) -> Column:
     return out
 
 
+def to_raw_text(df: DataFrame, name: str, float_text: tuple[str, ...] = ()) -> DataFrame:
+    """A typed canonical table as source text: every column a string, NULL as ``''``.
+
+    Timestamps use the source layout; whole numbers listed in ``float_text`` are
+    written the way a float column is exported (``'40.0'``).
+    """
+    cols = []
+    for f in raw_schema(name).fields:
+        c = F.col(f.name)
+        t = df.schema[f.name].dataType
+        if isinstance(t, T.TimestampType):
+            e = _ts_txt(c)
+        elif f.name in float_text:
+            e = _dbl_txt(c)
+        else:
+            e = _txt(c)
+        cols.append(e.alias(f.name))
+    return df.select(cols)
+
+
 def _conform(df: DataFrame, name: str) -> DataFrame:
-    return df.select([F.col(f.name).cast("string").alias(f.name) for f in raw_schema(name).fields])
+    """Typed canonical columns in schema order."""
+    return df.select([F.col(f.name).cast(f.dataType).alias(f.name) for f in SCHEMAS[name].fields])
+
+
+def _timeline_cols(k: Column, orderdate: Column) -> dict[str, Column]:
+    """The five order timestamps as flat expressions of the key and order date.
+
+    Epoch seconds are composed as plain long arithmetic and turned into
+    timestamps once, so the optimizer can inline them anywhere cheaply.
+    """
+    def at(secs: Column) -> Column:
+        return F.timestamp_seconds(secs)
+
+    def unless(cond: Column, v: Column) -> Column:
+        return F.when(~cond, v)
+
+    purchase = F.unix_seconds(orderdate.cast("timestamp")) + (k * 7919) % 86400
+    approved = unless(k % 101 == 0, purchase + F.lit(60) * ((k * 31) % 4320))
+    carrier = unless(k % 97 == 0, F.coalesce(approved, purchase) + F.lit(60) * ((k * 137) % 14400 - 720))
+    customer = unless(k % 89 == 0, F.coalesce(carrier, purchase) + F.lit(60) * ((k * 53) % 36000 - 180))
+    estimated = unless(k % 103 == 0, purchase + F.lit(86400) * (12 + k % 20))
+    return {"purchase": at(purchase), "approved": at(approved), "carrier": at(carrier),
+            "customer": at(customer), "estimated": at(estimated)}
 
 
 def orders_timeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Typed order timeline ``k, custkey, status, purchase .. estimated``."""
     o = read_driver(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderstatus", "o_orderdate")
-    k = F.col("k")
     status = F.lit("")
     for code, word in reversed(STATUS_MAP.items()):
         status = F.when(F.col("o_orderstatus") == code, F.lit(word)).otherwise(status)
-    return (
-        o.select(
-            F.col("o_orderkey").alias("k"),
-            F.col("o_custkey").alias("custkey"),
-            status.alias("status"),
-            _plus_seconds(F.col("o_orderdate").cast("timestamp"), (F.col("o_orderkey") * 7919) % 86400).alias("purchase"),
-        )
-        .withColumn("approved", F.when(k % 101 == 0, F.lit(None))
-                    .otherwise(_plus_seconds(F.col("purchase"), F.lit(60) * ((k * 31) % 4320))))
-        .withColumn("carrier", F.when(k % 97 == 0, F.lit(None))
-                    .otherwise(_plus_seconds(F.coalesce("approved", "purchase"),
-                                             F.lit(60) * ((k * 137) % 14400 - 720))))
-        .withColumn("customer", F.when(k % 89 == 0, F.lit(None))
-                    .otherwise(_plus_seconds(F.coalesce("carrier", "purchase"),
-                                             F.lit(60) * ((k * 53) % 36000 - 180))))
-        .withColumn("estimated", F.when(k % 103 == 0, F.lit(None))
-                    .otherwise(_plus_seconds(F.col("purchase"), F.lit(86400) * (12 + k % 20))))
-    )
+    tl = _timeline_cols(F.col("o_orderkey"), F.col("o_orderdate"))
+    return o.select(F.col("o_orderkey").alias("k"), F.col("o_custkey").alias("custkey"), status.alias("status"),
+                    *[v.alias(n) for n, v in tl.items()])
 
 
-def raw_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+def typed_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     t = orders_timeline(spark, sf_dir)
     return _conform(t.select(
-        _txt(F.col("k")).alias("order_id"),
-        _txt(F.col("custkey")).alias("customer_id"),
+        F.col("k").alias("order_id"),
+        F.col("custkey").alias("customer_id"),
         F.col("status").alias("order_status"),
-        _ts_txt(F.col("purchase")).alias("order_purchase_timestamp"),
-        _ts_txt(F.col("approved")).alias("order_approved_at"),
-        _ts_txt(F.col("carrier")).alias("order_delivered_carrier_date"),
-        _ts_txt(F.col("customer")).alias("order_delivered_customer_date"),
-        _ts_txt(F.col("estimated")).alias("order_estimated_delivery_date"),
+        F.col("purchase").alias("order_purchase_timestamp"),
+        F.col("approved").alias("order_approved_at"),
+        F.col("carrier").alias("order_delivered_carrier_date"),
+        F.col("customer").alias("order_delivered_customer_date"),
+        F.col("estimated").alias("order_estimated_delivery_date"),
     ), "orders")
 
 
-def raw_order_items(spark: SparkSession, sf_dir: str) -> DataFrame:
+def typed_order_items(spark: SparkSession, sf_dir: str) -> DataFrame:
     li = read_driver(spark, sf_dir, "lineitem")
     return _conform(li.select(
-        _txt(F.col("l_orderkey")).alias("order_id"),
-        _txt(F.col("l_linenumber")).alias("order_item_id"),
-        _txt(F.col("l_partkey")).alias("product_id"),
-        _txt(F.col("l_suppkey")).alias("seller_id"),
-        _ts_txt(F.col("l_shipdate").cast("timestamp")).alias("shipping_limit_date"),
-        _txt(F.col("l_extendedprice")).alias("price"),
-        _txt(F.col("l_quantity") * 0.25).alias("freight_value"),
+        F.col("l_orderkey").alias("order_id"),
+        F.col("l_linenumber").alias("order_item_id"),
+        F.col("l_partkey").alias("product_id"),
+        F.col("l_suppkey").alias("seller_id"),
+        F.col("l_shipdate").alias("shipping_limit_date"),
+        F.col("l_extendedprice").alias("price"),
+        (F.col("l_quantity") * 0.25).alias("freight_value"),
     ), "order_items")
 
 
@@ -122,91 +146,94 @@ def _nation_names(spark: SparkSession, sf_dir: str) -> DataFrame:
     return F.broadcast(read_driver(spark, sf_dir, "nation").select("n_nationkey", "n_name"))
 
 
-def raw_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
+def typed_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
     c = read_driver(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_nationkey")
     c = c.join(_nation_names(spark, sf_dir), c.c_nationkey == F.col("n_nationkey"), "left")
     ck = F.col("c_custkey")
     return _conform(c.select(
-        _txt(ck).alias("customer_id"),
-        _txt(F.col("c_name")).alias("customer_unique_id"),
-        _txt(ck % 10000).alias("customer_zip_code_prefix"),
+        ck.alias("customer_id"),
+        F.col("c_name").alias("customer_unique_id"),
+        (ck % 10000).alias("customer_zip_code_prefix"),
         F.concat(F.lit("city_"), (ck % 3).cast("string")).alias("customer_city"),
-        _txt(F.col("n_name")).alias("customer_state"),
+        F.coalesce(F.col("n_name"), F.lit("")).alias("customer_state"),
     ), "customers")
 
 
-def raw_sellers(spark: SparkSession, sf_dir: str) -> DataFrame:
+def typed_sellers(spark: SparkSession, sf_dir: str) -> DataFrame:
     s = read_driver(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey")
     s = s.join(_nation_names(spark, sf_dir), s.s_nationkey == F.col("n_nationkey"), "left")
     sk = F.col("s_suppkey")
     return _conform(s.select(
-        _txt(sk).alias("seller_id"),
-        _txt(sk % 10000).alias("seller_zip_code_prefix"),
+        sk.alias("seller_id"),
+        (sk % 10000).alias("seller_zip_code_prefix"),
         F.concat(F.lit("city_"), (sk % 3).cast("string")).alias("seller_city"),
-        _txt(F.col("n_name")).alias("seller_state"),
+        F.coalesce(F.col("n_name"), F.lit("")).alias("seller_state"),
     ), "sellers")
 
 
-def raw_geolocation(spark: SparkSession, sf_dir: str) -> DataFrame:
+def typed_geolocation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One point per customer, plus an exact copy of every fourth one."""
     c = read_driver(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
     ck = F.col("c_custkey")
     rows = c.select(
-        _txt(ck % 30).alias("geolocation_zip_code_prefix"),
-        F.when(ck % 150 == 149, F.lit("")).otherwise(_txt(F.lit(-38) + ck % 50)).alias("geolocation_lat"),
-        _txt(F.lit(-78) + ck % 75).alias("geolocation_lng"),
+        (ck % 30).alias("geolocation_zip_code_prefix"),
+        F.when(ck % 150 != 149, F.lit(-38) + ck % 50).alias("geolocation_lat"),
+        (F.lit(-78) + ck % 75).alias("geolocation_lng"),
         F.concat(F.lit("city_"), (ck % 3).cast("string")).alias("geolocation_city"),
-        _txt(F.col("c_nationkey")).alias("geolocation_state"),
+        F.col("c_nationkey").alias("geolocation_state"),
         ck.alias("_c"),
     )
     dup = rows.filter(F.col("_c") % 4 == 0)
-    return _conform(rows.unionByName(dup).drop("_c"), "geolocation")
+    geo = rows.unionByName(dup).drop("_c")
+    return geo.select([F.col(f.name).cast("double" if f.name in ("geolocation_lat", "geolocation_lng") else "string")
+                       .alias(f.name) for f in raw_schema("geolocation").fields])
 
 
-def raw_order_reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
-    t = orders_timeline(spark, sf_dir).select("k", "purchase")
-    k = F.col("k")
+def typed_order_reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
+    o = read_driver(spark, sf_dir, "orders").select("o_orderkey", "o_orderdate")
+    k = F.col("o_orderkey")
+    purchase_s = F.unix_seconds(F.col("o_orderdate").cast("timestamp")) + (k * 7919) % 86400
 
     def review(prefix: str, score: Column, offset_days: Column) -> list[Column]:
-        created = _plus_seconds(F.col("purchase"), F.lit(86400) * offset_days)
+        created_s = purchase_s + F.lit(86400) * offset_days
         return [
             F.concat(F.lit(prefix), k.cast("string")).alias("review_id"),
-            _txt(k).alias("order_id"),
+            k.cast("string").alias("order_id"),
             score.alias("review_score"),
             F.when(k % 5 == 0, F.lit("titulo")).otherwise(F.lit("")).alias("review_comment_title"),
             F.when(k % 3 == 0, F.concat(F.lit("comentario "), k.cast("string"))).otherwise(F.lit(""))
             .alias("review_comment_message"),
-            _ts_txt(F.date_trunc("day", created)).alias("review_creation_date"),
-            _ts_txt(_plus_seconds(created, F.lit(3600) * (k % 72))).alias("review_answer_timestamp"),
+            F.date_trunc("day", F.timestamp_seconds(created_s)).alias("review_creation_date"),
+            F.timestamp_seconds(created_s + F.lit(3600) * (k % 72)).alias("review_answer_timestamp"),
         ]
 
-    first = t.filter(k % 11 != 0).select(*review(
-        "rv", F.when(k % 43 == 0, F.lit("")).otherwise(_txt(1 + (k * 7) % 5)), 10 + k % 15))
-    second = t.filter(k % 37 == 0).select(*review("rw", _txt(1 + (k * 3) % 5), 20 + k % 9))
+    first = o.filter(k % 11 != 0).select(*review("rv", F.when(k % 43 != 0, 1 + (k * 7) % 5), 10 + k % 15))
+    second = o.filter(k % 37 == 0).select(*review("rw", 1 + (k * 3) % 5, 20 + k % 9))
     return _conform(first.unionByName(second), "order_reviews")
 
 
-def raw_products(spark: SparkSession, sf_dir: str) -> DataFrame:
+def typed_products(spark: SparkSession, sf_dir: str) -> DataFrame:
     p = read_driver(spark, sf_dir, "part").select("p_partkey", "p_name", "p_brand", "p_type", "p_size")
     pk = F.col("p_partkey")
     no_meta = pk % 61 == 0
 
     def counter(c: Column) -> Column:
-        return F.when(no_meta, F.lit("")).otherwise(_dbl_txt(c))
+        return F.when(~no_meta, c)
 
     return _conform(p.select(
-        _txt(pk).alias("product_id"),
+        pk.alias("product_id"),
         F.when(no_meta, F.lit("")).otherwise(F.col("p_brand")).alias("product_category_name"),
         counter(F.length("p_name")).alias("product_name_lenght"),
         counter(F.length("p_type") * 10).alias("product_description_lenght"),
         counter(1 + pk % 5).alias("product_photos_qty"),
-        F.when(pk % 53 == 0, F.lit("")).otherwise(_dbl_txt(F.col("p_size") * 125.0)).alias("product_weight_g"),
-        _dbl_txt(F.col("p_size") + 10).alias("product_length_cm"),
-        _dbl_txt(F.col("p_size") % 25).alias("product_height_cm"),
-        _dbl_txt(5 + pk % 30).alias("product_width_cm"),
+        F.when(pk % 53 != 0, F.col("p_size") * 125.0).alias("product_weight_g"),
+        (F.col("p_size") + 10).alias("product_length_cm"),
+        (F.col("p_size") % 25).alias("product_height_cm"),
+        (5 + pk % 30).alias("product_width_cm"),
     ), "products")
 
 
-def raw_category_translation(spark: SparkSession, sf_dir: str) -> DataFrame:
+def typed_category_translation(spark: SparkSession, sf_dir: str) -> DataFrame:
     brands = (read_driver(spark, sf_dir, "part").select("p_brand")
               .filter(~F.col("p_brand").isin(UNTRANSLATED_BRANDS)).distinct())
     return _conform(brands.select(
@@ -215,19 +242,19 @@ def raw_category_translation(spark: SparkSession, sf_dir: str) -> DataFrame:
     ), "category_translation")
 
 
-def raw_order_payments(spark: SparkSession, sf_dir: str) -> DataFrame:
+def typed_order_payments(spark: SparkSession, sf_dir: str) -> DataFrame:
     o = read_driver(spark, sf_dir, "orders").select("o_orderkey", "o_totalprice")
     k = F.col("o_orderkey")
     return _conform(o.select(
-        _txt(k).alias("order_id"),
-        F.lit("1").alias("payment_sequential"),
+        k.alias("order_id"),
+        F.lit(1).alias("payment_sequential"),
         _pick(k % 4, PAYMENT_TYPES).alias("payment_type"),
-        F.when(k % 71 == 0, F.lit("0")).otherwise(_txt(1 + k % 12)).alias("payment_installments"),
-        F.when(k % 83 == 0, F.lit("0.0")).otherwise(_txt(F.col("o_totalprice"))).alias("payment_value"),
+        F.when(k % 71 == 0, F.lit(0)).otherwise(1 + k % 12).alias("payment_installments"),
+        F.when(k % 83 == 0, F.lit(0.0)).otherwise(F.col("o_totalprice")).alias("payment_value"),
     ), "order_payments")
 
 
-def raw_mql(spark: SparkSession, sf_dir: str) -> DataFrame:
+def typed_mql(spark: SparkSession, sf_dir: str) -> DataFrame:
     s = read_driver(spark, sf_dir, "supplier").select("s_suppkey")
     sk = F.col("s_suppkey")
     return _conform(s.select(
@@ -238,12 +265,12 @@ def raw_mql(spark: SparkSession, sf_dir: str) -> DataFrame:
     ), "mql")
 
 
-def raw_closed_deals(spark: SparkSession, sf_dir: str) -> DataFrame:
+def typed_closed_deals(spark: SparkSession, sf_dir: str) -> DataFrame:
     s = read_driver(spark, sf_dir, "supplier").select("s_suppkey").filter(F.col("s_suppkey") % 3 == 0)
     sk = F.col("s_suppkey")
     return _conform(s.select(
         F.concat(F.lit("mql_"), sk.cast("string")).alias("mql_id"),
-        _txt(sk).alias("seller_id"),
+        sk.alias("seller_id"),
         F.concat(F.lit("sdr_"), (sk % 4).cast("string")).alias("sdr_id"),
         F.concat(F.lit("sr_"), (sk % 6).cast("string")).alias("sr_id"),
         F.format_string("2018-%02d-%02d 00:00:00", 1 + sk % 12, 1 + sk % 28).alias("won_date"),
@@ -254,30 +281,40 @@ def raw_closed_deals(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(sk % 2 == 0, F.lit("")).otherwise(F.lit("False")).alias("has_gtin"),
         F.when(sk % 4 == 0, F.lit("")).otherwise(F.lit("5-20")).alias("average_stock"),
         F.when(sk % 7 == 0, F.lit("manufacturer")).otherwise(F.lit("reseller")).alias("business_type"),
-        F.when(sk % 2 == 0, F.lit("")).otherwise(_dbl_txt(sk % 200)).alias("declared_product_catalog_size"),
-        _dbl_txt((sk % 10) * 1000).alias("declared_monthly_revenue"),
+        F.when(sk % 2 != 0, sk % 200).alias("declared_product_catalog_size"),
+        ((sk % 10) * 1000).alias("declared_monthly_revenue"),
     ), "closed_deals")
 
 
-BUILDERS = {
-    "orders": raw_orders,
-    "order_items": raw_order_items,
-    "sellers": raw_sellers,
-    "customers": raw_customers,
-    "geolocation": raw_geolocation,
-    "order_reviews": raw_order_reviews,
-    "products": raw_products,
-    "category_translation": raw_category_translation,
-    "order_payments": raw_order_payments,
-    "closed_deals": raw_closed_deals,
-    "mql": raw_mql,
+TYPED_BUILDERS = {
+    "orders": typed_orders,
+    "order_items": typed_order_items,
+    "sellers": typed_sellers,
+    "customers": typed_customers,
+    "geolocation": typed_geolocation,
+    "order_reviews": typed_order_reviews,
+    "products": typed_products,
+    "category_translation": typed_category_translation,
+    "order_payments": typed_order_payments,
+    "closed_deals": typed_closed_deals,
+    "mql": typed_mql,
 }
 
+# Whole-number columns the source exports as float text.
+FLOAT_TEXT = {"products": ("product_name_lenght", "product_description_lenght", "product_photos_qty")}
+
+
+def typed_source(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A canonical table with declared types but not yet cleaned (zip codes unpadded,
+    bad orders still in): what the clean zone is computed from."""
+    return TYPED_BUILDERS[name](spark, sf_dir)
+
 
 def raw_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return BUILDERS[name](spark, sf_dir)
+    """The raw zone form (all text, ``''`` for missing) of one canonical table."""
+    return to_raw_text(typed_source(spark, sf_dir, name), name, FLOAT_TEXT.get(name, ()))
 
 
 def raw_tables(spark: SparkSession, sf_dir: str, names=None) -> dict[str, DataFrame]:
     """Lazily derived raw zone for the requested tables (all by default)."""
-    return {n: BUILDERS[n](spark, sf_dir) for n in (names or BUILDERS)}
+    return {n: raw_table(spark, sf_dir, n) for n in (names or TYPED_BUILDERS)}
