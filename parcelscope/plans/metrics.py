@@ -6,11 +6,14 @@ DataFrame whose column names are the card's columns in snake_case.
 
 Plan shape, chosen for very large and skewed inputs:
 
-* Facts are *pre-aggregated at the join-key grain before they are joined*
-  (items per order, orders per customer, items per product).  Partial
-  aggregation runs map-side, so a hot order, customer, seller or product
-  collapses to one row per task before anything is shuffled, and every join
-  afterwards is one-to-one on unique keys.
+* Facts are *aggregated to the join-key grain before they are joined to a
+  dimension* (items per order before the order join, orders per customer
+  before the customer join, item rows per product before the product join).
+  Partial aggregation runs map-side, so a hot order, customer, seller or
+  product collapses to one row per task before anything is shuffled, and the
+  dimension joins afterwards are one-to-one on unique keys.  An aggregate on
+  ``order_id`` is hash-partitioned on it, so the order join that follows
+  shuffles only the orders.
 * Averages over item rows are carried as exact integer ``(sum, count)`` pairs
   and divided once at the end, so re-grouping does not change results.
 * Dimension joins (customers, products, category names) are left to the
@@ -346,15 +349,21 @@ def q6c_seller_scatter(tables, min_rows: int = MIN_ROWS) -> DataFrame:
 # --- 7: products -----------------------------------------------------------------------
 
 def _product_facts(tables) -> DataFrame:
-    """Per product: item rows, item rows with a delivery time, their hour sum, late items."""
-    j = delivered(tables).join(items_per_order(tables, "product_id"), "order_id")
-    h = hours_between(PURCHASE, CUSTOMER)
-    n = F.col("n_items")
+    """Per product: item rows, item rows with a delivery time, their hour sum, late items.
+
+    Line items are (almost) unique per (order, product), so they are joined to
+    the orders as they are and summed per product right after; the partial
+    aggregate collapses a hot product before the shuffle.
+    """
+    items = tables["order_items"].select("order_id", "product_id")
+    o = delivered(tables).select("order_id", hours_between(PURCHASE, CUSTOMER).alias("h"),
+                                 is_late().alias("is_late"))
+    j = items.join(o, "order_id")
     return j.groupBy("product_id").agg(
-        F.sum(n).alias("n"),
-        F.sum(F.when(h.isNotNull(), n)).alias("n_h"),
-        F.sum(h * n).alias("h_sum"),
-        F.sum(F.when(is_late(), n).otherwise(0)).alias("late"),
+        F.count(F.lit(1)).alias("n"),
+        F.count("h").alias("n_h"),
+        F.sum("h").alias("h_sum"),
+        F.count_if(F.col("is_late")).alias("late"),
     )
 
 

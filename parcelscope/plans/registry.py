@@ -12,8 +12,8 @@ the ones that actually filter at sf0.01.
 
 from __future__ import annotations
 
+import weakref
 from collections.abc import Callable
-from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -83,6 +83,24 @@ class Lake:
         return Q.empty_as_null(self.typed(name))
 
 
+_LAKES: "weakref.WeakKeyDictionary[SparkSession, dict]" = weakref.WeakKeyDictionary()
+
+
+def lake_for(spark: SparkSession, sf_dir: str, text: bool) -> Lake:
+    """One ``Lake`` per session, directory and form.
+
+    Only the lazy table *definitions* are shared between queries (no data is
+    cached): building them costs thousands of driver-to-JVM calls, which would
+    otherwise be paid again by every query.
+    """
+    pin_utc(spark)
+    per_session = _LAKES.setdefault(spark, {})
+    key = (sf_dir, text)
+    if key not in per_session:
+        per_session[key] = Lake(spark, sf_dir, text=text)
+    return per_session[key]
+
+
 def ntz(df: DataFrame) -> DataFrame:
     """Timestamps as wall-clock values, independent of the reader's time zone."""
     return df.select([F.col(f.name).cast("timestamp_ntz").alias(f.name)
@@ -99,14 +117,14 @@ PRODUCT_TABLES = ("orders", "order_items", "products", "category_translation")
 
 def _metric(fn, needs: tuple[str, ...], **params) -> Query:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        return fn(Lake(spark, sf_dir, text=False).tables(*needs), **params)
+        return fn(lake_for(spark, sf_dir, text=False).tables(*needs), **params)
     run.__name__ = fn.__name__
     return run
 
 
 def _trend(base, value: str, periods: int) -> Query:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        monthly = base(Lake(spark, sf_dir, text=False).tables(*ORDER_TABLES), since=SINCE)
+        monthly = base(lake_for(spark, sf_dir, text=False).tables(*ORDER_TABLES), since=SINCE)
         return M.trend_change(monthly, value, periods)
     return run
 
@@ -149,7 +167,7 @@ def metric_oracles() -> dict[str, str]:
 
 def _lake_query(fn) -> Query:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        return fn(Lake(spark, sf_dir))
+        return fn(lake_for(spark, sf_dir, text=True))
     run.__name__ = getattr(fn, "__name__", "query")
     return run
 
