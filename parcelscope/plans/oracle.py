@@ -173,7 +173,8 @@ def d(a: str, b: str, t: str = "") -> str:
 
 
 def rate(num: str, den: str) -> str:
-    return f"round(CAST({num} AS DOUBLE) * 100.0 / CAST({den} AS DOUBLE), 2)"
+    """Percentage rounded to 2 places; a zero denominator gives NULL (the engine's rule)."""
+    return f"round(CAST({num} AS DOUBLE) * 100.0 / NULLIF(CAST({den} AS DOUBLE), 0), 2)"
 
 
 LATE = f"{CU} > {E}"
