@@ -54,9 +54,25 @@ def to_int_via_double(c: str | Column) -> Column:
     return to_double(c).cast("int")
 
 
+def ident(name: str) -> str:
+    """A column name quoted for SQL expression text."""
+    return "`" + name.replace("`", "``") + "`"
+
+
+def zfill_sql(name: str, width: int = 5) -> str:
+    v = f"coalesce(CAST({ident(name)} AS STRING), '')"
+    return f"CASE WHEN length({v}) < {width} THEN lpad({v}, {width}, '0') ELSE {v} END"
+
+
+def parse_ts_sql(name: str) -> str:
+    return f"try_to_timestamp({ident(name)}, '{TS_FORMAT}')"
+
+
 def zfill(c: str | Column, width: int = 5) -> Column:
     """Left-pad with zeros up to ``width`` but never cut a longer value."""
-    col = F.coalesce(_c(c).cast("string"), F.lit(""))
+    if isinstance(c, str):
+        return F.expr(zfill_sql(c, width))
+    col = F.coalesce(c.cast("string"), F.lit(""))
     return F.when(F.length(col) < width, F.lpad(col, width, "0")).otherwise(col)
 
 

@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.timefn import parse_ts, to_double, zfill
+from ..functions.timefn import ident, parse_ts_sql, zfill_sql
 from ..schema import REJECT_REASON, SCHEMAS
 
 ORDER_TS = [
@@ -44,34 +44,39 @@ def _is_text(df: DataFrame, c: str) -> bool:
     return isinstance(df.schema[c].dataType, T.StringType)
 
 
-def typed_exprs(df: DataFrame, name: str, overrides: dict[str, Column] | None = None) -> list[Column]:
-    """Expressions projecting ``df`` onto the declared schema of ``name``.
+def typed_sql(df: DataFrame, name: str, overrides: dict[str, str] | None = None) -> list[str]:
+    """SQL expressions projecting ``df`` onto the declared schema of ``name``.
 
     Strings are filled with ``''``; numbers and timestamps parse leniently (bad
     text -> NULL), whole numbers through double so ``'40.0'`` reads as 40.
     Already-typed columns pass through a plain cast.  Columns are matched by
-    name, never by position.
+    name, never by position.  (Expression text, so a whole projection costs one
+    call into the JVM.)
     """
     overrides = overrides or {}
     out = []
     for f in SCHEMAS[name].fields:
-        if f.name in overrides:
-            out.append(overrides[f.name].alias(f.name))
-            continue
-        src = F.col(f.name)
+        q = ident(f.name)
         text = _is_text(df, f.name)
-        if isinstance(f.dataType, T.StringType):
-            e = F.coalesce(src.cast("string"), F.lit(""))
+        if f.name in overrides:
+            e = overrides[f.name]
+        elif isinstance(f.dataType, T.StringType):
+            e = f"coalesce(CAST({q} AS STRING), '')"
         elif isinstance(f.dataType, T.TimestampType):
-            e = parse_ts(src) if text else src.cast("timestamp")
+            e = parse_ts_sql(f.name) if text else f"CAST({q} AS TIMESTAMP)"
         elif isinstance(f.dataType, T.IntegerType):
-            e = to_double(src).cast("int") if text else src.cast("int")
+            e = f"CAST(try_cast({q} AS DOUBLE) AS INT)" if text else f"CAST({q} AS INT)"
         else:
-            e = to_double(src) if text else src.cast(f.dataType)
-        out.append(e.alias(f.name))
+            e = f"try_cast({q} AS DOUBLE)" if text else f"CAST({q} AS {f.dataType.simpleString()})"
+        out.append(f"{e} AS {q}")
     return out
 
 
+def typed_exprs(df: DataFrame, name: str, overrides: dict[str, str] | None = None) -> list[Column]:
+    """``typed_sql`` as Columns."""
+    return [F.expr(e) for e in typed_sql(df, name, overrides)]
+
+
 def first_reason(checks: list[tuple[Column, str]]) -> Column:
     """Reason of the first failing check, NULL when every check passes."""
     out = F.lit(None).cast("string")
@@ -80,23 +85,46 @@ def first_reason(checks: list[tuple[Column, str]]) -> Column:
     return out
 
 
-def split_by_reason(typed: DataFrame, checks: list[tuple[Column, str]], keep: list[str]) -> tuple[DataFrame, DataFrame]:
+REJECTED_FLAG = "_rejected"
+
+
+class Split(tuple):
+    """``(clean, rejected)`` plus the flagged frame both are filtered from.
+
+    ``flagged`` has the clean columns and a boolean ``_rejected``; counting over
+    it gives clean and rejected sizes in one pass.  ``same_rows`` tells whether
+    it has one row per input row (false after de-duplication).
+    """
+
+    def __new__(cls, clean: DataFrame, rejected: DataFrame, flagged: DataFrame, same_rows: bool = True):
+        obj = super().__new__(cls, (clean, rejected))
+        obj.flagged, obj.same_rows = flagged, same_rows
+        return obj
+
+    @property
+    def clean(self) -> DataFrame:
+        return self[0]
+
+    @property
+    def rejected(self) -> DataFrame:
+        return self[1]
+
+
+def split_by_reason(typed: DataFrame, checks: list[tuple[Column, str]], keep: list[str]) -> Split:
     """Rows failing no check are clean; the others get the first failing check's reason.
 
     The filters test one OR of the checks, so the optimizer never has to inline
     the reason's CASE chain (and the parsing expressions under it) into them.
     """
-    if not checks:
-        return typed.select(keep), typed.filter(F.lit(False)).select(*keep, F.lit("").alias(REJECT_REASON))
     any_bad = F.lit(False)
     for bad, _ in checks:
         any_bad = any_bad | bad
     clean = typed.filter(~any_bad).select(keep)
     rejected = typed.filter(any_bad).select(*keep, first_reason(checks).alias(REJECT_REASON))
-    return clean, rejected
+    return Split(clean, rejected, typed.select(*keep, any_bad.alias(REJECTED_FLAG)))
 
 
-def conform(raw: DataFrame, name: str, overrides: dict[str, Column] | None = None,
+def conform(raw: DataFrame, name: str, overrides: dict[str, str] | None = None,
             whole_number_cols: list[str] | None = None,
             ) -> tuple[DataFrame, DataFrame]:
     """Type a raw table by its declared schema and quarantine rows that cannot be typed.
@@ -107,10 +135,10 @@ def conform(raw: DataFrame, name: str, overrides: dict[str, Column] | None = Non
     """
     cols = [f.name for f in SCHEMAS[name].fields]
     fraction_flags = [
-        (F.coalesce(to_double(F.col(c)) % 1 != 0, F.lit(False)).alias(f"_frac_{c}"), c)
+        (f"coalesce(try_cast({ident(c)} AS DOUBLE) % 1 != 0, false) AS {ident('_frac_' + c)}", c)
         for c in (whole_number_cols or []) if _is_text(raw, c)
     ]
-    typed = raw.select(*typed_exprs(raw, name, overrides), *[e for e, _ in fraction_flags])
+    typed = raw.selectExpr(*typed_sql(raw, name, overrides), *[e for e, _ in fraction_flags])
     checks = [(F.col(f"_frac_{c}"), f"non_integer:{c}") for _, c in fraction_flags]
     checks += [(F.col(f.name).isNull(), f"null_in_required:{f.name}")
                for f in SCHEMAS[name].fields
@@ -134,7 +162,7 @@ def clean_orders(raw: DataFrame) -> tuple[DataFrame, DataFrame]:
     Approval before purchase is only studied (see ``quality``), not rejected.
     """
     cols = [f.name for f in SCHEMAS["orders"].fields]
-    typed = raw.select(*typed_exprs(raw, "orders"))
+    typed = raw.selectExpr(*typed_sql(raw, "orders"))
     carrier_first, customer_first = order_anomalies()
     checks = [(carrier_first & customer_first, BOTH_REASONS), (customer_first, CUSTOMER_BEFORE_CARRIER),
               (carrier_first, CARRIER_BEFORE_APPROVED)]
@@ -154,11 +182,11 @@ def clean_products(raw: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 
 def clean_customers(raw: DataFrame) -> tuple[DataFrame, DataFrame]:
-    return conform(raw, "customers", overrides={"customer_zip_code_prefix": zfill("customer_zip_code_prefix")})
+    return conform(raw, "customers", overrides={"customer_zip_code_prefix": zfill_sql("customer_zip_code_prefix")})
 
 
 def clean_sellers(raw: DataFrame) -> tuple[DataFrame, DataFrame]:
-    return conform(raw, "sellers", overrides={"seller_zip_code_prefix": zfill("seller_zip_code_prefix")})
+    return conform(raw, "sellers", overrides={"seller_zip_code_prefix": zfill_sql("seller_zip_code_prefix")})
 
 
 def passthrough(name: str) -> Callable[[DataFrame], tuple[DataFrame, DataFrame]]:
@@ -173,18 +201,19 @@ def passthrough(name: str) -> Callable[[DataFrame], tuple[DataFrame, DataFrame]]
 
 # --- T9-T11: geolocation --------------------------------------------------------
 
-def _coord(raw: DataFrame, c: str) -> Column:
-    return (to_double(c) if _is_text(raw, c) else F.col(c).cast("double")).alias(c)
+def _coord_sql(raw: DataFrame, c: str) -> str:
+    q = ident(c)
+    return f"{'try_cast' if _is_text(raw, c) else 'CAST'}({q} AS DOUBLE) AS {q}"
 
 
 def type_geolocation(raw: DataFrame) -> DataFrame:
     """Zip padded, coordinates parsed (bad text -> NULL); nothing dropped yet."""
-    return raw.select(
-        zfill("geolocation_zip_code_prefix").alias("geolocation_zip_code_prefix"),
-        _coord(raw, "geolocation_lat"),
-        _coord(raw, "geolocation_lng"),
-        F.coalesce(F.col("geolocation_city").cast("string"), F.lit("")).alias("geolocation_city"),
-        F.coalesce(F.col("geolocation_state").cast("string"), F.lit("")).alias("geolocation_state"),
+    return raw.selectExpr(
+        f"{zfill_sql('geolocation_zip_code_prefix')} AS geolocation_zip_code_prefix",
+        _coord_sql(raw, "geolocation_lat"),
+        _coord_sql(raw, "geolocation_lng"),
+        "coalesce(CAST(geolocation_city AS STRING), '') AS geolocation_city",
+        "coalesce(CAST(geolocation_state AS STRING), '') AS geolocation_state",
     )
 
 
@@ -202,10 +231,11 @@ def dedup_geolocation(raw: DataFrame) -> DataFrame:
     return type_geolocation(raw).dropDuplicates()
 
 
-def clean_geolocation(raw: DataFrame) -> tuple[DataFrame, DataFrame]:
+def clean_geolocation(raw: DataFrame) -> Split:
     """De-dup then split on the box.  The quarantine keeps the table's columns only."""
     deduped = dedup_geolocation(raw)
-    return deduped.filter(in_box()), deduped.filter(~in_box())
+    flagged = deduped.select("*", (~in_box()).alias(REJECTED_FLAG))
+    return Split(deduped.filter(in_box()), deduped.filter(~in_box()), flagged, same_rows=False)
 
 
 # --- T13 ------------------------------------------------------------------------
@@ -239,6 +269,6 @@ def typed_table(raw: DataFrame, name: str) -> DataFrame:
     quarantined or de-duplicated (what the data-quality study looks at)."""
     if name == "geolocation":
         return type_geolocation(raw)
-    overrides = {"customers": {"customer_zip_code_prefix": zfill("customer_zip_code_prefix")},
-                 "sellers": {"seller_zip_code_prefix": zfill("seller_zip_code_prefix")}}.get(name)
-    return raw.select(*typed_exprs(raw, name, overrides))
+    overrides = {"customers": {"customer_zip_code_prefix": zfill_sql("customer_zip_code_prefix")},
+                 "sellers": {"seller_zip_code_prefix": zfill_sql("seller_zip_code_prefix")}}.get(name)
+    return raw.selectExpr(*typed_sql(raw, name, overrides))

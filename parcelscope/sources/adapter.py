@@ -15,11 +15,13 @@ distinct over ``part.p_brand``.
 
 from __future__ import annotations
 
+import weakref
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.timefn import TS_FORMAT
+from ..functions.timefn import TS_FORMAT, ident
 from ..schema import SCHEMAS, raw_schema
 
 DRIVER_TABLES = ("orders", "lineitem", "customer", "supplier", "part", "nation")
@@ -48,14 +50,25 @@ DRIVER_SCHEMAS = {
 }
 
 
+_SCANS: "weakref.WeakKeyDictionary[SparkSession, dict]" = weakref.WeakKeyDictionary()
+
+
 def read_driver(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """Scan one driver table.
+    """Scan one driver table (one lazy scan definition per session and path).
 
     A file written as a single row group can only be read by one task; when a
     scan yields fewer splits than the session has cores it is spread by a hash
     of its leading key (deterministic, so a retried task sees the same rows).
     On a cluster, where scans have thousands of splits, this is a no-op.
     """
+    scans = _SCANS.setdefault(spark, {})
+    key = (sf_dir, name)
+    if key not in scans:
+        scans[key] = _scan(spark, sf_dir, name)
+    return scans[key]
+
+
+def _scan(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     reader = spark.read
     if name in DRIVER_SCHEMAS:
         reader = reader.schema(DRIVER_SCHEMAS[name])
@@ -66,19 +79,6 @@ def read_driver(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return df
 
 
-def _txt(c: Column) -> Column:
-    """Value as source text; NULL becomes ''."""
-    return F.coalesce(c.cast("string"), F.lit(""))
-
-
-def _ts_txt(c: Column) -> Column:
-    return F.coalesce(F.date_format(c, TS_FORMAT), F.lit(""))
-
-
-def _dbl_txt(c: Column) -> Column:
-    return _txt(c.cast("double"))
-
-
 def _pick(index: Column, values: list[str]) -> Column:
     out = F.lit(values[-1])
     for i in range(len(values) - 2, -1, -1):
@@ -94,53 +94,48 @@ def to_raw_text(df: DataFrame, name: str, float_text: tuple[str, ...] = ()) -> D
     """
     cols = []
     for f in raw_schema(name).fields:
-        c = F.col(f.name)
+        q = ident(f.name)
         t = df.schema[f.name].dataType
         if isinstance(t, T.TimestampType):
-            e = _ts_txt(c)
+            e = f"date_format({q}, '{TS_FORMAT}')"
         elif f.name in float_text:
-            e = _dbl_txt(c)
+            e = f"CAST(CAST({q} AS DOUBLE) AS STRING)"
         else:
-            e = _txt(c)
-        cols.append(e.alias(f.name))
-    return df.select(cols)
+            e = f"CAST({q} AS STRING)"
+        cols.append(f"coalesce({e}, '') AS {q}")
+    return df.selectExpr(*cols)
 
 
 def _conform(df: DataFrame, name: str) -> DataFrame:
     """Typed canonical columns in schema order."""
-    return df.select([F.col(f.name).cast(f.dataType).alias(f.name) for f in SCHEMAS[name].fields])
+    return df.selectExpr(*[f"CAST({ident(f.name)} AS {f.dataType.simpleString()}) AS {ident(f.name)}"
+                           for f in SCHEMAS[name].fields])
 
 
-def _timeline_cols(k: Column, orderdate: Column) -> dict[str, Column]:
-    """The five order timestamps as flat expressions of the key and order date.
+def _timeline_sql(k: str = "o_orderkey", orderdate: str = "o_orderdate") -> dict[str, str]:
+    """The five order timestamps as flat SQL expressions of the key and order date.
 
     Epoch seconds are composed as plain long arithmetic and turned into
     timestamps once, so the optimizer can inline them anywhere cheaply.
     """
-    def at(secs: Column) -> Column:
-        return F.timestamp_seconds(secs)
-
-    def unless(cond: Column, v: Column) -> Column:
-        return F.when(~cond, v)
-
-    purchase = F.unix_seconds(orderdate.cast("timestamp")) + (k * 7919) % 86400
-    approved = unless(k % 101 == 0, purchase + F.lit(60) * ((k * 31) % 4320))
-    carrier = unless(k % 97 == 0, F.coalesce(approved, purchase) + F.lit(60) * ((k * 137) % 14400 - 720))
-    customer = unless(k % 89 == 0, F.coalesce(carrier, purchase) + F.lit(60) * ((k * 53) % 36000 - 180))
-    estimated = unless(k % 103 == 0, purchase + F.lit(86400) * (12 + k % 20))
-    return {"purchase": at(purchase), "approved": at(approved), "carrier": at(carrier),
-            "customer": at(customer), "estimated": at(estimated)}
+    purchase = f"(unix_seconds(CAST({orderdate} AS TIMESTAMP)) + ({k} * 7919) % 86400)"
+    approved = f"(CASE WHEN {k} % 101 <> 0 THEN {purchase} + 60 * (({k} * 31) % 4320) END)"
+    carrier = (f"(CASE WHEN {k} % 97 <> 0 THEN coalesce({approved}, {purchase}) "
+               f"+ 60 * (({k} * 137) % 14400 - 720) END)")
+    customer = (f"(CASE WHEN {k} % 89 <> 0 THEN coalesce({carrier}, {purchase}) "
+                f"+ 60 * (({k} * 53) % 36000 - 180) END)")
+    estimated = f"(CASE WHEN {k} % 103 <> 0 THEN {purchase} + 86400 * (12 + {k} % 20) END)"
+    secs = {"purchase": purchase, "approved": approved, "carrier": carrier, "customer": customer,
+            "estimated": estimated}
+    return {n: f"timestamp_seconds({v})" for n, v in secs.items()}
 
 
 def orders_timeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Typed order timeline ``k, custkey, status, purchase .. estimated``."""
     o = read_driver(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderstatus", "o_orderdate")
-    status = F.lit("")
-    for code, word in reversed(STATUS_MAP.items()):
-        status = F.when(F.col("o_orderstatus") == code, F.lit(word)).otherwise(status)
-    tl = _timeline_cols(F.col("o_orderkey"), F.col("o_orderdate"))
-    return o.select(F.col("o_orderkey").alias("k"), F.col("o_custkey").alias("custkey"), status.alias("status"),
-                    *[v.alias(n) for n, v in tl.items()])
+    status = " ".join(f"WHEN '{code}' THEN '{word}'" for code, word in STATUS_MAP.items())
+    return o.selectExpr("o_orderkey AS k", "o_custkey AS custkey", f"CASE o_orderstatus {status} ELSE '' END AS status",
+                        *[f"{v} AS {n}" for n, v in _timeline_sql().items()])
 
 
 def typed_orders(spark: SparkSession, sf_dir: str) -> DataFrame:

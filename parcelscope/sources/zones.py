@@ -14,7 +14,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators.clean import TRANSFORMS
+from ..operators.clean import REJECTED_FLAG, TRANSFORMS
 from ..schema import SCHEMAS, SORT_KEYS, TABLES, raw_schema
 
 RAW, CLEAN, REJECTED, WAREHOUSE = "raw_parquet", "clean_parquet", "rejected_parquet", "warehouse"
@@ -148,23 +148,35 @@ def _audit_columns(df: DataFrame) -> DataFrame:
                      .otherwise(F.lit(0.0)).alias("dropped_pct"))
 
 
-def etl_audit(raw: dict[str, DataFrame], split: dict[str, tuple[DataFrame, DataFrame]]) -> DataFrame:
+def etl_audit(raw: dict[str, DataFrame], split: dict) -> DataFrame:
     """S9 as a query: ``(table, before, after, rejected, dropped, dropped %)`` per table.
 
-    Every count is a global aggregate (one partial row per task, always one
-    output row even for an empty table); the 33 counts run as one union job.
+    Each table is read once: its flagged frame (typed rows with a ``_rejected``
+    flag) yields all three counts; only a de-duplicating step (geolocation)
+    needs a separate count of its input.  All tables are unioned into one
+    aggregate (one partial row per table and task, one tiny reduce), and a
+    constant zero row per table keeps an empty table in the report.
     """
-    parts = []
+    spark = next(iter(raw.values())).sparkSession
+    zero = F.lit(0).cast("long")
+    one = F.lit(1).cast("long")
+    parts = [spark.createDataFrame([(name,) for name in raw], "table_name string")
+             .select("table_name", zero.alias("b"), zero.alias("a"), zero.alias("r"))]
     for name, df in raw.items():
-        clean, rejected = split[name]
-        for kind, d in (("before", df), ("after", clean), ("rejected", rejected)):
-            parts.append(d.agg(F.count(F.lit(1)).alias("n")).select(
-                F.lit(name).alias("table_name"), F.lit(kind).alias("kind"), "n"))
+        s = split[name]
+        flag = F.col(REJECTED_FLAG)
+        if not getattr(s, "same_rows", True):
+            parts.append(df.select(F.lit(name).alias("table_name"), one.alias("b"), zero.alias("a"), zero.alias("r")))
+            before = zero
+        else:
+            before = one
+        parts.append(s.flagged.select(F.lit(name).alias("table_name"), before.alias("b"),
+                                      (~flag).cast("long").alias("a"), flag.cast("long").alias("r")))
     u = parts[0]
     for p in parts[1:]:
         u = u.unionByName(p)
-    wide = u.groupBy("table_name").agg(*[F.sum(F.when(F.col("kind") == k, F.col("n"))).alias(f"rows_{k}")
-                                         for k in ("before", "after", "rejected")])
+    wide = u.groupBy("table_name").agg(F.sum("b").alias("rows_before"), F.sum("a").alias("rows_after"),
+                                       F.sum("r").alias("rows_rejected"))
     return _audit_columns(wide)
 
 

@@ -13,6 +13,7 @@ Checkpoints live under the shared folder the cluster names in
 
 from __future__ import annotations
 
+import hashlib
 import os
 
 from pyspark.sql import SparkSession
@@ -38,9 +39,20 @@ def landing_stream(spark: SparkSession, landing_dir: str, name: str):
             .na.fill(""))
 
 
+def stream_checkpoint(spark: SparkSession, lake: str, name: str) -> str:
+    """Checkpoint folder of one table's ingest into one lake.
+
+    It sits under ``spark.checkpoint.dir`` and is keyed by the sink location as
+    well as the table, so two lakes never share (and corrupt) a checkpoint.
+    """
+    sink = os.path.join(lake, RAW, name)
+    digest = hashlib.sha1(sink.encode()).hexdigest()[:16]
+    return os.path.join(checkpoint_dir(spark), "parcelscope-ingest", digest, name)
+
+
 def ingest_table(spark: SparkSession, landing_dir: str, lake: str, name: str) -> StreamingQuery:
     """Start one run for one table: append the newly landed files to the raw zone."""
-    ckpt = os.path.join(checkpoint_dir(spark), "ingest", name)
+    ckpt = stream_checkpoint(spark, lake, name)
     return (landing_stream(spark, landing_dir, name).writeStream
             .format("parquet").outputMode("append")
             .option("path", os.path.join(lake, RAW, name))
