@@ -10,6 +10,24 @@ from pyspark.sql import SparkSession
 UTC = "UTC"
 
 
+# Settings for a large cluster (hundreds of executors, tens of TB per job).
+# Shuffle partitions are sized for the largest shuffle (~100 TB / 128 MB per
+# task before coalescing) and AQE merges small ones back to the advisory size;
+# skew splitting is on for joins whose one key holds a large share of rows.
+CLUSTER_CONF = {
+    "spark.sql.shuffle.partitions": "20000",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
+    "spark.sql.adaptive.coalescePartitions.minPartitionSize": "64m",
+    "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "4",
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "512m",
+    "spark.sql.files.maxPartitionBytes": "256m",
+    "spark.sql.autoBroadcastJoinThreshold": "64m",
+    "spark.sql.sources.bucketing.autoBucketedScan.enabled": "true",
+    "spark.task.maxFailures": "8",
+    "spark.stage.maxConsecutiveAttempts": "8",
+}
+
+
 def build_session(master: str | None = None, app: str = "parcelscope",
                   shuffle_partitions: int | None = None, extra: dict[str, str] | None = None) -> SparkSession:
     """A session with the settings every job here assumes.
@@ -19,6 +37,8 @@ def build_session(master: str | None = None, app: str = "parcelscope",
     * AQE on, with partition coalescing and skew-join splitting, so the shuffle
       partition count can be sized for the largest input and trimmed at runtime;
     * the web UI off (batch jobs, nothing to serve).
+
+    Pass ``extra=CLUSTER_CONF`` on a large cluster.
     """
     b = SparkSession.builder.appName(app)
     if master:
