@@ -49,11 +49,6 @@ def to_double(c: str | Column) -> Column:
     return _c(c).try_cast("double")
 
 
-def to_int_via_double(c: str | Column) -> Column:
-    """``'40.0'`` -> 40; ``''``/``'x'`` -> NULL.  Fractions are left to the caller."""
-    return to_double(c).cast("int")
-
-
 def ident(name: str) -> str:
     """A column name quoted for SQL expression text."""
     return "`" + name.replace("`", "``") + "`"

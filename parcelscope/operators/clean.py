@@ -72,11 +72,6 @@ def typed_sql(df: DataFrame, name: str, overrides: dict[str, str] | None = None)
     return out
 
 
-def typed_exprs(df: DataFrame, name: str, overrides: dict[str, str] | None = None) -> list[Column]:
-    """``typed_sql`` as Columns."""
-    return [F.expr(e) for e in typed_sql(df, name, overrides)]
-
-
 def first_reason(checks: list[tuple[Column, str]]) -> Column:
     """Reason of the first failing check, NULL when every check passes."""
     out = F.lit(None).cast("string")
