@@ -43,6 +43,17 @@ def test_filters_and_columns_reach_the_scan(spark, lake):
     assert "order_id" not in schema and "order_approved_at" not in schema
 
 
+def test_month_partitions_are_pruned(spark, lake):
+    orders = zones.read_zone(spark, lake, zones.CLEAN, "orders")
+    assert "purchase_month" in orders.columns
+    plan = _plan(M.q2a_monthly_delivery({"orders": orders}, since="1998-01-01"))
+    part = plan[plan.index("PartitionFilters: ["):].split("]", 1)[0]
+    assert "purchase_month" in part
+    months = orders.select("purchase_month").distinct().count()
+    kept = orders.filter("purchase_month >= date'1998-01-01'").select("purchase_month").distinct().count()
+    assert 0 < kept < months
+
+
 def test_stage_breakdown_scans_once(spark, lake):
     plan = _plan(M.q4a_stage_lead_time(_clean(spark, lake)))
     assert plan.count("FileScan parquet") == 1
