@@ -198,9 +198,13 @@ def etl_audit(raw: dict[str, DataFrame], split: dict) -> DataFrame:
     return _audit_columns(wide)
 
 
-def run_pipeline(spark: SparkSession, source_dir: str, lake: str, buckets: int | None = None) -> DataFrame:
-    """The daily run: extract, transform, load, in that order; returns the audit."""
-    extract(spark, source_dir, lake)
-    log = transform(spark, lake)
+def run_daily(spark: SparkSession, source_dir: str, lake: str, buckets: int | None = None) -> DataFrame:
+    """The daily run: extract, transform, load, in that order; returns the audit.
+
+    Only the tables extracted in this run are transformed and loaded, so a raw
+    copy left by an earlier run is never mistaken for today's data.
+    """
+    extracted = extract(spark, source_dir, lake)
+    log = transform(spark, lake, list(extracted))
     load_tables(spark, lake, [t for t, *_ in log], buckets=buckets)
     return audit_frame(spark, log)

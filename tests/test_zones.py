@@ -42,7 +42,7 @@ def test_round_trip_csv_to_clean_zone(spark, tmpdir_path):
         part = [p for p in os.listdir(out) if p.endswith(".csv")][0]
         os.makedirs(src, exist_ok=True)
         os.rename(os.path.join(out, part), os.path.join(src, f"{name}.csv"))
-    audit = zones.run_pipeline(spark, src, lake)
+    audit = zones.run_daily(spark, src, lake)
     rows = {r.table_name: r for r in audit.collect()}
     assert "mql" not in rows and set(rows) == set(TABLES) - {"mql"}
     expected = clean_tables({n: d for n, d in raw.items() if n != "mql"})
@@ -54,7 +54,7 @@ def test_round_trip_csv_to_clean_zone(spark, tmpdir_path):
     wh = zones.read_zone(spark, lake, zones.WAREHOUSE, "orders")
     assert wh.count() == rows["orders"].rows_after
     # a second run replaces everything (idempotent)
-    again = {r.table_name: r.rows_after for r in zones.run_pipeline(spark, src, lake).collect()}
+    again = {r.table_name: r.rows_after for r in zones.run_daily(spark, src, lake).collect()}
     assert again == {k: v.rows_after for k, v in rows.items()}
 
 
