@@ -184,6 +184,15 @@ def q2e_estimate_vs_actual(tables) -> DataFrame:
     )
 
 
+def estimate_gap(tables) -> DataFrame:
+    """Estimated vs actual delivery days and the gap between them (difference of
+    the unrounded averages, then rounded), as shown next to 2e."""
+    est, act = F.avg(days_between(PURCHASE, ESTIMATED)), F.avg(days_between(PURCHASE, CUSTOMER))
+    return delivered(tables).agg(est.alias("e"), act.alias("a")).select(
+        _r2(F.col("e")).alias("avg_estimated_days"), _r2(F.col("a")).alias("avg_actual_days"),
+        _r2(F.col("e") - F.col("a")).alias("gap_days"))
+
+
 def q2f_days_early(tables) -> DataFrame:
     return delivered(tables).agg(_r2(F.avg(days_between(CUSTOMER, ESTIMATED))).alias("avg_days_early"))
 

@@ -222,6 +222,9 @@ GROUP BY 1 ORDER BY 1"""
     q["q2d_monthly_on_time"] = q["q2b_monthly_on_time"]
     q["q2e_estimate_vs_actual"] = f"""
 SELECT round(avg({d(P, E)}), 2) AS avg_estimated_days, round(avg({d(P, CU)}), 2) AS avg_actual_days FROM dlv"""
+    q["estimate_gap"] = f"""
+SELECT round(avg({d(P, E)}), 2) AS avg_estimated_days, round(avg({d(P, CU)}), 2) AS avg_actual_days,
+       round(avg({d(P, E)}) - avg({d(P, CU)}), 2) AS gap_days FROM dlv"""
     q["q2f_days_early"] = f"SELECT round(avg({d(CU, E)}), 2) AS avg_days_early FROM dlv"
 
     status = f"CASE WHEN o.{CU} <= o.{E} THEN 'On Time' ELSE 'Late' END"

@@ -156,6 +156,7 @@ def metric_queries() -> dict[str, Query]:
         "q7c_category_late_rate": _metric(M.q7c_category_late_rate, PRODUCT_TABLES, min_rows=MIN_CATEGORY),
         "q8a_state_delivery_freight": _metric(M.q8a_state_delivery_freight, STATE_TABLES),
         "q8b_state_late_freight": _metric(M.q8b_state_late_freight, STATE_TABLES),
+        "estimate_gap": _metric(M.estimate_gap, ORDER_TABLES),
         "trend_delivery_days": _trend(M.q2a_monthly_delivery, "avg_delivery_days", TREND_PERIODS[0]),
         "trend_on_time_rate": _trend(M.q2b_monthly_on_time, "on_time_rate", TREND_PERIODS[1]),
     }
