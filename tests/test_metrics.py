@@ -168,5 +168,5 @@ def test_estimate_gap_uses_unrounded_averages(spark):
     rows = [order("a", customer=days(1), estimated=days(3)), order("b", customer=days(2), estimated=days(3)),
             order("c", customer=days(2), estimated=days(4)), order("d", customer=None, estimated=days(5))]
     g = M.estimate_gap(_tables(spark, orders=rows)).first()
-    # estimated: (3+3+4+5)/4 = 3.75; actual: (1+2+2)/3 = 1.666..; gap 2.0833 -> 2.08 (not 3.75 - 1.67 = 2.08 by luck)
+    # estimated (3+3+4+5)/4 = 3.75, actual (1+2+2)/3 = 1.666.., gap 2.0833 -> 2.08
     assert (g.avg_estimated_days, g.avg_actual_days, g.gap_days) == (3.75, 1.67, 2.08)
