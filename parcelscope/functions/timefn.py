@@ -10,8 +10,11 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Text layout of timestamps in the source files.
+# Text layout of timestamps in the source files, and the two
+# delivery status labels of the dashboard.
 TS_FORMAT = "yyyy-MM-dd HH:mm:ss"
+ON_TIME_LABEL = "On Time"
+LATE_LABEL = "Late"
 
 
 def _c(c: str | Column) -> Column:
@@ -85,7 +88,7 @@ def is_on_time(delivered: str | Column = "order_delivered_customer_date",
 def delivery_status(delivered: str | Column = "order_delivered_customer_date",
                     estimated: str | Column = "order_estimated_delivery_date") -> Column:
     """'On Time' when delivered by the estimate, otherwise (NULL included) 'Late'."""
-    return F.when(is_on_time(delivered, estimated), F.lit("On Time")).otherwise(F.lit("Late"))
+    return F.when(is_on_time(delivered, estimated), F.lit(ON_TIME_LABEL)).otherwise(F.lit(LATE_LABEL))
 
 
 def pct(part: Column, whole: Column) -> Column:

@@ -10,13 +10,35 @@ the way the dashboard states it (joins at item grain, ``count(DISTINCT ...)``,
 
 from __future__ import annotations
 
-from ..operators.clean import BOTH_REASONS, CARRIER_BEFORE_APPROVED, CUSTOMER_BEFORE_CARRIER
+from ..functions.timefn import LATE_LABEL, ON_TIME_LABEL
+from ..operators.clean import BOTH_REASONS, CARRIER_BEFORE_APPROVED, CUSTOMER_BEFORE_CARRIER, LAT_RANGE, LNG_RANGE
+from ..sources.adapter import (LEAD_TYPES, ORIGINS, PAYMENT_TYPES, SEGMENTS, STATUS_MAP,
+                               UNTRANSLATED_BRANDS)
+from . import metrics as M
+
+
+def _pick(expr: str, values: list[str]) -> str:
+    """``values[expr]`` for ``expr`` in 0..n-1 (the last value catches the rest)."""
+    whens = " ".join(f"WHEN {i} THEN '{v}'" for i, v in enumerate(values[:-1]))
+    return f"CASE {expr} {whens} ELSE '{values[-1]}' END"
+
+
+def _in_box(lat: str = "geolocation_lat", lng: str = "geolocation_lng") -> str:
+    return (f"coalesce({lat} BETWEEN {LAT_RANGE[0]} AND {LAT_RANGE[1]} "
+            f"AND {lng} BETWEEN {LNG_RANGE[0]} AND {LNG_RANGE[1]}, false)")
+
+
+def _quoted(values) -> str:
+    return ", ".join(f"'{v}'" for v in values)
+
+
+STATUS_CASE = ("CASE o_orderstatus " + " ".join(f"WHEN '{c}' THEN '{w}'" for c, w in STATUS_MAP.items())
+               + " ELSE '' END")
 
 BASE = f"""
 o_t1 AS (
   SELECT o_orderkey AS k, o_custkey AS custkey,
-         CASE o_orderstatus WHEN 'F' THEN 'delivered' WHEN 'O' THEN 'shipped'
-                            WHEN 'P' THEN 'canceled' ELSE '' END AS status,
+         {STATUS_CASE} AS status,
          o_orderdate + to_seconds((o_orderkey * 7919) % 86400) AS purchase
   FROM orders),
 o_t2 AS (
@@ -56,8 +78,7 @@ items AS (
 o_typed AS (SELECT * EXCLUDE (cba, cbc) FROM o_all),
 pay AS (
   SELECT CAST(o_orderkey AS VARCHAR) AS order_id, 1 AS payment_sequential,
-         CASE o_orderkey % 4 WHEN 0 THEN 'credit_card' WHEN 1 THEN 'boleto' WHEN 2 THEN 'voucher'
-                             ELSE 'debit_card' END AS payment_type,
+         {_pick(f"o_orderkey % {len(PAYMENT_TYPES)}", PAYMENT_TYPES)} AS payment_type,
          CAST(CASE WHEN o_orderkey % 71 = 0 THEN 0 ELSE 1 + o_orderkey % 12 END AS INTEGER) AS payment_installments,
          CASE WHEN o_orderkey % 83 = 0 THEN CAST(0 AS DOUBLE) ELSE o_totalprice END AS payment_value
   FROM orders),
@@ -66,16 +87,14 @@ mql_t AS (
          printf('2018-%02d-%02d', 1 + s_suppkey % 12, 1 + s_suppkey % 28) AS first_contact_date,
          'lp_' || CAST(s_suppkey % 7 AS VARCHAR) AS landing_page_id,
          CASE WHEN s_suppkey % 40 = 0 THEN ''
-              ELSE CASE s_suppkey % 5 WHEN 0 THEN 'organic_search' WHEN 1 THEN 'paid_search' WHEN 2 THEN 'social'
-                                      WHEN 3 THEN 'email' ELSE 'direct_traffic' END END AS origin
+              ELSE {_pick(f"s_suppkey % {len(ORIGINS)}", ORIGINS)} END AS origin
   FROM supplier),
 deals AS (
   SELECT 'mql_' || CAST(s_suppkey AS VARCHAR) AS mql_id, CAST(s_suppkey AS VARCHAR) AS seller_id,
          'sdr_' || CAST(s_suppkey % 4 AS VARCHAR) AS sdr_id, 'sr_' || CAST(s_suppkey % 6 AS VARCHAR) AS sr_id,
          printf('2018-%02d-%02d 00:00:00', 1 + s_suppkey % 12, 1 + s_suppkey % 28) AS won_date,
-         CASE s_suppkey % 4 WHEN 0 THEN 'home_decor' WHEN 1 THEN 'health_beauty' WHEN 2 THEN 'car_accessories'
-                            ELSE 'computers' END AS business_segment,
-         CASE s_suppkey % 3 WHEN 0 THEN 'online_medium' WHEN 1 THEN 'online_big' ELSE 'industry' END AS lead_type,
+         {_pick(f"s_suppkey % {len(SEGMENTS)}", SEGMENTS)} AS business_segment,
+         {_pick(f"s_suppkey % {len(LEAD_TYPES)}", LEAD_TYPES)} AS lead_type,
          CASE WHEN s_suppkey % 5 = 0 THEN '' ELSE 'cat' END AS lead_behaviour_profile,
          CASE WHEN s_suppkey % 2 = 0 THEN '' ELSE 'True' END AS has_company,
          CASE WHEN s_suppkey % 2 = 0 THEN '' ELSE 'False' END AS has_gtin,
@@ -112,7 +131,7 @@ prod AS (
 ct AS (
   SELECT DISTINCT p_brand AS product_category_name,
          replace(p_brand, 'Brand#', 'brand_') AS product_category_name_english
-  FROM part WHERE p_brand NOT IN ('Brand#3', 'Brand#7')),
+  FROM part WHERE p_brand NOT IN ({_quoted(UNTRANSLATED_BRANDS)})),
 rev_k AS (SELECT o_orderkey AS k, o_orderdate + to_seconds((o_orderkey * 7919) % 86400) AS purchase FROM orders),
 rev_1 AS (
   SELECT 'rv' || CAST(k AS VARCHAR) AS review_id, k,
@@ -144,11 +163,11 @@ geo_typed AS (
 geo_dedup AS (SELECT DISTINCT * FROM geo_typed),
 geo_clean AS (
   SELECT * FROM geo_dedup
-  WHERE coalesce(geolocation_lat BETWEEN -35 AND 5 AND geolocation_lng BETWEEN -75 AND -30, false)),
+  WHERE {_in_box()}),
 geo_rejected AS (
   SELECT * FROM geo_dedup
-  WHERE NOT coalesce(geolocation_lat BETWEEN -35 AND 5 AND geolocation_lng BETWEEN -75 AND -30, false)),
-dlv AS (SELECT * FROM o_clean WHERE order_status = 'delivered')
+  WHERE NOT {_in_box()}),
+dlv AS (SELECT * FROM o_clean WHERE order_status = '{M.DELIVERED}')
 """
 
 
@@ -184,14 +203,19 @@ ON_TIME = f"{CU} <= {E}"
 def metric_sql(since: str, min_state: int, min_freight: int, min_seller: int, min_category: int,
                trend_periods: tuple[int, int]) -> dict[str, str]:
     q: dict[str, str] = {}
+    day_case = ("CASE " + " ".join(f"WHEN dd <= {e} THEN '{label}'" for e, label in M.DAY_BUCKETS)
+                + f" ELSE '{M.LAST_DAY_BUCKET}' END")
+    weight_case = ("CASE " + " ".join(f"WHEN p.product_weight_g < {e} THEN '{label}'" for e, label in M.WEIGHT_BUCKETS)
+                   + f" ELSE '{M.LAST_WEIGHT_BUCKET}' END")
+    (n1, s1, _, _), (n2, s2, _, _), (n3, s3, _, _) = M.STAGES
+    on, late = ON_TIME_LABEL, LATE_LABEL
     q["q1a_delivery_stats"] = f"""
 SELECT round(avg(x) / 24, 2) AS avg_days,
        round(quantile_cont(x, 0.5) / 24, 2) AS median_days,
        round(quantile_cont(x, 0.9) / 24, 2) AS p90_days
 FROM (SELECT {h(P, CU)} AS x FROM dlv WHERE {P} IS NOT NULL AND {CU} IS NOT NULL)"""
     q["q1b_delivery_histogram"] = f"""
-SELECT CASE WHEN dd <= 5 THEN '0-5 Days' WHEN dd <= 10 THEN '6-10 Days' WHEN dd <= 15 THEN '11-15 Days'
-            WHEN dd <= 20 THEN '16-20 Days' WHEN dd <= 25 THEN '21-25 Days' ELSE '>25 Days' END AS delivery_time,
+SELECT {day_case} AS delivery_time,
        count(*) AS total_orders
 FROM (SELECT {d(P, CU)} AS dd FROM dlv WHERE {P} IS NOT NULL AND {CU} IS NOT NULL)
 GROUP BY 1"""
@@ -227,7 +251,7 @@ SELECT round(avg({d(P, E)}), 2) AS avg_estimated_days, round(avg({d(P, CU)}), 2)
        round(avg({d(P, E)}) - avg({d(P, CU)}), 2) AS gap_days FROM dlv"""
     q["q2f_days_early"] = f"SELECT round(avg({d(CU, E)}), 2) AS avg_days_early FROM dlv"
 
-    status = f"CASE WHEN o.{CU} <= o.{E} THEN 'On Time' ELSE 'Late' END"
+    status = f"CASE WHEN o.{CU} <= o.{E} THEN '{on}' ELSE '{late}' END"
     q["q3a_review_by_status"] = f"""
 SELECT {status} AS delivery_status, round(avg(r.review_score), 2) AS avg_review_score, count(*) AS total_orders
 FROM dlv o JOIN rev r ON o.order_id = r.order_id
@@ -238,28 +262,28 @@ SELECT o.order_id AS order_id, r.review_score AS review_score, {status} AS deliv
 FROM dlv o JOIN rev r ON o.order_id = r.order_id
 WHERE r.review_score IS NOT NULL"""
     q["q4a_stage_lead_time"] = f"""
-SELECT 1 AS sort_order, 'Payment Approval' AS stage, round(avg({h(P, A)}) / 24, 2) AS avg_days
+SELECT {n1} AS sort_order, '{s1}' AS stage, round(avg({h(P, A)}) / 24, 2) AS avg_days
 FROM dlv WHERE {P} IS NOT NULL AND {A} IS NOT NULL
 UNION ALL
-SELECT 2, 'Seller Processing', round(avg({h(A, C)}) / 24, 2)
+SELECT {n2}, '{s2}', round(avg({h(A, C)}) / 24, 2)
 FROM dlv WHERE {A} IS NOT NULL AND {C} IS NOT NULL
 UNION ALL
-SELECT 3, 'Delivery to Customer', round(avg({h(C, CU)}) / 24, 2)
+SELECT {n3}, '{s3}', round(avg({h(C, CU)}) / 24, 2)
 FROM dlv WHERE {C} IS NOT NULL AND {CU} IS NOT NULL
 ORDER BY sort_order"""
     q["q4b_stage_by_status"] = f"""
 , dd AS (
-  SELECT CASE WHEN {ON_TIME} THEN 'On Time' ELSE 'Late' END AS st,
+  SELECT CASE WHEN {ON_TIME} THEN '{on}' ELSE '{late}' END AS st,
          {h(P, A)} AS pay, {h(A, C)} AS sel, {h(C, CU)} AS lgs
   FROM dlv WHERE {P} IS NOT NULL AND {A} IS NOT NULL AND {C} IS NOT NULL AND {CU} IS NOT NULL)
-SELECT 'Payment Approval' AS stage, round(avg(pay) FILTER (WHERE st = 'On Time') / 24, 2) AS on_time_days,
-       round(avg(pay) FILTER (WHERE st = 'Late') / 24, 2) AS late_days FROM dd
+SELECT '{s1}' AS stage, round(avg(pay) FILTER (WHERE st = '{on}') / 24, 2) AS on_time_days,
+       round(avg(pay) FILTER (WHERE st = '{late}') / 24, 2) AS late_days FROM dd
 UNION ALL
-SELECT 'Seller Processing', round(avg(sel) FILTER (WHERE st = 'On Time') / 24, 2),
-       round(avg(sel) FILTER (WHERE st = 'Late') / 24, 2) FROM dd
+SELECT '{s2}', round(avg(sel) FILTER (WHERE st = '{on}') / 24, 2),
+       round(avg(sel) FILTER (WHERE st = '{late}') / 24, 2) FROM dd
 UNION ALL
-SELECT 'Delivery to Customer', round(avg(lgs) FILTER (WHERE st = 'On Time') / 24, 2),
-       round(avg(lgs) FILTER (WHERE st = 'Late') / 24, 2) FROM dd"""
+SELECT '{s3}', round(avg(lgs) FILTER (WHERE st = '{on}') / 24, 2),
+       round(avg(lgs) FILTER (WHERE st = '{late}') / 24, 2) FROM dd"""
     q["q5a_state_delivery"] = f"""
 SELECT c.customer_state AS customer_state, round(avg({h(P, CU, 'o')}) / 24, 2) AS avg_delivery_days,
        count(*) AS total_delivered_orders
@@ -314,8 +338,7 @@ SELECT coalesce(ct.product_category_name_english, '') AS product_category,
 GROUP BY 1 HAVING count(*) >= {min_category}
 ORDER BY avg_delivery_days DESC NULLS LAST, product_category LIMIT 10"""
     q["q7b_weight_delivery"] = f"""
-SELECT CASE WHEN p.product_weight_g < 500 THEN '< 0.5 kg' WHEN p.product_weight_g < 1000 THEN '0.5 - 1 kg'
-            WHEN p.product_weight_g < 5000 THEN '1 - 5 kg' ELSE '> 5 kg' END AS weight_category,
+SELECT {weight_case} AS weight_category,
        round(avg({h(P, CU, 'o')}) / 24, 2) AS avg_delivery_days, count(*) AS total_items_sold
 FROM items i JOIN dlv o ON i.order_id = o.order_id JOIN prod p ON i.product_id = p.product_id
 GROUP BY 1 ORDER BY avg_delivery_days DESC"""
@@ -491,7 +514,8 @@ ORDER BY count DESC, {', '.join(c + ' NULLS FIRST' for c in gcols)} LIMIT 20"""
         rule("products", "prod", "weight_or_dimensions",
              "product_weight_g <= 0 OR product_length_cm <= 0 OR product_height_cm <= 0 OR product_width_cm <= 0"),
         rule("geolocation", "geo_typed", "outside_box",
-             "geolocation_lat < -35 OR geolocation_lat > 5 OR geolocation_lng < -75 OR geolocation_lng > -30"),
+             f"geolocation_lat < {LAT_RANGE[0]} OR geolocation_lat > {LAT_RANGE[1]} "
+             f"OR geolocation_lng < {LNG_RANGE[0]} OR geolocation_lng > {LNG_RANGE[1]}"),
         rule("order_reviews", "rev", "score_out_of_range", "review_score < 1 OR review_score > 5"),
     ])
     q["e19_order_violations"] = f"""
