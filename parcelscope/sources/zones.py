@@ -118,12 +118,15 @@ def transform(spark: SparkSession, lake: str, names=TABLES) -> list[tuple[str, i
             raw = read_zone(spark, lake, RAW, name)
         except AnalysisException:
             continue
-        clean, rejected = TRANSFORMS[name](raw)
+        split = TRANSFORMS[name](raw)
+        clean, rejected = split
         o_clean, o_rej = Observation(f"clean_{name}"), Observation(f"rejected_{name}")
         write_zone(clean, os.path.join(lake, CLEAN, name), name, o_clean, partitioned=True)
         write_zone(rejected, os.path.join(lake, REJECTED, name), None, o_rej)
-        before = read_zone(spark, lake, RAW, name).count()
-        log.append((name, before, o_clean.get["rows"], o_rej.get["rows"]))
+        after, n_rej = o_clean.get["rows"], o_rej.get["rows"]
+        # one row out per row in, unless the step de-duplicates: then count the input
+        before = after + n_rej if getattr(split, "same_rows", True) else raw.count()
+        log.append((name, before, after, n_rej))
     return log
 
 
