@@ -24,14 +24,19 @@ from ..session import checkpoint_dir
 from ..sources.zones import RAW
 
 
-def landing_stream(spark: SparkSession, landing_dir: str, name: str):
+MAX_FILES_PER_BATCH = 1000
+
+
+def landing_stream(spark: SparkSession, landing_dir: str, name: str, max_files: int = MAX_FILES_PER_BATCH):
     """New ``<name>*.csv`` files in ``landing_dir`` as a stream of raw (all-text) rows.
 
     The header is checked against the declared column names
     (``enforceSchema=false``), so a file with other columns fails loudly instead
-    of being read by position.
+    of being read by position.  A backlog is drained in micro-batches of at most
+    ``max_files`` files, each committed to the checkpoint before the next.
     """
     return (spark.readStream.schema(raw_schema(name))
+            .option("maxFilesPerTrigger", max_files)
             .option("header", True).option("enforceSchema", False)
             .option("multiLine", True).option("quote", '"').option("escape", '"')
             .option("pathGlobFilter", f"{name}*.csv")
