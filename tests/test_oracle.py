@@ -36,6 +36,8 @@ def con():
 
 
 ORACLES = E.oracle_sql()
+SPARK_TO_DUCK = {"string": "VARCHAR", "bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE",
+                 "date": "DATE", "timestamp_ntz": "TIMESTAMP", "boolean": "BOOLEAN"}
 
 
 @pytest.mark.parametrize("key", sorted(E.queries()))
@@ -51,6 +53,8 @@ def test_query_matches_oracle(spark, con, key):
     cur = con.execute(ORACLES[key])
     dcols = [c[0] for c in cur.description]
     assert sorted(dcols) == sorted(sdf.columns)
+    dtypes = {c[0]: str(c[1]) for c in cur.description}
+    assert {c: SPARK_TO_DUCK.get(t, t) for c, t in sdf.dtypes} == dtypes
     order = [dcols.index(c) for c in sdf.columns]
     a = sorted(tuple(_norm(x) for x in r) for r in srows)
     b = sorted(tuple(_norm(r[i]) for i in order) for r in cur.fetchall())
