@@ -26,6 +26,10 @@ def test_csv_edge_cases(spark, tmpdir_path):
     assert got["s2"].seller_state == "" and got["s3"].seller_city == "" and got["s3"].seller_state == ""
     assert not zones.source_exists(spark, os.path.join(tmpdir_path, "absent.csv"))
     assert zones.source_exists(spark, path)
+    # the study's reader: inferred types, empty fields as NULL
+    inferred = zones.read_inferred_csv(spark, path)
+    assert dict(inferred.dtypes)["seller_id"] == "string"
+    assert {r.seller_id: r.seller_state for r in inferred.collect()}["s2"] is None
 
 
 def test_round_trip_csv_to_clean_zone(spark, tmpdir_path):
