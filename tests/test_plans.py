@@ -78,3 +78,15 @@ def test_bucketed_warehouse_joins_without_shuffling_facts(spark, lake):
     assert "hashpartitioning(order_id" not in plan
     # only the order-level partial sums move, to meet the customers
     assert "hashpartitioning(customer_id" in plan
+
+
+def test_bucketed_warehouse_seller_pairs_stay_in_buckets(spark, lake):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        t = {n: spark.table(f"wh_{n}") for n in ["orders", "order_items"]}
+        plan = _plan(M.q6b_seller_processing(t, min_rows=1))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    # (order, seller) pairs are built and joined to orders inside the order_id buckets
+    assert "hashpartitioning(order_id" not in plan
+    assert "hashpartitioning(seller_id" in plan
