@@ -90,3 +90,15 @@ def test_bucketed_warehouse_seller_pairs_stay_in_buckets(spark, lake):
     # (order, seller) pairs are built and joined to orders inside the order_id buckets
     assert "hashpartitioning(order_id" not in plan
     assert "hashpartitioning(seller_id" in plan
+
+
+def test_dedup_combines_before_the_shuffle(spark):
+    from parcelscope.operators.clean import dedup_geolocation
+    from parcelscope.sources.adapter import raw_table
+    plan = _plan(dedup_geolocation(raw_table(spark, SF_SMALL, "geolocation")))
+    # partial aggregate -> exchange -> final aggregate: a point repeated in every row leaves each task as one row
+    lines = [ln.strip(" :+-*()0123456789") for ln in plan.splitlines()]
+    aggs = [i for i, ln in enumerate(lines) if ln.startswith("HashAggregate")]
+    exchanges = [i for i, ln in enumerate(lines) if ln.startswith("Exchange hashpartitioning(geolocation")]
+    assert len(aggs) >= 2 and exchanges
+    assert aggs[0] < exchanges[0] < aggs[-1]
