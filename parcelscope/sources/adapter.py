@@ -9,8 +9,10 @@ is built typed (``typed_source``) and can be rendered as the *raw zone*
 step parses text exactly as it would for CSV input.
 
 Everything is a narrow projection over a single scan, apart from two bounded
-broadcasts of the 25-row ``nation`` table (a fixed-size TPC-H dimension) and a
-distinct over ``part.p_brand``.
+broadcasts of the 25-row ``nation`` table (a fixed-size TPC-H dimension), a
+distinct over ``part.p_brand``, two unions (duplicate geolocation points,
+second reviews) and the hash fan-out of scans that have fewer splits than
+cores (see ``read_driver``).
 """
 
 from __future__ import annotations
