@@ -22,6 +22,7 @@ from parcelscope.sources.adapter import raw_table  # noqa: E402
 
 NAMES = ["orders", "order_items", "customers", "products", "category_translation", "order_reviews"]
 CARDS = [
+    ("q1a_delivery_stats (distributed histogram, then exact weighted percentiles)", "clean", M.q1a_delivery_stats),
     ("q2a_monthly_delivery (clean zone, month partitions)", "clean", lambda t: M.q2a_monthly_delivery(t, "1998-01-01")),
     ("q4a_stage_lead_time (one scan)", "clean", M.q4a_stage_lead_time),
     ("q3a_review_by_status (reviews pre-aggregated per order)", "clean", M.q3a_review_by_status),
