@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 LOWER = UPPER.lower()
-CHUNK_BYTES = 2 << 20  # text bytes that one vectorised step handles
+CHUNK_BYTES, CHUNK_ROWS = 2 << 20, 50_000  # text bytes and texts that one vectorised step handles
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -112,12 +112,12 @@ def window_hashes(h: np.ndarray, w: int) -> np.ndarray:
 
 
 def chunks(*columns: list, size=lambda row: len(row[-1])):
-    """Rows of parallel columns in runs of about CHUNK_BYTES (the last column holds bytes)."""
+    """Rows of parallel columns in runs of about CHUNK_BYTES, CHUNK_ROWS at most (the last column holds bytes)."""
     part, held = [], 0
     for row in zip(*columns):
         part.append(row)
         held += size(row)
-        if held >= CHUNK_BYTES:
+        if held >= CHUNK_BYTES or len(part) >= CHUNK_ROWS:
             yield [list(c) for c in zip(*part)]
             part, held = [], 0
     if part:

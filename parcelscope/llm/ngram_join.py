@@ -17,7 +17,7 @@ A text's set is its distinct ``NGRAM``-word shingles (the whole sequence if it h
 5. Components over the links give each document's class id.
 
 A hash range holds as many shingle entries as the shuffle partitions ask for; one shingle
-costs 16 bytes per *different* text that has it.  Nulls and texts without words have an empty
+costs 5 bytes per *different* text that has it.  Nulls and texts without words have an empty
 set, link with nothing and are their own component.  Repeated doc_ids each give a row.  A
 null doc_id is carried along and counts as larger than any other.
 """
@@ -29,6 +29,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -75,10 +76,14 @@ def _keys_of(n: int):
     return run
 
 
+TEXTS, SHINGLES = 0, 1
+
+
 def _dealt(n: int, ranges: int):
-    """Rows (range, packed): for a run of texts, the shingles of one hash range."""
+    """Rows (r, kind, run, packed).  For a run of texts: its keys and sizes once, and its shingles by hash range."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()
+        number = TaskContext.get().partitionId() << 32
         for b in batches:
             for (texts,) in chunks(_bytes(b.column(0))):
                 keys, sets = [], []
@@ -93,42 +98,49 @@ def _dealt(n: int, ranges: int):
                 if not sets:
                     continue
                 sizes = np.array([len(s) for s in sets], np.uint32)
+                karr = np.array(keys, np.int64)
+                print32 = (karr.view(np.uint64) & np.uint64(0xFFFFFFFF)).astype(np.uint32)
                 flat = np.concatenate(sets)
-                doc = np.repeat(np.arange(len(sets), dtype=np.uint32), sizes)
+                doc = np.repeat(np.arange(len(sets)), sizes)
                 where = ((flat >> np.uint64(32)) * np.uint64(ranges) >> np.uint64(32)).astype(np.int64)
                 order = np.argsort(where, kind="stable")  # by range, then text, then hash
                 flat, doc, where = flat[order], doc[order], where[order]
-                cut = np.flatnonzero(np.diff(where)) + 1
-                rows_r, rows_b = [], []
-                karr = np.array(keys, np.int64)
-                for lo, hi in zip([0, *cut.tolist()], [*cut.tolist(), len(flat)]):
+                cut = [0, *(np.flatnonzero(np.diff(where)) + 1).tolist(), len(flat)]
+                rows_r, rows_k = [number % ranges], [TEXTS]
+                rows_b = [np.uint32(len(sets)).tobytes() + karr.tobytes() + sizes.tobytes()]
+                for lo, hi in zip(cut, cut[1:]):
                     d, counts = np.unique(doc[lo:hi], return_counts=True)
                     part = flat[lo:hi]
                     rows_r.append(int(where[lo]))
+                    rows_k.append(SHINGLES)
                     # the low 40 bits; the range and these tell shingles apart
-                    rows_b.append(np.uint32(len(d)).tobytes() + karr[d].tobytes() + sizes[d].tobytes()
-                                  + counts.astype(np.uint32).tobytes() + (part & np.uint64(0xFFFFFFFF)).astype(np.uint32).tobytes()
+                    rows_b.append(np.uint32(len(d)).tobytes() + d.astype(np.uint16).tobytes() + counts.astype(np.uint32).tobytes()
+                                  + print32[d].tobytes() + (part & np.uint64(0xFFFFFFFF)).astype(np.uint32).tobytes()
                                   + ((part >> np.uint64(32)) & np.uint64(0xFF)).astype(np.uint8).tobytes())
-                yield pa.RecordBatch.from_arrays([pa.array(rows_r, pa.int32()), pa.array(rows_b, pa.binary())], ["r", "packed"])
+                yield pa.RecordBatch.from_arrays([pa.array(rows_r, pa.int32()), pa.array(rows_k, pa.int8()),
+                                                  pa.array([number] * len(rows_r), pa.int64()), pa.array(rows_b, pa.binary())],
+                                                 ["r", "kind", "run", "packed"])
+                number += 1
     return run
 
 
 def _unpacked(blob: bytes):
+    """Of one run in one range: text numbers, their prints (both by shingle) and hashes."""
     m = int(np.frombuffer(blob, np.uint32, 1)[0])
     at = 4
-    keys = np.frombuffer(blob, np.int64, m, at)
-    at += 8 * m
-    sizes = np.frombuffer(blob, np.uint32, m, at)
-    at += 4 * m
+    d = np.frombuffer(blob, np.uint16, m, at)
+    at += 2 * m
     counts = np.frombuffer(blob, np.uint32, m, at)
     at += 4 * m
+    prints = np.frombuffer(blob, np.uint32, m, at)
+    at += 4 * m
     total = int(counts.sum())
     low = np.frombuffer(blob, np.uint32, total, at)
     high = np.frombuffer(blob, np.uint8, total, at + 4 * total)
-    return keys, sizes, counts, low.astype(np.uint64) | (high.astype(np.uint64) << np.uint64(32))
+    return np.repeat(d, counts), np.repeat(prints, counts), low.astype(np.uint64) | (high.astype(np.uint64) << np.uint64(32))
 
 
-TOKEN = np.dtype([("df", "<u2"), ("h", "<u8")])
+TOKEN = np.dtype([("doc", "<u2"), ("df", "u1"), ("high", "u1"), ("low", "<u4")])
 
 
 def by_group(batches: Iterator[pa.RecordBatch], width: int = 1) -> Iterator[tuple[tuple, list]]:
@@ -147,57 +159,67 @@ def by_group(batches: Iterator[pa.RecordBatch], width: int = 1) -> Iterator[tupl
 
 
 def _repeated(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Per hash range: the shingles of two or more classes, as rows (key, n, tokens)."""
-    for (r,), (blobs,) in by_group(batches):
+    """Per hash range: the shingles of two or more classes, one row (run, r, packed) for each run of texts."""
+    for (r, kind), (runs, blobs) in by_group(batches, 2):
+        if kind == TEXTS:
+            yield pa.RecordBatch.from_arrays([pa.array(runs, pa.int64()), pa.array([-1] * len(runs), pa.int32()),
+                                              pa.array(blobs, pa.binary())], ["run", "r", "packed"])
+            continue
         parts = [_unpacked(x) for x in blobs]
-        keys, sizes, counts = (np.concatenate([p[i] for p in parts]) for i in range(3))
-        h = np.concatenate([p[3] for p in parts])
-        ukeys, first, code = np.unique(keys, return_index=True, return_inverse=True)
-        keep = np.zeros(len(keys), bool)
-        keep[first] = True  # the same class from several partitions counts once
-        doc = np.repeat(code, counts)[np.repeat(keep, counts)].astype(np.int64)
-        h = h[np.repeat(keep, counts)]
-        order = np.argsort(h, kind="stable")
+        of = np.repeat(np.arange(len(parts)), [len(p[2]) for p in parts])
+        doc, prints, h = (np.concatenate([p[i] for p in parts]) for i in range(3))
+        del parts
+        order = np.argsort(h)
         hs = h[order]
-        edge = np.flatnonzero(np.concatenate(([True], hs[1:] != hs[:-1], [True])))
-        df = np.repeat(np.diff(edge), np.diff(edge))
-        many = df > 1
-        doc, hs, df = doc[order][many], hs[many], df[many]
-        if not len(hs):
+        same = hs[1:] == hs[:-1]
+        many = order[np.concatenate((same, [False])) | np.concatenate(([False], same))]
+        if not len(many):
             continue
-        back = np.argsort(doc, kind="stable")
-        doc = doc[back]
-        tok = np.zeros(len(doc), TOKEN)
-        tok["df"], tok["h"] = np.minimum(df[back], 65535), (np.uint64(r) << np.uint64(40)) | hs[back]
-        at = np.flatnonzero(np.concatenate(([True], doc[1:] != doc[:-1])))
-        ends = np.concatenate((at, [len(doc)])).astype(np.int64) * TOKEN.itemsize
-        if ends[-1] >= 1 << 31:
-            raise ValueError("a hash range is too large: raise spark.sql.shuffle.partitions")
-        packed = pa.Array.from_buffers(pa.binary(), len(at), [None, pa.py_buffer(ends.astype(np.int32).tobytes()), pa.py_buffer(tok.tobytes())])
-        d = doc[at]
-        out = pa.RecordBatch.from_arrays([pa.array(ukeys[d]), pa.array(sizes[first][d].astype(np.int64)), packed], ["key", "n", "tokens"])
-        for lo in range(0, out.num_rows, 20000):
-            yield out.slice(lo, 20000)
+        # copies of one class count once: distinct prints of each shingle
+        many = many[np.lexsort((prints[many], h[many]))]
+        h, prints, doc, of = h[many], prints[many], doc[many], of[many]
+        head = np.concatenate(([True], h[1:] != h[:-1]))
+        fresh = head | np.concatenate(([True], prints[1:] != prints[:-1]))
+        df = np.add.reduceat(fresh.astype(np.int64), np.flatnonzero(head))[np.cumsum(head) - 1]
+        keep = df > 1
+        h, doc, of, df = h[keep], doc[keep], of[keep], df[keep]
+        order = np.argsort(of, kind="stable")
+        tok = np.zeros(len(h), TOKEN)
+        tok["doc"], tok["df"] = doc[order], np.minimum(df[order], 255)
+        tok["low"], tok["high"] = h[order] & np.uint64(0xFFFFFFFF), h[order] >> np.uint64(32)
+        bounds = np.searchsorted(of[order], np.arange(len(runs) + 1)).tolist()
+        for i, (lo, hi) in enumerate(zip(bounds, bounds[1:])):
+            if hi > lo:
+                yield pa.RecordBatch.from_arrays([pa.array([runs[i]], pa.int64()), pa.array([r], pa.int32()),
+                                                  pa.array([tok[lo:hi].tobytes()], pa.binary())], ["run", "r", "packed"])
 
 
 def _prefixes(percent: int):
-    """Classes that may have a partner: (key, n, tokens sorted, prefix)."""
+    """Rows sorted by run: its classes that may have a partner, as (key, n, tokens sorted, prefix)."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            keys, sizes, toks, pres = [], [], [], []
-            for key, n, packed in zip(*[c.to_pylist() for c in b.columns]):
-                t = np.concatenate([np.frombuffer(x, TOKEN) for x in packed])
-                need = -(-percent * n // 100)
-                take = (n - need + 1) - (n - len(t))  # prefix length without the shingles of its own
-                if take <= 0:
-                    continue
-                t = t[np.lexsort((t["h"], t["df"]))]
-                keys.append(key)
-                sizes.append(n)
-                pres.append(t["h"][:take].astype(np.int64).tolist())
-                toks.append(np.sort(t["h"]).tobytes())
-            yield pa.RecordBatch.from_arrays([pa.array(keys, pa.int64()), pa.array(sizes, pa.int64()), pa.array(toks, pa.binary()),
-                                              pa.array(pres, pa.list_(pa.int64()))], ["key", "n", "tokens", "prefix"])
+        for _, (ranges, blobs) in by_group(batches):
+            head = blobs[ranges.index(-1)]
+            m = int(np.frombuffer(head, np.uint32, 1)[0])
+            keys, sizes = np.frombuffer(head, np.int64, m, 4), np.frombuffer(head, np.uint32, m, 4 + 8 * m).astype(np.int64)
+            toks = [(r, np.frombuffer(x, TOKEN)) for r, x in zip(ranges, blobs) if r >= 0]
+            if not toks:
+                continue
+            doc = np.concatenate([t["doc"] for _, t in toks])
+            df = np.concatenate([t["df"] for _, t in toks])
+            h = np.concatenate([t["low"].astype(np.uint64) | (t["high"].astype(np.uint64) << np.uint64(32))
+                                | (np.uint64(r) << np.uint64(40)) for r, t in toks])
+            order = np.lexsort((h, df, doc))
+            doc, h = doc[order], h[order]
+            bounds = np.searchsorted(doc, np.arange(m + 1))
+            need = -(-percent * sizes // 100)
+            take = (sizes - need + 1) - (sizes - np.diff(bounds))  # prefix length without the shingles of its own
+            out = [[], [], [], []]
+            for d in np.flatnonzero(take > 0).tolist():
+                t = h[bounds[d]:bounds[d + 1]]
+                for o, v in zip(out, (int(keys[d]), int(sizes[d]), np.sort(t).tobytes(), t[: take[d]].astype(np.int64))):
+                    o.append(v)
+            yield pa.RecordBatch.from_arrays([pa.array(out[0], pa.int64()), pa.array(out[1], pa.int64()), pa.array(out[2], pa.binary()),
+                                              pa.array(out[3], pa.list_(pa.int64()))], ["key", "n", "tokens", "prefix"])
     return run
 
 
@@ -314,11 +336,12 @@ def jaccard_classes(documents: DataFrame, ngram: int = NGRAM, percent: int = PER
     docs = written(text.mapInArrow(_keys_of(ngram), "doc_id long, key long, n long"), "keys")
     classes = docs.filter("key is not null").groupBy("key").agg(F.count("*").alias("weight"), F.min("doc_id").alias("least"))
 
-    dealt = text.select("text").mapInArrow(_dealt(ngram, parts), "r int, packed binary")
-    tokens = (dealt.repartition(parts, "r").sortWithinPartitions("r")
-              .mapInArrow(_repeated, "key long, n long, tokens binary"))
-    cand = written(tokens.groupBy("key").agg(F.first("n").alias("n"), F.collect_set("tokens").alias("tokens"))
-                   .mapInArrow(_prefixes(percent), "key long, n long, tokens binary, prefix array<long>"), "candidates")
+    dealt = text.select("text").mapInArrow(_dealt(ngram, parts), "r int, kind byte, run long, packed binary")
+    tokens = (dealt.repartition(parts, "r").sortWithinPartitions("r", "kind")
+              .mapInArrow(_repeated, "run long, r int, packed binary"))
+    cand = written(tokens.repartition(parts, "run").sortWithinPartitions("run")
+                   .mapInArrow(_prefixes(percent), "key long, n long, tokens binary, prefix array<long>")
+                   .dropDuplicates(["key"]), "candidates")
     # candidate groups: classes that share a prefix shingle
     pre = cand.select("key", F.explode("prefix").alias("t"))
     centre = pre.groupBy("t").agg(F.min("key").alias("c"), F.count("*").alias("m")).filter("m > 1")
