@@ -4,9 +4,10 @@
     python -m parcelscope ingest --landing DIR --lake DIR
     python -m parcelscope card   --lake DIR NAME [--param key=value ...] [--out DIR]
 
-``card`` reads the clean zone of the lake and runs one card from
+``card`` reads the loaded tables of the lake and runs one card from
 ``plans.metrics`` (``q1a_delivery_stats`` ... ``q8b_state_late_freight``,
-``estimate_gap``); ``--out`` writes the result as Parquet instead of showing it.
+``estimate_gap``); ``--out`` writes the result as Parquet, otherwise every row is
+printed, tab-separated.  ``--cluster`` before the command applies the settings for a large cluster.
 """
 
 from __future__ import annotations
@@ -16,12 +17,24 @@ import sys
 
 from .plans import metrics as M
 from .schema import TABLES
-from .session import build_session
+from .session import CLUSTER_CONF, build_session
 from .sources import zones
 
 CARDS = {**M.QUERIES, "estimate_gap": M.estimate_gap}
 
 
+class LoadedTables(dict):
+    """The warehouse tables of a lake, read when a card asks for them."""
+
+    def __init__(self, spark, lake: str):
+        super().__init__()
+        self.spark, self.lake = spark, lake
+
+    def __missing__(self, name: str):
+        self[name] = zones.read_zone(self.spark, self.lake, zones.WAREHOUSE, name)
+        return self[name]
+
+
 def _params(pairs: list[str]) -> dict:
     out = {}
     for p in pairs:
@@ -32,6 +45,7 @@ def _params(pairs: list[str]) -> dict:
 
 def main(argv: list[str] | None = None) -> int:
     ap = argparse.ArgumentParser(prog="parcelscope")
+    ap.add_argument("--cluster", action="store_true", help="settings for a large cluster")
     sub = ap.add_subparsers(dest="cmd", required=True)
     d = sub.add_parser("daily", help="extract, transform and load every source CSV")
     d.add_argument("--source", required=True)
@@ -47,7 +61,7 @@ def main(argv: list[str] | None = None) -> int:
     c.add_argument("--out", default=None)
     args = ap.parse_args(argv)
 
-    spark = build_session()
+    spark = build_session(extra=CLUSTER_CONF if args.cluster else None)
     if args.cmd == "daily":
         zones.run_daily(spark, args.source, args.lake, buckets=args.buckets).show(len(TABLES), truncate=False)
     elif args.cmd == "ingest":
@@ -55,17 +69,13 @@ def main(argv: list[str] | None = None) -> int:
         for name, n in ingest_new_files(spark, args.landing, args.lake).items():
             print(f"{name:25s} {n:>12,d} rows appended")
     else:
-        tables = {}
-        for name in TABLES:
-            try:
-                tables[name] = zones.read_zone(spark, args.lake, zones.CLEAN, name)
-            except Exception:  # noqa: BLE001 - a card only needs the tables it reads
-                continue
-        df = CARDS[args.name](tables, **_params(args.param))
+        df = CARDS[args.name](LoadedTables(spark, args.lake), **_params(args.param))
         if args.out:
             df.write.mode("overwrite").parquet(args.out)
         else:
-            df.show(1000, truncate=False)
+            print("\t".join(df.columns))
+            for row in df.toLocalIterator():
+                print("\t".join("" if v is None else str(v) for v in row))
     return 0
 
 

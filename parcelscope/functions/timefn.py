@@ -47,11 +47,6 @@ def parse_ts(c: str | Column) -> Column:
     return F.try_to_timestamp(col, F.lit(TS_FORMAT))
 
 
-def to_double(c: str | Column) -> Column:
-    """Lenient numeric parse: empty or malformed text gives NULL."""
-    return _c(c).try_cast("double")
-
-
 def ident(name: str) -> str:
     """A column name quoted for SQL expression text."""
     return "`" + name.replace("`", "``") + "`"

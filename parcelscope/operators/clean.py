@@ -44,6 +44,15 @@ def _is_text(df: DataFrame, c: str) -> bool:
     return isinstance(df.schema[c].dataType, T.StringType)
 
 
+# A plain decimal number; anything else ('NaN', '1.5d', 'x') is text that cannot be read.
+NUMBER = "^ *[+-]?([0-9]+([.][0-9]*)?|[.][0-9]+)([eE][+-]?[0-9]+)? *$"
+
+
+def number_sql(q: str) -> str:
+    """Text column ``q`` as a double, NULL where it is not a number."""
+    return f"(CASE WHEN {q} rlike '{NUMBER}' THEN try_cast({q} AS DOUBLE) END)"
+
+
 def typed_sql(df: DataFrame, name: str, overrides: dict[str, str] | None = None) -> list[str]:
     """SQL expressions projecting ``df`` onto the declared schema of ``name``.
 
@@ -65,9 +74,12 @@ def typed_sql(df: DataFrame, name: str, overrides: dict[str, str] | None = None)
         elif isinstance(f.dataType, T.TimestampType):
             e = parse_ts_sql(f.name) if text else f"CAST({q} AS TIMESTAMP)"
         elif isinstance(f.dataType, T.IntegerType):
-            e = f"CAST(try_cast({q} AS DOUBLE) AS INT)" if text else f"CAST({q} AS INT)"
-        else:
-            e = f"try_cast({q} AS DOUBLE)" if text else f"CAST({q} AS {f.dataType.simpleString()})"
+            e = f"try_cast({number_sql(q)} AS INT)" if text else f"try_cast({q} AS INT)"
+        elif text:
+            e = number_sql(q)
+        else:  # a NaN is no number either
+            e = f"nullif(CAST({q} AS {f.dataType.simpleString()}), CAST('NaN' AS {f.dataType.simpleString()}))" \
+                if isinstance(f.dataType, (T.DoubleType, T.FloatType)) else f"CAST({q} AS {f.dataType.simpleString()})"
         out.append(f"{e} AS {q}")
     return out
 
@@ -130,7 +142,7 @@ def conform(raw: DataFrame, name: str, overrides: dict[str, str] | None = None,
     """
     cols = [f.name for f in SCHEMAS[name].fields]
     fraction_flags = [
-        (f"coalesce(try_cast({ident(c)} AS DOUBLE) % 1 != 0, false) AS {ident('_frac_' + c)}", c)
+        (f"coalesce({number_sql(ident(c))} % 1 != 0, false) AS {ident('_frac_' + c)}", c)
         for c in (whole_number_cols or []) if _is_text(raw, c)
     ]
     typed = raw.selectExpr(*typed_sql(raw, name, overrides), *[e for e, _ in fraction_flags])
@@ -198,7 +210,7 @@ def passthrough(name: str) -> Callable[[DataFrame], tuple[DataFrame, DataFrame]]
 
 def _coord_sql(raw: DataFrame, c: str) -> str:
     q = ident(c)
-    return f"{'try_cast' if _is_text(raw, c) else 'CAST'}({q} AS DOUBLE) AS {q}"
+    return f"{number_sql(q)} AS {q}" if _is_text(raw, c) else f"nullif(CAST({q} AS DOUBLE), CAST('NaN' AS DOUBLE)) AS {q}"
 
 
 def type_geolocation(raw: DataFrame) -> DataFrame:

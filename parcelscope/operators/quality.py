@@ -15,11 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.timefn import pct
-
-
-def _q(name: str) -> str:
-    return "`" + name.replace("`", "``") + "`"
+from ..functions.timefn import ident, pct
 
 
 def _lit_sql(s: str) -> str:
@@ -28,7 +24,7 @@ def _lit_sql(s: str) -> str:
 
 def _stack(df: DataFrame, items: list[tuple[str, list[str]]], names: list[str]) -> DataFrame:
     """Rows ``(label, *values)`` from one-row ``df``: ``items`` = [(label, [col, ...])]."""
-    args = ", ".join(", ".join([_lit_sql(label), *[_q(c) for c in cols]]) for label, cols in items)
+    args = ", ".join(", ".join([_lit_sql(label), *[ident(c) for c in cols]]) for label, cols in items)
     return df.selectExpr(f"stack({len(items)}, {args}) as ({', '.join(names)})")
 
 
@@ -108,19 +104,19 @@ def missing_rows(df: DataFrame, col: str, show: list[str] | None = None) -> Data
 
 
 def missing_impact(facts: DataFrame, dim: DataFrame, key: str, col: str) -> DataFrame:
-    """Fact rows that reference a dimension row whose ``col`` is NULL.
+    """Joined rows of facts and the dimension rows whose ``col`` is NULL.
 
-    A left-semi join: each fact row is kept at most once and nothing from the
-    dimension is carried along; the planner broadcasts the filtered dimension
-    only if its measured size is under the broadcast threshold.
+    Both sides are counted per key first, so a hot key meets the join as one row
+    and a key that is stored twice in the dimension counts twice, as in a plain inner join.
     """
-    bad = dim.filter(F.col(col).isNull()).select(key)
-    return facts.join(bad, key, "left_semi").agg(F.count(F.lit(1)).alias("fact_rows"))
+    bad = dim.filter(F.col(col).isNull()).groupBy(key).agg(F.count(F.lit(1)).alias("_d"))
+    per_key = facts.groupBy(key).agg(F.count(F.lit(1)).alias("_f"))
+    return per_key.join(bad, key).agg(F.coalesce(F.sum(F.col("_f") * F.col("_d")), F.lit(0)).cast("long").alias("fact_rows"))
 
 
-def sample_columns(df: DataFrame, cols: list[str], n: int = 20) -> DataFrame:
-    """The first ``n`` rows of chosen columns, for a look at the data."""
-    return df.select(cols).limit(n)
+def sample_columns(df: DataFrame, cols: list[str], key: str, n: int = 20) -> DataFrame:
+    """Chosen columns of the ``n`` rows with the smallest ``key``, for a look at the data."""
+    return df.orderBy(key).limit(n).select(cols)
 
 
 def value_counts(df: DataFrame, cols: list[str]) -> DataFrame:
@@ -129,7 +125,7 @@ def value_counts(df: DataFrame, cols: list[str]) -> DataFrame:
     One scan: each row is unfolded into ``(column, value)`` pairs with
     ``stack`` and a single partial-then-final aggregate counts them.
     """
-    args = ", ".join(f"{_lit_sql(c)}, CAST({_q(c)} AS STRING)" for c in cols)
+    args = ", ".join(f"{_lit_sql(c)}, CAST({ident(c)} AS STRING)" for c in cols)
     pairs = df.selectExpr(f"stack({len(cols)}, {args}) as (column_name, value)")
     return pairs.groupBy("column_name", "value").agg(F.count(F.lit(1)).alias("count"))
 

@@ -277,12 +277,16 @@ def q4b_stage_by_status(tables) -> DataFrame:
 
 # --- item-level facts, pre-aggregated at the order grain -----------------------------
 
+# money is summed exactly, in cents, and divided once
+MONEY_SQL = "CAST(freight_value AS DECIMAL(18, 2))"
+
+
 def items_per_order(tables, *keys: str, freight: bool = False) -> DataFrame:
     """Item rows summed per ``(order_id, *keys)``: ``n_items`` (+ freight sum/count)."""
     it = tables["order_items"]
     aggs = [F.count(F.lit(1)).alias("n_items")]
     if freight:
-        aggs += [F.sum("freight_value").alias("freight_sum"),
+        aggs += [F.sum(F.expr(MONEY_SQL)).alias("freight_sum"),
                  F.count("freight_value").alias("freight_n")]
     return it.groupBy("order_id", *keys).agg(*aggs)
 
@@ -332,7 +336,7 @@ def q5c_state_freight(tables, min_rows: int = MIN_ROWS) -> DataFrame:
                                                F.sum("freight_n").alias("freight_n")])
     return (s.filter(F.col("n") >= min_rows)
             .select("customer_state",
-                    _r2(F.try_divide(F.col("freight_sum"), F.col("freight_n").cast("double"))).alias("avg_freight_cost"),
+                    _r2(F.try_divide(F.col("freight_sum").cast("double"), F.col("freight_n").cast("double"))).alias("avg_freight_cost"),
                     F.col("n").alias("total_items_shipped"))
             .orderBy(F.desc("avg_freight_cost"), "customer_state"))
 
@@ -340,16 +344,22 @@ def q5c_state_freight(tables, min_rows: int = MIN_ROWS) -> DataFrame:
 # --- 6: sellers ----------------------------------------------------------------------
 
 def _seller_orders(tables, *not_null: str) -> DataFrame:
-    """Distinct (seller, order) pairs with their item count, joined to delivered orders."""
+    """Distinct (seller, order) pairs with their item count, joined to delivered orders.
+
+    An order id stored several times counts once; ``copies`` says how many rows it had.
+    """
     pairs = items_per_order(tables, "seller_id")
-    return delivered(tables, *not_null).join(pairs, "order_id")
+    hours = hours_between(*not_null)
+    orders = delivered(tables, *not_null).groupBy("order_id").agg(
+        F.max(is_late()).alias("is_late"), F.count(F.lit(1)).alias("copies"), F.sum(hours).alias("h"))
+    return orders.join(pairs, "order_id")
 
 
 def _seller_late(tables, min_rows: int) -> DataFrame:
     j = _seller_orders(tables, CUSTOMER, ESTIMATED)
     return (j.groupBy("seller_id")
             .agg(F.count(F.lit(1)).alias("total_orders"),
-                 F.count_if(is_late()).alias("late_deliveries"))
+                 F.count_if(F.col("is_late")).alias("late_deliveries"))
             .filter(F.col("total_orders") >= min_rows)
             .withColumn("late_delivery_rate", _r2(pct(F.col("late_deliveries"), F.col("total_orders")))))
 
@@ -363,11 +373,11 @@ def q6a_seller_late_rate(tables, min_rows: int = MIN_ROWS, top_n: int = TOP_SELL
 
 def q6b_seller_processing(tables, min_rows: int = MIN_ROWS, top_n: int = TOP_SELLERS) -> DataFrame:
     """Processing days weighted by item rows; orders counted once."""
-    j = _seller_orders(tables, APPROVED, CARRIER).withColumn("h", hours_between(APPROVED, CARRIER))
+    j = _seller_orders(tables, APPROVED, CARRIER)
     s = (j.groupBy("seller_id")
          .agg(F.count(F.lit(1)).alias("total_delivered_orders"),
               F.sum(F.col("h") * F.col("n_items")).alias("h_sum"),
-              F.sum("n_items").alias("n_items"))
+              F.sum(F.col("n_items") * F.col("copies")).alias("n_items"))
          .filter(F.col("total_delivered_orders") >= min_rows))
     return (s.select("seller_id", "total_delivered_orders",
                      _r2(_days_from_hours(F.col("h_sum"), F.col("n_items"))).alias("avg_processing_days"))
@@ -400,9 +410,10 @@ def _product_facts(tables) -> DataFrame:
 
 
 def _with_category(facts: DataFrame, tables) -> DataFrame:
-    products = tables["products"].select("product_id", "product_category_name", "product_weight_g")
+    """Facts per category name, translated: the translation meets one row per category."""
+    products = tables["products"].select("product_id", "product_category_name")
     names = tables["category_translation"]
-    return (facts.join(products, "product_id")
+    return (_rollup(facts.join(products, "product_id"), F.col("product_category_name"))
             .join(names, "product_category_name", "left")
             .withColumn("product_category", F.coalesce(F.col("product_category_name_english"), F.lit(""))))
 
@@ -458,7 +469,7 @@ def _state_items(tables) -> DataFrame:
         is_late().alias("is_late"))
     it = tables["order_items"].filter(F.col("freight_value").isNotNull())
     per_order = it.groupBy("order_id").agg(F.count(F.lit(1)).alias("n_items"),
-                                           F.sum("freight_value").alias("freight_sum"))
+                                           F.sum(F.expr(MONEY_SQL)).alias("freight_sum"))
     j = o.join(per_order, "order_id")
     n = F.col("n_items")
     return _by_customer_state(j, tables, [
@@ -475,7 +486,7 @@ def q8a_state_delivery_freight(tables) -> DataFrame:
     s = _state_items(tables)
     return (s.select("customer_state",
                      _r2(_days_from_hours(F.col("h_sum"), F.col("n"))).alias("avg_delivery_days"),
-                     _r2(F.try_divide(F.col("freight_sum"), F.col("n").cast("double"))).alias("avg_freight_cost"),
+                     _r2(F.try_divide(F.col("freight_sum").cast("double"), F.col("n").cast("double"))).alias("avg_freight_cost"),
                      F.col("n").alias("total_orders"))
             .orderBy(F.desc("avg_delivery_days"), "customer_state"))
 
@@ -485,7 +496,7 @@ def q8b_state_late_freight(tables) -> DataFrame:
     s = _state_items(tables)
     return (s.select("customer_state", F.col("n").alias("total_orders"),
                      _r2(pct(F.col("late"), F.col("n_known"))).alias("late_delivery_rate"),
-                     _r2(F.try_divide(F.col("freight_sum"), F.col("n").cast("double"))).alias("avg_freight_cost"))
+                     _r2(F.try_divide(F.col("freight_sum").cast("double"), F.col("n").cast("double"))).alias("avg_freight_cost"))
             .orderBy(F.desc("late_delivery_rate"), "customer_state"))
 
 

@@ -10,11 +10,23 @@ the way the dashboard states it (joins at item grain, ``count(DISTINCT ...)``,
 
 from __future__ import annotations
 
-from ..functions.timefn import LATE_LABEL, ON_TIME_LABEL
-from ..operators.clean import BOTH_REASONS, CARRIER_BEFORE_APPROVED, CUSTOMER_BEFORE_CARRIER, LAT_RANGE, LNG_RANGE
-from ..sources.adapter import (LEAD_TYPES, ORIGINS, PAYMENT_TYPES, SEGMENTS, STATUS_MAP,
-                               UNTRANSLATED_BRANDS)
-from . import metrics as M
+# Fixed values, stated again here so that a change in the engine shows as a difference.
+ON_TIME_LABEL, LATE_LABEL = "On Time", "Late"
+CARRIER_BEFORE_APPROVED = "carrier_before_approved"
+CUSTOMER_BEFORE_CARRIER = "customer_before_carrier"
+BOTH_REASONS = "carrier_before_approved AND customer_before_carrier"
+LAT_RANGE, LNG_RANGE = (-35.0, 5.0), (-75.0, -30.0)
+STATUS_MAP = {"F": "delivered", "O": "shipped", "P": "canceled"}
+PAYMENT_TYPES = ["credit_card", "boleto", "voucher", "debit_card"]
+ORIGINS = ["organic_search", "paid_search", "social", "email", "direct_traffic"]
+SEGMENTS = ["home_decor", "health_beauty", "car_accessories", "computers"]
+LEAD_TYPES = ["online_medium", "online_big", "industry"]
+UNTRANSLATED_BRANDS = ["Brand#3", "Brand#7"]
+DAY_CASE = ("CASE WHEN dd <= 5 THEN '0-5 Days' WHEN dd <= 10 THEN '6-10 Days' WHEN dd <= 15 THEN '11-15 Days' "
+            "WHEN dd <= 20 THEN '16-20 Days' WHEN dd <= 25 THEN '21-25 Days' ELSE '>25 Days' END")
+WEIGHT_CASE = ("CASE WHEN p.product_weight_g < 500 THEN '< 0.5 kg' WHEN p.product_weight_g < 1000 THEN '0.5 - 1 kg' "
+               "WHEN p.product_weight_g < 5000 THEN '1 - 5 kg' ELSE '> 5 kg' END")
+STAGE_NAMES = ((1, "Payment Approval"), (2, "Seller Processing"), (3, "Delivery to Customer"))
 
 
 def _pick(expr: str, values: list[str]) -> str:
@@ -167,7 +179,7 @@ geo_clean AS (
 geo_rejected AS (
   SELECT * FROM geo_dedup
   WHERE NOT {_in_box()}),
-dlv AS (SELECT * FROM o_clean WHERE order_status = '{M.DELIVERED}')
+dlv AS (SELECT * FROM o_clean WHERE order_status = 'delivered')
 """
 
 
@@ -203,11 +215,8 @@ ON_TIME = f"{CU} <= {E}"
 def metric_sql(since: str, min_state: int, min_freight: int, min_seller: int, min_category: int,
                trend_periods: tuple[int, int]) -> dict[str, str]:
     q: dict[str, str] = {}
-    day_case = ("CASE " + " ".join(f"WHEN dd <= {e} THEN '{label}'" for e, label in M.DAY_BUCKETS)
-                + f" ELSE '{M.LAST_DAY_BUCKET}' END")
-    weight_case = ("CASE " + " ".join(f"WHEN p.product_weight_g < {e} THEN '{label}'" for e, label in M.WEIGHT_BUCKETS)
-                   + f" ELSE '{M.LAST_WEIGHT_BUCKET}' END")
-    (n1, s1, _, _), (n2, s2, _, _), (n3, s3, _, _) = M.STAGES
+    day_case, weight_case = DAY_CASE, WEIGHT_CASE
+    (n1, s1), (n2, s2), (n3, s3) = STAGE_NAMES
     on, late = ON_TIME_LABEL, LATE_LABEL
     q["q1a_delivery_stats"] = f"""
 SELECT round(avg(x) / 24, 2) AS avg_days,
@@ -458,7 +467,7 @@ FROM a"""
     q["e04_distinct_review_scores"] = "SELECT DISTINCT review_score FROM rev"
 
     nulls = []
-    for name in NULL_PROFILE_TABLES:
+    for name in CTE:
         typed = CTE[name][1]
         for col, is_text in text_cols(name):
             cond = _is_null(col, is_text)
@@ -484,8 +493,12 @@ SELECT product_id, nullif(product_category_name, '') AS product_category_name, p
        product_height_cm, product_width_cm
 FROM prod WHERE product_weight_g IS NULL"""
     q["e09_missing_impact"] = """
-SELECT count(*) AS fact_rows FROM items
-WHERE product_id IN (SELECT product_id FROM prod WHERE product_category_name = '')"""
+SELECT count(*) AS fact_rows FROM items i JOIN prod p ON i.product_id = p.product_id
+WHERE p.product_category_name = ''"""
+    q["e10_sample_columns"] = """
+SELECT nullif(has_company, '') AS has_company, nullif(has_gtin, '') AS has_gtin,
+       nullif(average_stock, '') AS average_stock, declared_product_catalog_size
+FROM deals ORDER BY mql_id LIMIT 20"""
 
     deal_cols = [(c, t) for c, t in text_cols("closed_deals") if c in VALUE_COUNT_DEAL_COLS]
     q["e11_value_counts_deals"] = _union([
@@ -498,7 +511,7 @@ WHERE product_id IN (SELECT product_id FROM prod WHERE product_category_name = '
         f"SELECT '{name}' AS table_name, (SELECT count(*) FROM {CTE[name][1]}) AS total_rows, "
         f"(SELECT count(*) FROM (SELECT DISTINCT * FROM {CTE[name][1]})) AS distinct_rows, "
         f"(SELECT count(*) FROM {CTE[name][1]}) - (SELECT count(*) FROM (SELECT DISTINCT * FROM {CTE[name][1]})) "
-        f"AS duplicate_rows" for name in CENSUS_TABLES])
+        f"AS duplicate_rows" for name in CTE])
     gcols = [c for c, _ in text_cols("geolocation")]
     q["e13_duplicate_groups"] = f"""
 SELECT {', '.join(gcols)}, count(*) AS count FROM geo_typed
@@ -545,7 +558,5 @@ FROM (SELECT order_id, count(*) AS n FROM items GROUP BY order_id)"""
     return q
 
 
-NULL_PROFILE_TABLES = ("orders", "order_reviews", "products", "closed_deals", "mql")
-CENSUS_TABLES = ("orders", "order_items", "customers", "geolocation", "order_reviews", "products", "order_payments")
 VALUE_COUNT_DEAL_COLS = ("business_segment", "lead_type", "lead_behaviour_profile", "has_company", "has_gtin",
                          "average_stock", "business_type", "declared_product_catalog_size")

@@ -12,7 +12,6 @@ the ones that actually filter at sf0.01.
 
 from __future__ import annotations
 
-import weakref
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -83,9 +82,6 @@ class Lake:
         return Q.empty_as_null(self.typed(name))
 
 
-_LAKES: "weakref.WeakKeyDictionary[SparkSession, dict]" = weakref.WeakKeyDictionary()
-
-
 def lake_for(spark: SparkSession, sf_dir: str, text: bool) -> Lake:
     """One ``Lake`` per session, directory and form.
 
@@ -94,7 +90,7 @@ def lake_for(spark: SparkSession, sf_dir: str, text: bool) -> Lake:
     otherwise be paid again by every query.
     """
     pin_utc(spark)
-    per_session = _LAKES.setdefault(spark, {})
+    per_session = spark.__dict__.setdefault("_parcelscope_lakes", {})  # lives and dies with the session
     key = (sf_dir, text)
     if key not in per_session:
         per_session[key] = Lake(spark, sf_dir, text=text)
@@ -200,7 +196,7 @@ def _range_checks(lake: Lake) -> DataFrame:
 
 
 def _nulls(lake: Lake) -> DataFrame:
-    return _union([Q.profile_nulls(lake.profiled(t), t) for t in oracle.NULL_PROFILE_TABLES])
+    return _union([Q.profile_nulls(lake.profiled(t), t) for t in TABLES])
 
 
 STAGE_COLS = ["order_approved_at", "order_delivered_carrier_date", "order_delivered_customer_date"]
@@ -233,12 +229,13 @@ def check_queries() -> dict[str, Query]:
     q["e09_missing_impact"] = _lake_query(lambda lake: Q.missing_impact(
         lake.typed("order_items"), lake.profiled("products"), "product_id", "product_category_name"))
     q["e10_sample_columns"] = _lake_query(lambda lake: Q.sample_columns(
-        lake.profiled("closed_deals"), ["has_company", "has_gtin", "average_stock", "declared_product_catalog_size"]))
+        lake.profiled("closed_deals"), ["has_company", "has_gtin", "average_stock", "declared_product_catalog_size"],
+        key="mql_id"))
     q["e11_value_counts_deals"] = _lake_query(lambda lake: Q.value_counts(
         lake.profiled("closed_deals"), list(oracle.VALUE_COUNT_DEAL_COLS)))
     q["e11_value_counts_origin"] = _lake_query(lambda lake: Q.value_counts(lake.profiled("mql"), ["origin"]))
     q["e12_duplicate_census"] = _lake_query(
-        lambda lake: Q.duplicate_census({n: lake.typed(n) for n in oracle.CENSUS_TABLES}))
+        lambda lake: Q.duplicate_census({n: lake.typed(n) for n in TABLES}))
     q["e13_duplicate_groups"] = _lake_query(lambda lake: Q.duplicate_groups(lake.typed("geolocation")))
     q["e14_range_checks"] = _lake_query(_range_checks)
     q["e19_order_violations"] = _lake_query(lambda lake: Q.order_violations(lake.typed("orders")))

@@ -142,14 +142,3 @@ REJECT_REASON = "reject_reason"
 def raw_schema(name: str) -> T.StructType:
     """All-string variant of a table schema (the raw zone)."""
     return T.StructType([T.StructField(f.name, S, True) for f in SCHEMAS[name].fields])
-
-
-def columns(name: str) -> list[str]:
-    return [f.name for f in SCHEMAS[name].fields]
-
-
-def rejected_schema(name: str) -> T.StructType:
-    fields = list(SCHEMAS[name].fields)
-    if name == "orders":
-        fields.append(T.StructField(REJECT_REASON, S, False))
-    return T.StructType(fields)

@@ -2,9 +2,6 @@
 
 from __future__ import annotations
 
-import os
-import tempfile
-
 from pyspark.sql import SparkSession
 
 UTC = "UTC"
@@ -68,14 +65,7 @@ def pin_utc(spark: SparkSession) -> None:
         spark.conf.set("spark.sql.session.timeZone", UTC)
 
 
-def checkpoint_dir(spark: SparkSession) -> str:
-    """The shared checkpoint folder the cluster names in ``spark.checkpoint.dir``.
-
-    Only when the session has none (local tests) is a private folder created.
-    """
-    d = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if not d:
-        d = tempfile.mkdtemp(prefix="parcelscope-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
-        spark.conf.set("spark.checkpoint.dir", d)
-    spark.sparkContext.setCheckpointDir(d)
-    return d
+def checkpoint_dir(spark: SparkSession, lake: str) -> str:
+    """The shared folder the cluster names in ``spark.checkpoint.dir``, else a folder beside the
+    lake, on the lake's own file system."""
+    return spark.conf.get("spark.checkpoint.dir", None) or lake.rstrip("/") + "/_checkpoints"

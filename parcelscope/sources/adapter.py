@@ -8,17 +8,13 @@ is built typed (``typed_source``) and can be rendered as the *raw zone*
 (``raw_table``: every column a string, missing values ``''``) so the cleaning
 step parses text exactly as it would for CSV input.
 
-Everything is a narrow projection over a single scan, apart from two bounded
-broadcasts of the 25-row ``nation`` table (a fixed-size TPC-H dimension), a
-distinct over ``part.p_brand``, two unions (duplicate geolocation points,
-second reviews) and the hash fan-out of scans that have fewer splits than
-cores (see ``read_driver``).
+Everything is a narrow projection over a single scan, apart from two joins with
+the 25-row ``nation`` table (the planner broadcasts it), a distinct over
+``part.p_brand`` and two unions (duplicate geolocation points, second reviews).
 """
 
 from __future__ import annotations
 
-import weakref
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -52,37 +48,12 @@ DRIVER_SCHEMAS = {
 }
 
 
-_SCANS: "weakref.WeakKeyDictionary[SparkSession, dict]" = weakref.WeakKeyDictionary()
-
-
 def read_driver(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """Scan one driver table (one lazy scan definition per session and path).
-
-    A file written as a single row group can only be read by one task; when a
-    scan yields fewer splits than the session has cores it is spread by a hash
-    of its leading key (deterministic, so a retried task sees the same rows).
-    On a cluster, where scans have thousands of splits, this is a no-op.
-    """
-    scans = _SCANS.setdefault(spark, {})
-    key = (sf_dir, name)
-    if key not in scans:
-        scans[key] = _scan(spark, sf_dir, name)
-    return scans[key]
-
-
-def _scan(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """Scan one driver table, as many tasks as the scan has splits."""
     reader = spark.read
     if name in DRIVER_SCHEMAS:
         reader = reader.schema(DRIVER_SCHEMAS[name])
-    df = reader.parquet(f"{sf_dir}/{name}.parquet")
-    if name == "nation":
-        return df
-    try:
-        cores = spark.sparkContext.defaultParallelism
-        splits = df.rdd.getNumPartitions()
-    except Exception:  # noqa: BLE001 - sessions without RDD access keep the scan as it is
-        return df
-    return df.repartition(cores, df.columns[0]) if splits < cores else df
+    return reader.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def _pick(index: Column, values: list[str]) -> Column:
@@ -172,8 +143,7 @@ def typed_order_items(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _nation_names(spark: SparkSession, sf_dir: str) -> DataFrame:
-    # nation is the fixed 25-row TPC-H dimension: a bounded broadcast.
-    return F.broadcast(read_driver(spark, sf_dir, "nation").select("n_nationkey", "n_name"))
+    return read_driver(spark, sf_dir, "nation").select("n_nationkey", "n_name")
 
 
 def typed_customers(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -17,7 +17,23 @@ from pyspark.sql import functions as F
 from ..operators.clean import REJECTED_FLAG, TRANSFORMS
 from ..schema import SCHEMAS, SORT_KEYS, TABLES, raw_schema
 
+# Zone folder names.
 RAW, CLEAN, REJECTED, WAREHOUSE = "raw_parquet", "clean_parquet", "rejected_parquet", "warehouse"
+STREAM = "raw_stream"  # raw rows of the incremental ingest
+
+
+def absent(e: AnalysisException) -> bool:
+    """Whether a read failed only because nothing is stored there."""
+    return (e.getCondition() or "") in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA")
+
+
+def stored_rows(spark: SparkSession, lake: str, zone: str, name: str) -> int:
+    try:
+        return read_zone(spark, lake, zone, name).count()
+    except AnalysisException as e:
+        if absent(e):
+            return 0
+        raise
 
 
 def _csv_reader(spark: SparkSession):
@@ -30,16 +46,17 @@ def read_raw_csv(spark: SparkSession, path: str, name: str) -> DataFrame:
     """A source CSV as the raw zone sees it: every column text, empties as ``''``.
 
     Without ``inferSchema`` every column is read as a string under its header
-    name; columns are then picked by name (a missing one becomes ``''``), so the
-    file's column order does not matter.  Spark reads an empty field as NULL,
+    name; columns are then picked by name, so the file's column order does not
+    matter, and a file without one of them is refused.  Spark reads an empty field as NULL,
     which ``na.fill`` turns back into ``''``; the text ``NA`` stays ``'NA'``.
     Multi-line CSV cannot be split inside a file: parallelism comes from the
     number of files.
     """
     df = _csv_reader(spark).csv(path)
-    have = set(df.columns)
-    cols = [(F.col(f.name) if f.name in have else F.lit("")).cast("string").alias(f.name)
-            for f in raw_schema(name).fields]
+    missing = [f.name for f in raw_schema(name).fields if f.name not in df.columns]
+    if missing:
+        raise ValueError(f"{path} lacks the columns {', '.join(missing)}")
+    cols = [F.col(f.name).cast("string").alias(f.name) for f in raw_schema(name).fields]
     return df.select(cols).na.fill("")
 
 
@@ -53,8 +70,10 @@ def source_exists(spark: SparkSession, path: str) -> bool:
     try:
         spark.read.format("text").load(path).schema  # noqa: B018 - resolves the path only
         return True
-    except AnalysisException:
-        return False
+    except AnalysisException as e:
+        if absent(e):
+            return False
+        raise
 
 
 # Clean tables written in directory partitions: name -> (partition column, expression).
@@ -106,8 +125,8 @@ def extract(spark: SparkSession, source_dir: str, lake: str, names=TABLES) -> di
     return counts
 
 
-def transform(spark: SparkSession, lake: str, names=TABLES) -> list[tuple[str, int, int, int]]:
-    """Raw zone -> clean zone + quarantine for every table present in the raw zone.
+def transform(spark: SparkSession, lake: str, names=TABLES, zone: str = RAW) -> list[tuple[str, int, int, int]]:
+    """Raw zone (or ``zone``) -> clean zone + quarantine for every table present there.
 
     The quarantine is always rewritten, so an old one never outlives a run that
     has no rejects.  Returns ``(table, rows_before, rows_after, rows_rejected)``.
@@ -115,9 +134,11 @@ def transform(spark: SparkSession, lake: str, names=TABLES) -> list[tuple[str, i
     log = []
     for name in names:
         try:
-            raw = read_zone(spark, lake, RAW, name)
-        except AnalysisException:
-            continue
+            raw = read_zone(spark, lake, zone, name)
+        except AnalysisException as e:
+            if absent(e):
+                continue
+            raise
         split = TRANSFORMS[name](raw)
         clean, rejected = split
         o_clean, o_rej = Observation(f"clean_{name}"), Observation(f"rejected_{name}")
@@ -142,12 +163,15 @@ def load_tables(spark: SparkSession, lake: str, names=TABLES, buckets: int | Non
         path = os.path.join(lake, CLEAN, name)
         try:
             df = read_zone(spark, lake, CLEAN, name).select([f.name for f in SCHEMAS[name].fields])
-        except AnalysisException:
-            continue
+        except AnalysisException as e:
+            if absent(e):
+                continue
+            raise
         target = os.path.join(lake, WAREHOUSE, name)
         key = SORT_KEYS[name]
         if buckets:
-            (df.write.mode("overwrite").format("parquet").bucketBy(buckets, key[0]).sortBy(*key)
+            # one task per bucket, so one file per bucket
+            (df.repartition(buckets, key[0]).write.mode("overwrite").format("parquet").bucketBy(buckets, key[0]).sortBy(*key)
              .option("path", target).saveAsTable(f"wh_{name}"))
         else:
             df.sortWithinPartitions(*key).write.mode("overwrite").parquet(target)
@@ -204,10 +228,15 @@ def etl_audit(raw: dict[str, DataFrame], split: dict) -> DataFrame:
 def run_daily(spark: SparkSession, source_dir: str, lake: str, buckets: int | None = None) -> DataFrame:
     """The daily run: extract, transform, load, in that order; returns the audit.
 
-    Only the tables extracted in this run are transformed and loaded, so a raw
-    copy left by an earlier run is never mistaken for today's data.
+    Only the tables extracted in this run are transformed and loaded.  A table that an
+    earlier run left but whose source is absent today is emptied in every zone and
+    reported with zero rows, so that cards never mix days.
     """
     extracted = extract(spark, source_dir, lake)
     log = transform(spark, lake, list(extracted))
+    for name in TABLES:
+        if name not in extracted and any(stored_rows(spark, lake, z, name) for z in (RAW, CLEAN, WAREHOUSE)):
+            write_zone(spark.createDataFrame([], raw_schema(name)), os.path.join(lake, RAW, name))
+            log += transform(spark, lake, [name])
     load_tables(spark, lake, [t for t, *_ in log], buckets=buckets)
     return audit_frame(spark, log)

@@ -8,7 +8,9 @@ each run picks up exactly the files that arrived since the previous run
 dies half way and is restarted), appends them to the raw zone and stops.
 
 Checkpoints live under the shared folder the cluster names in
-``spark.checkpoint.dir``; nothing is kept on a machine-local disk.
+``spark.checkpoint.dir``, else beside the lake; nothing is kept on a machine-local disk.
+The stream has a zone of its own (``STREAM``): the batch extract replaces the
+raw zone, and a stream's sink must not be replaced under it.
 """
 
 from __future__ import annotations
@@ -21,7 +23,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from ..schema import TABLES, raw_schema
 from ..session import checkpoint_dir
-from ..sources.zones import RAW
+from ..sources.zones import STREAM, stored_rows
 
 
 MAX_FILES_PER_BATCH = 1000
@@ -50,9 +52,9 @@ def stream_checkpoint(spark: SparkSession, lake: str, name: str) -> str:
     It sits under ``spark.checkpoint.dir`` and is keyed by the sink location as
     well as the table, so two lakes never share (and corrupt) a checkpoint.
     """
-    sink = os.path.join(lake, RAW, name)
+    sink = os.path.join(lake, STREAM, name)
     digest = hashlib.sha1(sink.encode()).hexdigest()[:16]
-    return os.path.join(checkpoint_dir(spark), "parcelscope-ingest", digest, name)
+    return os.path.join(checkpoint_dir(spark, lake), "parcelscope-ingest", digest, name)
 
 
 def ingest_table(spark: SparkSession, landing_dir: str, lake: str, name: str) -> StreamingQuery:
@@ -60,17 +62,21 @@ def ingest_table(spark: SparkSession, landing_dir: str, lake: str, name: str) ->
     ckpt = stream_checkpoint(spark, lake, name)
     return (landing_stream(spark, landing_dir, name).writeStream
             .format("parquet").outputMode("append")
-            .option("path", os.path.join(lake, RAW, name))
+            .option("path", os.path.join(lake, STREAM, name))
             .option("checkpointLocation", ckpt)
             .trigger(availableNow=True)
             .start())
 
 
 def ingest_new_files(spark: SparkSession, landing_dir: str, lake: str, names=TABLES) -> dict[str, int]:
-    """One daily run over every table; returns the rows appended per table."""
+    """One daily run over every table; returns the rows appended per table.
+
+    Rows are counted in the sink, before and after (Parquet footers only): the query's own
+    progress list forgets all but its latest batches.
+    """
     appended = {}
     for name in names:
-        q = ingest_table(spark, landing_dir, lake, name)
-        q.awaitTermination()
-        appended[name] = sum(p.get("numInputRows", 0) for p in q.recentProgress)
+        before = stored_rows(spark, lake, STREAM, name)
+        ingest_table(spark, landing_dir, lake, name).awaitTermination()
+        appended[name] = stored_rows(spark, lake, STREAM, name) - before
     return appended

@@ -100,3 +100,22 @@ def test_geolocation_dedup_and_box(spark):
     assert sorted(r.geolocation_zip_code_prefix for r in rejected.collect()) == ["00004", "00005"]
     # invariant: clean + rejected + duplicates = input
     assert clean.count() + rejected.count() + 4 == len(rows)
+
+
+def test_malformed_numbers_are_quarantined_or_null(spark):
+    """Overflow, NaN and suffixed numbers: no failure, NULL where optional, quarantine where required."""
+    from parcelscope.operators.clean import TRANSFORMS
+    from parcelscope.schema import raw_schema
+
+    items = [("o1", "99999999999", "p", "s", "", "1.0", "2.0"), ("o2", "1", "p", "s", "", "NaN", "2.0"),
+             ("o3", "1", "p", "s", "", "1.5d", "2.0"), ("o4", "40.5", "p", "s", "", "1.0", "2.0"),
+             ("o5", "x", "p", "s", "", "1.0", "2.0"), ("o6", "1.0", "p", "s", "", "1e2", " 3 ")]
+    clean, rejected = TRANSFORMS["order_items"](spark.createDataFrame(items, raw_schema("order_items")))
+    assert [(r.order_id, r.order_item_id, r.price, r.freight_value) for r in clean.collect()] == [("o6", 1, 100.0, 3.0)]
+    assert {r.order_id: r.reject_reason for r in rejected.collect()} == {
+        "o1": "null_in_required:order_item_id", "o2": "null_in_required:price", "o3": "null_in_required:price",
+        "o4": "non_integer:order_item_id", "o5": "null_in_required:order_item_id"}
+    reviews = [("r1", "o1", "NaN", "", "", "", ""), ("r2", "o1", "99999999999", "", "", "", ""), ("r3", "o1", "4.0", "", "", "", "")]
+    clean, rejected = TRANSFORMS["order_reviews"](spark.createDataFrame(reviews, raw_schema("order_reviews")))
+    assert {r.review_id: r.review_score for r in clean.collect()} == {"r1": None, "r2": None, "r3": 4}
+    assert rejected.count() == 0

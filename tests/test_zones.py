@@ -1,5 +1,6 @@
 import os
 
+import pytest
 from pyspark.sql import functions as F
 
 from parcelscope.operators.clean import clean_tables
@@ -69,3 +70,11 @@ def test_etl_audit_query(spark):
     assert o.rows_before == o.rows_after + o.rows_rejected
     g = got["geolocation"]
     assert g.rows_before > g.rows_after + g.rows_rejected  # duplicates dropped
+
+
+def test_csv_without_a_column_is_refused(spark, tmpdir_path):
+    path = os.path.join(tmpdir_path, "sellers.csv")
+    with open(path, "w") as f:
+        f.write("seller_id,seller_city\ns1,a\n")
+    with pytest.raises(ValueError, match="seller_state"):
+        zones.read_raw_csv(spark, path, "sellers")
