@@ -33,7 +33,7 @@ from .ngram_join import by_group
 
 CAPACITY, EOS = 2048, 0
 BLOCK, ISLANDS, EPOCHS, GENERATIONS, POPULATION, INJECTED = 4096, 2, 2, 3, 4, 0.3
-CACHE = 500_000
+CACHE = 2_000_000  # about 60 bytes each
 
 # bytes that may begin white space, after which a space is not cut from what follows
 _NO_CUT = np.zeros(256, bool)
@@ -47,13 +47,17 @@ def default_vocabulary() -> str:
 
 
 class Encoder:
-    """Token ids of many texts at once; distinct cuts are encoded once and kept."""
+    """Token ids of many texts at once; distinct cuts are encoded once and kept (up to CACHE of them)."""
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
         self.encode = self._fast(path) or (lambda s, t=Tokenizer.from_file(path): t.encode(s, add_special_tokens=False).ids)
-        self.known: dict[int, np.ndarray] = {}
+        self._forget()
+
+    def _forget(self) -> None:
+        self.hashes, self.at, self.size = np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64)
+        self.pool = np.zeros(0, np.uint32)
 
     @staticmethod
     def _fast(path: str):
@@ -71,7 +75,18 @@ class Encoder:
         with open(path, encoding="utf-8") as f:
             special = {t["content"]: t["id"] for t in json.load(f)["added_tokens"]}
         enc = tiktoken.Encoding("ranks", pat_str=public_tokenizers.PATTERN, mergeable_ranks=table, special_tokens=special)
-        return lambda s: enc.encode(s, allowed_special="all")
+        names = tuple(special)
+        return lambda s: enc.encode(s, allowed_special="all") if any(x in s for x in names) else enc.encode_ordinary(s)
+
+    def _learn(self, hashes: np.ndarray, cuts: list[bytes]) -> None:
+        """Adds cuts (sorted by hash) that are not known yet."""
+        new = [self.encode(c.decode(errors="replace")) for c in cuts]
+        size = np.array([len(x) for x in new], np.int64)
+        at = len(self.pool) + np.cumsum(size) - size
+        self.pool = np.concatenate((self.pool, np.array([i for x in new for i in x], np.uint32)))
+        where = np.searchsorted(self.hashes, hashes)
+        self.hashes, self.at, self.size = (np.insert(x, where, y) for x, y in (
+            (self.hashes, hashes), (self.at, at), (self.size, size)))
 
     def ids(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         """All ids, each text closed by EOS, and the number of ids of each text."""
@@ -79,32 +94,33 @@ class Encoder:
         a = np.frombuffer(buf, np.uint8)
         ends = np.cumsum([len(t) + 1 for t in texts]) - 1
         begins = np.concatenate(([0], ends[:-1] + 1))
-        cut = np.flatnonzero((a[:-1] == 32) & ~_NO_CUT[a[1:]])
-        starts = np.union1d(begins[begins < ends], cut)
+        first_of = np.zeros(len(a), bool)
+        first_of[:-1] = (a[:-1] == 32) & ~_NO_CUT[a[1:]]
+        first_of[begins[begins < ends]] = True
+        starts = np.flatnonzero(first_of)
         text_of = np.searchsorted(ends, starts, side="right")
         stops = np.minimum(np.concatenate((starts[1:], [len(a)])), ends[text_of])
         n = len(a)
         s = np.concatenate((np.zeros(1, np.uint64), np.cumsum((a.astype(np.uint64) + np.uint64(1)) * _powers(_B, n), dtype=np.uint64)))
         h = mix((s[stops] - s[starts]) * _powers(_BI, n)[starts] + (stops - starts).astype(np.uint64))
         u, first, code = np.unique(h, return_index=True, return_inverse=True)
-        if len(self.known) > CACHE:
-            self.known.clear()
-        pool = []
-        for key, x, y in zip(u.tolist(), starts[first].tolist(), stops[first].tolist()):
-            v = self.known.get(key)
-            if v is None:
-                v = self.known[key] = np.array(self.encode(buf[x:y].decode(errors="replace")), np.uint32)
-            pool.append(v)
-        sizes = np.array([len(v) for v in pool], np.int64)
-        flat = np.concatenate(pool) if pool else np.zeros(0, np.uint32)
-        at = np.cumsum(sizes) - sizes
-        n_of = sizes[code]
+        if len(self.hashes) > CACHE:
+            self._forget()
+        place = np.searchsorted(self.hashes, u)
+        fresh = np.ones(len(u), bool)
+        inside = place < len(self.hashes)
+        fresh[inside] = self.hashes[place[inside]] != u[inside]
+        if fresh.any():
+            f = first[fresh]
+            self._learn(u[fresh], [buf[x:y] for x, y in zip(starts[f].tolist(), stops[f].tolist())])
+            place = np.searchsorted(self.hashes, u)
+        at, n_of = self.at[place][code], self.size[place][code]
         counts = np.bincount(text_of, weights=n_of, minlength=len(texts)).astype(np.int64)
-        src = np.repeat(at[code] - (np.cumsum(n_of) - n_of), n_of) + np.arange(int(n_of.sum()))
+        src = np.repeat(at - (np.cumsum(n_of) - n_of), n_of) + np.arange(int(n_of.sum()))
         out = np.full(int(counts.sum()) + len(texts), EOS, np.uint32)
         keep = np.ones(len(out), bool)
         keep[np.cumsum(counts + 1) - 1] = False
-        out[keep] = flat[src]
+        out[keep] = self.pool[src]
         return out, counts + 1
 
 
