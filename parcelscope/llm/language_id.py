@@ -36,6 +36,7 @@ EFFECTIVE = 60.0
 HOST_PRIOR, DOMAIN_PRIOR, EVIDENCE_PRIOR = 10.0, 20.0, 5.0
 UND = "und"
 UND_PRIOR = 1e-3
+MIN_TEXTS = 3
 MIN_SHARE = 0.01  # a declared language with a smaller share of the sample is not modelled
 
 TAGS = re.compile(rb"<(script|style)\b.*?</\1\s*>|<!--.*?-->|<[^>]*>", re.S | re.I)
@@ -59,14 +60,15 @@ def _plain(kind: str, body: bytes | None) -> bytes:
 
 def _sums(languages: list[str]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = {l: np.zeros(TABLE, np.float32) for l in languages}
+        total = {l: np.zeros((2, TABLE), np.float32) for l in languages}  # occurrences, and texts that have the cell
         for b in batches:
             kinds, langs, bodies = (c.to_pylist() for c in b.columns)
             texts = [_plain(k, x) for k, x in zip(kinds, bodies)]
             for part_l, part in chunks(langs, texts):
-                for l in set(part_l):
-                    cells, _ = _cells([t for t, x in zip(part, part_l) if x == l])
-                    total[l] += np.bincount(cells, minlength=TABLE).astype(np.float32)
+                for l, text in zip(part_l, part):
+                    seen = np.bincount(_cells([text])[0], minlength=TABLE)
+                    total[l][0] += seen
+                    total[l][1] += seen > 0
         have = [l for l in languages if total[l].any()]
         yield pa.RecordBatch.from_arrays([pa.array(have, pa.string()), pa.array([total[l].tobytes() for l in have], pa.binary())], ["lang", "cells"])
     return run
@@ -93,7 +95,10 @@ def train(rows: DataFrame, sample_rows: int = TRAIN_ROWS) -> tuple[list[str], np
     got = (sample.filter(F.col("declared").isin(languages)).select("kind", "declared", "body")
            .mapInArrow(_sums(languages), "lang string, cells binary").repartition(len(languages), "lang")
            .mapInArrow(_added, "lang string, cells binary").collect())  # one vector per language
-    table = {r["lang"]: np.frombuffer(r["cells"], np.float32) for r in got}
+    table = {}
+    for r in got:
+        count, texts = np.frombuffer(r["cells"], np.float32).reshape(2, TABLE)
+        table[r["lang"]] = np.where(texts >= MIN_TEXTS, count, 0)  # what few texts have is theirs, not the language's
     languages = [l for l in languages if l in table]
     logs = [np.log((table[l] + 0.05) / (table[l].sum() + 0.05 * TABLE)) for l in languages]
     return languages, np.array(logs, np.float32)
@@ -158,7 +163,7 @@ def identify(rows: DataFrame) -> DataFrame:
     def evidence(key: str, out: str) -> DataFrame:
         """P(value | language): by language, smoothed over the values seen."""
         c = counted(F.col(key))
-        values = c.count()
+        values = max(1, c.count())
         return c.select(F.col("k").alias(key), F.zip_with("c", F.array(*[F.lit(float(x)) for x in every]), lambda x, t: (
             x + EVIDENCE_PRIOR / values) / (t + EVIDENCE_PRIOR)).alias(out))
 
