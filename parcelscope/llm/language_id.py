@@ -86,7 +86,8 @@ def _added(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def train(rows: DataFrame, sample_rows: int = TRAIN_ROWS) -> tuple[list[str], np.ndarray]:
     """Languages and log P(cell | language), one row each, from a sample chosen by hash."""
     every = max(1, rows.count() // sample_rows)
-    sample = rows.filter("declared is not null").filter(F.pmod(F.xxhash64("body"), F.lit(every)) == 0)
+    # the id is in the hash: a group of copies is sampled like other rows, not as a whole
+    sample = rows.filter("declared is not null").filter(F.pmod(F.xxhash64("kind", "id", "body"), F.lit(every)) == 0)
     seen = {r["declared"]: r["count"] for r in sample.groupBy("declared").count().orderBy(F.desc("count")).limit(64).collect()}
     least = MIN_SHARE * sum(seen.values())
     languages = sorted(l for l, c in seen.items() if c >= least)
@@ -139,7 +140,7 @@ def identify(rows: DataFrame) -> DataFrame:
     rows = rows.select("kind", "id", F.coalesce("declared", F.lit("")).alias("d"), F.coalesce("host", F.lit("")).alias("h"),
                        F.coalesce("suffix", F.lit("")).alias("s"), F.when(F.col("declared") != "", F.col("declared")).alias("declared"),
                        F.col("body").cast("binary").alias("body"))
-    languages, logs = train(rows.select("kind", "declared", "body"))
+    languages, logs = train(rows.select("kind", "id", "declared", "body"))
     names = [*languages, UND]
     n = len(names)
     scored = written(rows.select("kind", "id", "d", "h", "s", "body").mapInArrow(
