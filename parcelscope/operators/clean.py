@@ -98,8 +98,8 @@ REJECTED_FLAG = "_rejected"
 class Split(tuple):
     """``(clean, rejected)`` plus the flagged frame both are filtered from.
 
-    ``flagged`` has the clean columns and a boolean ``_rejected``; counting over
-    it gives clean and rejected sizes in one pass.  ``same_rows`` tells whether
+    ``flagged`` has all columns of both and a boolean ``_rejected``; writing or
+    counting it covers both sides in one pass.  ``same_rows`` tells whether
     it has one row per input row (false after de-duplication).
     """
 
@@ -128,7 +128,8 @@ def split_by_reason(typed: DataFrame, checks: list[tuple[Column, str]], keep: li
         any_bad = any_bad | bad
     clean = typed.filter(~any_bad).select(keep)
     rejected = typed.filter(any_bad).select(*keep, first_reason(checks).alias(REJECT_REASON))
-    return Split(clean, rejected, typed.select(*keep, any_bad.alias(REJECTED_FLAG)))
+    flagged = typed.select(*keep, first_reason(checks).alias(REJECT_REASON), any_bad.alias(REJECTED_FLAG))
+    return Split(clean, rejected, flagged)
 
 
 def conform(raw: DataFrame, name: str, overrides: dict[str, str] | None = None,

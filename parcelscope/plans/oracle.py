@@ -449,7 +449,8 @@ def check_sql(schemas) -> dict[str, str]:
                      f"(SELECT count(*) FROM {clean}) AS rows_after, {rej_n} AS rows_rejected")
     q["etl_audit"] = f"""
 , a AS ({_union(audit)})
-SELECT table_name, rows_before, rows_after, rows_rejected, rows_before - rows_after AS rows_dropped,
+SELECT table_name, rows_before, rows_after, rows_rejected,
+       rows_before - rows_after - rows_rejected AS rows_duplicate, rows_before - rows_after AS rows_dropped,
        CASE WHEN rows_before > 0
             THEN round(CAST(rows_before - rows_after AS DOUBLE) * 100.0 / CAST(rows_before AS DOUBLE), 2)
             ELSE 0.0 END AS dropped_pct
@@ -531,6 +532,13 @@ ORDER BY count DESC, {', '.join(c + ' NULLS FIRST' for c in gcols)} LIMIT 20"""
              f"OR geolocation_lng < {LNG_RANGE[0]} OR geolocation_lng > {LNG_RANGE[1]}"),
         rule("order_reviews", "rev", "score_out_of_range", "review_score < 1 OR review_score > 5"),
     ])
+    q["e14_violating_items"] = "SELECT * FROM items WHERE price <= 0 OR freight_value < 0"
+    q["e15_violating_payments"] = "SELECT * FROM pay WHERE payment_value <= 0 OR payment_installments <= 0"
+    q["e16_violating_products"] = ("SELECT * FROM prod WHERE product_weight_g <= 0 OR product_length_cm <= 0 "
+                                   "OR product_height_cm <= 0 OR product_width_cm <= 0")
+    q["e17_violating_geolocation"] = ("SELECT * FROM geo_typed WHERE geolocation_lat < -35 OR geolocation_lat > 5 "
+                                      "OR geolocation_lng < -75 OR geolocation_lng > -30")
+    q["e18_violating_reviews"] = "SELECT * FROM rev WHERE review_score < 1 OR review_score > 5"
     q["e19_order_violations"] = f"""
 SELECT count(*) FILTER (WHERE {A} < {P}) AS approved_before_purchase,
        count(*) FILTER (WHERE {C} < {A}) AS carrier_before_approved,

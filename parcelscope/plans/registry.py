@@ -176,23 +176,29 @@ def _union(frames: list[DataFrame]) -> DataFrame:
     return out
 
 
+# The range rules studied.  Key of the offending rows -> (table, rule, predicate).
+RANGE_RULES = {
+    "e14_violating_items": ("order_items", "price_or_freight", "price <= 0 OR freight_value < 0"),
+    "e15_violating_payments": ("order_payments", "value_or_installments",
+                               "payment_value <= 0 OR payment_installments <= 0"),
+    "e16_violating_products": ("products", "weight_or_dimensions",
+                               "product_weight_g <= 0 OR product_length_cm <= 0 OR product_height_cm <= 0 "
+                               "OR product_width_cm <= 0"),
+    "e17_violating_geolocation": ("geolocation", "outside_box",
+                                  "geolocation_lat < -35 OR geolocation_lat > 5 "
+                                  "OR geolocation_lng < -75 OR geolocation_lng > -30"),
+    "e18_violating_reviews": ("order_reviews", "score_out_of_range", "review_score < 1 OR review_score > 5"),
+}
+
+
 def _range_checks(lake: Lake) -> DataFrame:
-    c = F.col
-    return _union([
-        Q.check_rules(lake.typed("order_items"),
-                      {"price_or_freight": (c("price") <= 0) | (c("freight_value") < 0)}, "order_items"),
-        Q.check_rules(lake.typed("order_payments"),
-                      {"value_or_installments": (c("payment_value") <= 0) | (c("payment_installments") <= 0)},
-                      "order_payments"),
-        Q.check_rules(lake.typed("products"),
-                      {"weight_or_dimensions": (c("product_weight_g") <= 0) | (c("product_length_cm") <= 0)
-                       | (c("product_height_cm") <= 0) | (c("product_width_cm") <= 0)}, "products"),
-        Q.check_rules(lake.typed("geolocation"),
-                      {"outside_box": (c("geolocation_lat") < -35) | (c("geolocation_lat") > 5)
-                       | (c("geolocation_lng") < -75) | (c("geolocation_lng") > -30)}, "geolocation"),
-        Q.check_rules(lake.typed("order_reviews"),
-                      {"score_out_of_range": (c("review_score") < 1) | (c("review_score") > 5)}, "order_reviews"),
-    ])
+    return _union([Q.check_rules(lake.typed(table), {rule: F.expr(bad)}, table)
+                   for table, rule, bad in RANGE_RULES.values()])
+
+
+def _violating(key: str) -> Query:
+    table, rule, bad = RANGE_RULES[key]
+    return _lake_query(lambda lake: ntz(Q.violations(lake.typed(table), {rule: F.expr(bad)})))
 
 
 def _nulls(lake: Lake) -> DataFrame:
@@ -238,6 +244,7 @@ def check_queries() -> dict[str, Query]:
         lambda lake: Q.duplicate_census({n: lake.typed(n) for n in TABLES}))
     q["e13_duplicate_groups"] = _lake_query(lambda lake: Q.duplicate_groups(lake.typed("geolocation")))
     q["e14_range_checks"] = _lake_query(_range_checks)
+    q |= {key: _violating(key) for key in RANGE_RULES}
     q["e19_order_violations"] = _lake_query(lambda lake: Q.order_violations(lake.typed("orders")))
     q["e20_violation_gap_stats"] = _lake_query(lambda lake: Q.violation_gap_stats(lake.typed("orders")))
     q["e21_violations_by_status"] = _lake_query(lambda lake: Q.violations_by_status(lake.typed("orders")))

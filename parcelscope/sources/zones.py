@@ -20,6 +20,7 @@ from ..schema import SCHEMAS, SORT_KEYS, TABLES, raw_schema
 # Zone folder names.
 RAW, CLEAN, REJECTED, WAREHOUSE = "raw_parquet", "clean_parquet", "rejected_parquet", "warehouse"
 STREAM = "raw_stream"  # raw rows of the incremental ingest
+STAGED = "staged_parquet"  # typed rows of the last transform, both sides of the quarantine
 
 
 def absent(e: AnalysisException) -> bool:
@@ -128,8 +129,11 @@ def extract(spark: SparkSession, source_dir: str, lake: str, names=TABLES) -> di
 def transform(spark: SparkSession, lake: str, names=TABLES, zone: str = RAW) -> list[tuple[str, int, int, int]]:
     """Raw zone (or ``zone``) -> clean zone + quarantine for every table present there.
 
-    The quarantine is always rewritten, so an old one never outlives a run that
-    has no rejects.  Returns ``(table, rows_before, rows_after, rows_rejected)``.
+    The raw rows are read, parsed and de-duplicated once: the flagged frame goes
+    to a staging folder, partitioned by the reject flag, and both zones are
+    written from there, each reading its own side only.  The quarantine is
+    always rewritten, so an old one never outlives a run that has no rejects.
+    Returns ``(table, rows_before, rows_after, rows_rejected)``.
     """
     log = []
     for name in names:
@@ -139,15 +143,16 @@ def transform(spark: SparkSession, lake: str, names=TABLES, zone: str = RAW) ->
             if absent(e):
                 continue
             raise
-        split = TRANSFORMS[name](raw)
-        clean, rejected = split
-        o_clean, o_rej = Observation(f"clean_{name}"), Observation(f"rejected_{name}")
-        write_zone(clean, os.path.join(lake, CLEAN, name), name, o_clean, partitioned=True)
-        write_zone(rejected, os.path.join(lake, REJECTED, name), None, o_rej)
-        after, n_rej = o_clean.get["rows"], o_rej.get["rows"]
-        # one row out per row in, unless the step de-duplicates: then count the input
-        before = after + n_rej if getattr(split, "same_rows", True) else raw.count()
-        log.append((name, before, after, n_rej))
+        o_raw, o_clean, o_rej = (Observation(f"{side}_{name}") for side in ("input", "clean", "rejected"))
+        split = TRANSFORMS[name](raw.observe(o_raw, F.count(F.lit(1)).alias("rows")))
+        staged = os.path.join(lake, STAGED, name)
+        split.flagged.write.mode("overwrite").partitionBy(REJECTED_FLAG).parquet(staged)
+        typed = spark.read.schema(split.flagged.schema).parquet(staged)
+        bad = F.col(REJECTED_FLAG)
+        write_zone(typed.filter(~bad).select(split.clean.columns), os.path.join(lake, CLEAN, name), name, o_clean,
+                   partitioned=True)
+        write_zone(typed.filter(bad).select(split.rejected.columns), os.path.join(lake, REJECTED, name), None, o_rej)
+        log.append((name, o_raw.get["rows"], o_clean.get["rows"], o_rej.get["rows"]))
     return log
 
 
@@ -187,7 +192,8 @@ def audit_frame(spark: SparkSession, log: list[tuple[str, int, int, int]]) -> Da
 
 def _audit_columns(df: DataFrame) -> DataFrame:
     dropped = F.col("rows_before") - F.col("rows_after")
-    return df.select("table_name", "rows_before", "rows_after", "rows_rejected", dropped.alias("rows_dropped"),
+    return df.select("table_name", "rows_before", "rows_after", "rows_rejected",
+                     (dropped - F.col("rows_rejected")).alias("rows_duplicate"), dropped.alias("rows_dropped"),
                      F.when(F.col("rows_before") > 0,
                             F.round(dropped.cast("double") * F.lit(100.0) / F.col("rows_before").cast("double"), 2))
                      .otherwise(F.lit(0.0)).alias("dropped_pct"))

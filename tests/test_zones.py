@@ -3,7 +3,7 @@ import os
 import pytest
 from pyspark.sql import functions as F
 
-from parcelscope.operators.clean import clean_tables
+from parcelscope.operators.clean import TRANSFORMS, clean_tables
 from parcelscope.plans.registry import ntz
 from parcelscope.schema import TABLES
 from parcelscope.sources import zones
@@ -78,3 +78,23 @@ def test_csv_without_a_column_is_refused(spark, tmpdir_path):
         f.write("seller_id,seller_city\ns1,a\n")
     with pytest.raises(ValueError, match="seller_state"):
         zones.read_raw_csv(spark, path, "sellers")
+
+
+def test_transform_reads_the_raw_zone_once(spark, tmpdir_path, monkeypatch):
+    """Both zones are written from the staged rows; the counts are those of the cleaning step."""
+    names = ["orders", "geolocation", "products"]
+    raw = raw_tables(spark, SF_SMALL, names)
+    for name, df in raw.items():
+        zones.write_zone(df, os.path.join(tmpdir_path, zones.RAW, name))
+    read, write = [], zones.write_zone
+
+    def recorded(df, *args, **kwargs):
+        read.extend(df.inputFiles())
+        write(df, *args, **kwargs)
+
+    monkeypatch.setattr(zones, "write_zone", recorded)
+    log = zones.transform(spark, tmpdir_path, names)
+    assert read and all(f"/{zones.STAGED}/" in f for f in read)
+    for name, *counts in log:
+        split = TRANSFORMS[name](raw[name])
+        assert counts == [raw[name].count(), split.clean.count(), split.rejected.count()]
