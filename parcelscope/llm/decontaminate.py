@@ -10,8 +10,10 @@ the positional bound (the word stands at its own place in the window) leave
 candidates, which are verified word for word over the item-sized window.
 
 Nulls and texts without words have no words and no hits.  The benchmark side is
-broadcast only after its windows have been counted (``BROADCAST_WINDOWS``);
-beyond that the same join is left to the planner's shuffle join.
+broadcast only after its bytes have been counted (``BROADCAST_BYTES``).  Beyond
+that the planner shuffles: word counts are combined before their join, and an
+occurrence carries the words that a window around it can reach, never its whole
+document.
 Repeated document rows each give a row; extra columns are ignored.
 """
 
@@ -23,7 +25,7 @@ from pyspark.sql import functions as F
 from .common import ascii_lower, written
 
 WINDOW = 10
-BROADCAST_WINDOWS = 500_000
+BROADCAST_BYTES = 64 << 20  # upper bound of what the vocabulary or the prefix index holds
 SEPARATOR = r"[\x00-\x2F\x3A-\x60\x7B-\x7F&&[^A-Z]]+"  # Java: ASCII outside 0-9, a-z, A-Z
 
 
@@ -42,12 +44,19 @@ def item_windows(benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
     return b.groupBy("words").agg(F.array_sort(F.collect_set("item_id")).alias("items"))
 
 
+def _held_bytes(windows: DataFrame) -> int:
+    """Upper bound of the bytes of all window words, texts and item lists, with 40 a word or item for its row."""
+    held = F.sum(F.octet_length(F.array_join("words", " ")) + F.octet_length(F.array_join("items", " "))
+                 + 40 * (F.size("words") + F.size("items")))
+    return windows.agg(held.alias("held")).first()["held"] or 0
+
+
 def contaminated_words(documents: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
     """Per document row: doc_id, n_words, n_hit, items (array of string), contaminated."""
     rows = documents.select("doc_id", "text")
     windows = written(item_windows(benchmark, window), "windows")
-    n_windows = windows.count()
-    small = (lambda d: F.broadcast(d)) if n_windows <= BROADCAST_WINDOWS else (lambda d: d)
+    fits = _held_bytes(windows) <= BROADCAST_BYTES
+    small = F.broadcast if fits else (lambda d: d)
 
     texts = rows.select("doc_id", F.xxhash64("doc_id", "text").alias("rid"), _words(F.col("text")).alias("words"))
     texts = texts.select("doc_id", "rid", "words", F.size("words").alias("n_words"))
@@ -57,8 +66,11 @@ def contaminated_words(documents: DataFrame, benchmark: DataFrame, window: int =
         return w.withColumn("word", ascii_lower(F.col("word")))
 
     vocabulary = windows.select(F.explode("words").alias("word")).distinct()
-    seen = (occurrences([]).select("word").join(small(vocabulary), "word")
-            .groupBy("word").agg(F.count("*").alias("freq")))
+    counted = occurrences([]).select("word")
+    if fits:
+        seen = counted.join(small(vocabulary), "word").groupBy("word").agg(F.count("*").alias("freq"))
+    else:
+        seen = counted.groupBy("word").agg(F.count("*").alias("freq")).join(vocabulary, "word")
     # the rarest word of each window (ties: the word itself), with its first place in the window
     ranked = (windows.select("words", "items", F.posexplode("words").alias("at", "word"))
               .join(seen, "word"))  # a word that no document has: the window cannot occur
@@ -68,12 +80,20 @@ def contaminated_words(documents: DataFrame, benchmark: DataFrame, window: int =
                     .select(F.col("m.word").alias("word"), F.col("m.at").alias("at"), F.size("words").alias("size"),
                             F.array_join("words", " ").alias("window"), "items"), "prefix")
 
-    cand = occurrences(["doc_id", "rid", "words", "n_words"]).join(small(index), "word")
-    start, size = F.col("pos") - F.col("at"), F.col("size")
+    # ``here`` is the word's place in ``words``: the whole document, or the reach of a window around it
+    around = occurrences(["doc_id", "rid", "words"])
+    if fits:
+        around = around.withColumn("here", F.col("pos"))
+    else:
+        around = around.select(
+            "doc_id", "rid", "pos", "word", F.least("pos", F.lit(window - 1)).alias("here"),
+            F.slice("words", F.greatest(F.col("pos") - (window - 1), F.lit(0)) + 1, 2 * window - 1).alias("words"))
+    cand = around.join(small(index), "word")
+    begin, start, size = F.col("here") - F.col("at"), F.col("pos") - F.col("at"), F.col("size")
     # positional and length bounds, then the words themselves (no lambda here: the explode and
     # the join stay in one generated loop, and a document's words are copied for matches only)
-    there = F.slice("words", F.greatest(start, F.lit(0)) + 1, size)
-    cand = cand.filter((start >= 0) & (start + size <= F.col("n_words"))
+    there = F.slice("words", F.greatest(begin, F.lit(0)) + 1, size)
+    cand = cand.filter((begin >= 0) & (begin + size <= F.size("words"))
                        & (ascii_lower(F.array_join(there, " ")) == F.col("window")))
     found = (cand.select("doc_id", "rid", start.alias("start"), (start + size).alias("stop"), "items")
              .groupBy("doc_id", "rid").agg(
@@ -84,8 +104,9 @@ def contaminated_words(documents: DataFrame, benchmark: DataFrame, window: int =
         lambda acc, s: F.struct((acc.n + F.greatest(F.lit(0), s.stop - F.greatest(s.start, acc.upto))).alias("n"),
                                 F.greatest(acc.upto, s.stop).alias("upto")),
         lambda acc: acc.n)
-    found = found.select(F.col("rid"), covered.cast("long").alias("n_hit"), "items")
-    out = texts.select("doc_id", "rid", F.col("n_words").cast("long").alias("n_words")).join(found, "rid", "left")
+    found = found.select(F.col("doc_id").alias("hit_id"), F.col("rid").alias("hit_rid"), covered.cast("long").alias("n_hit"), "items")
+    out = texts.select("doc_id", "rid", F.col("n_words").cast("long").alias("n_words")).join(
+        found, F.col("rid").eqNullSafe(F.col("hit_rid")) & F.col("doc_id").eqNullSafe(F.col("hit_id")), "left")
     return out.select(
         "doc_id", "n_words", F.coalesce("n_hit", F.lit(0).cast("long")).alias("n_hit"),
         F.coalesce("items", F.array().cast("array<string>")).alias("items"),

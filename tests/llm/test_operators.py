@@ -199,7 +199,9 @@ def test_pii(spark, docs):
     assert pii.find_spans(_empty(df)).count() == 0
 
 
-def test_decontamination(spark, docs):
+@pytest.mark.parametrize("limit", [decontaminate.BROADCAST_BYTES, 0])
+def test_decontamination(spark, docs, monkeypatch, limit):
+    monkeypatch.setattr(decontaminate, "BROADCAST_BYTES", limit)
     rows, df = docs
     items = [(1, rows[1][1][:400]), (2, "ab CD"), (3, None), (4, "--"), (2, "ab cd"), (10, "no such words here")]
     bench = spark.createDataFrame(items, "item_id long, text string").selectExpr("*", "1 AS doc_id", "2 AS window")
