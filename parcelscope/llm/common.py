@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 LOWER = UPPER.lower()
+BROADCAST_IDS = 1_000_000  # ids (about 24 bytes each) that a broadcast may hold
 CHUNK_BYTES, CHUNK_ROWS = 2 << 20, 50_000  # text bytes and texts that one vectorised step handles
 
 
@@ -40,6 +41,17 @@ def written(df: DataFrame, tag: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def without(documents: DataFrame, ids: DataFrame) -> DataFrame:
+    """Rows of ``documents`` whose doc_id is not in ``ids`` (distinct, one column doc_id); null doc_ids stay.
+
+    The ids are written and counted first: up to ``BROADCAST_IDS`` they are broadcast and no text is shuffled.
+    """
+    gone = written(ids, "gone")
+    if gone.count() <= BROADCAST_IDS:
+        gone = F.broadcast(gone)
+    return documents.join(gone, "doc_id", "left_anti").select(*documents.columns)
+
+
 def n_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

@@ -22,7 +22,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import ascii_lower, written
+from .common import ascii_lower, without, written
 
 WINDOW = 10
 BROADCAST_BYTES = 64 << 20  # upper bound of what the vocabulary or the prefix index holds
@@ -125,4 +125,4 @@ def decontaminate(documents: DataFrame, benchmark: DataFrame, window: int = WIND
     A document goes if one of the item windows occurs in it; null doc_ids are kept.
     """
     bad = contaminated_words(documents, benchmark, window).filter("contaminated").select("doc_id").distinct()
-    return documents.join(bad, "doc_id", "left_anti").select(*documents.columns)
+    return without(documents, bad)

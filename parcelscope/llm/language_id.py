@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import chunks, written
+from .common import chunks, without, written
 
 TABLE = 1 << 16
 TRAIN_ROWS = 8000
@@ -192,4 +192,4 @@ def page_rows(pages: DataFrame) -> DataFrame:
 def keep_identified(documents: DataFrame) -> DataFrame:
     """Documents in a known language; columns kept."""
     gone = identify(document_rows(documents)).filter("not kept and id is not null").select(F.col("id").alias("doc_id")).distinct()
-    return documents.join(gone, "doc_id", "left_anti").select(*documents.columns)
+    return without(documents, gone)

@@ -33,7 +33,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import chunks, n_partitions, window_hashes, word_hashes, written
+from .common import chunks, n_partitions, window_hashes, without, word_hashes, written
 from .graph import components
 
 NGRAM, PERCENT = 4, 85
@@ -372,4 +372,4 @@ def keep_one(documents: DataFrame, ngram: int, percent: int) -> DataFrame:
     """One document of each component (the smallest doc_id); texts without words stay.  Columns kept."""
     classes = jaccard_classes(documents, ngram, percent)
     gone = classes.filter("component_id is not null and doc_id <> component_id").select("doc_id").distinct()
-    return documents.join(gone, "doc_id", "left_anti").select(*documents.columns)
+    return without(documents, gone)

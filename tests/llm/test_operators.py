@@ -6,9 +6,10 @@ import zlib
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 import __spark_entry__ as E
-from parcelscope.llm import (chat, decontaminate, html_extract, language_id, ngram_join, order_minhash, packing, pii, queries,
+from parcelscope.llm import (chat, common, decontaminate, html_extract, language_id, ngram_join, order_minhash, packing, pii, queries,
                              substring_dedup, url_filter)
 
 from conftest import SF_SMALL
@@ -199,6 +200,19 @@ def test_pii(spark, docs):
     assert pii.find_spans(_empty(df)).count() == 0
 
 
+@pytest.mark.parametrize("limit", [common.BROADCAST_IDS, 0])
+def test_without(docs, monkeypatch, limit):
+    monkeypatch.setattr(common, "BROADCAST_IDS", limit)
+    rows, df = docs
+    df = df.unionByName(df.filter("doc_id = 900004").withColumn("doc_id", F.lit(None).cast("long"))).unionByName(df.filter("doc_id >= 900008"))
+    kept = common.without(df, df.filter("doc_id in (900001, 900008)").select("doc_id").distinct())
+    assert kept.columns == df.columns
+    want = [i for i, *_ in rows if i not in (900001, 900008)] + [900009, None]
+    assert sorted(map(str, want)) == sorted(str(r.doc_id) for r in kept.collect())
+    assert common.without(df, _empty(df).select("doc_id")).count() == len(rows) + 3
+    assert common.without(_empty(df), df.select("doc_id").distinct()).count() == 0
+
+
 @pytest.mark.parametrize("limit", [decontaminate.BROADCAST_BYTES, 0])
 def test_decontamination(spark, docs, monkeypatch, limit):
     monkeypatch.setattr(decontaminate, "BROADCAST_BYTES", limit)
