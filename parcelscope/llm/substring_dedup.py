@@ -15,7 +15,9 @@ start) are marked, and the words that marked edges cover are removed.
    maximal path, given as a span of words, which is then cut out.
 
 Nulls and texts of fewer than ``WINDOW`` words lose nothing.  A null doc_id counts as the
-largest.  Rows that share a doc_id share their marks (repeated rows give equal results).
+largest.  A document is a (doc_id, hash of its text): rows with both equal are repeated rows, lose
+nothing on each other's account and give equal results; different texts under one doc_id (or none)
+are documents of their own, and among equal (doc_id, start) the smaller text hash is first.
 """
 
 from __future__ import annotations
@@ -35,22 +37,26 @@ NO_ID = (1 << 63) - 1
 _MARKS = 1
 
 
-def _rows(kind, r, blobs, docs):
+def _rows(kind, r, blobs, docs, prints):
     return pa.RecordBatch.from_arrays([pa.array(r, pa.int32()), pa.array(kind, pa.int8()), pa.array(docs, pa.int64()),
-                                       pa.array(blobs, pa.binary())], ["r", "kind", "doc_id", "packed"])
+                                       pa.array(prints, pa.int64()), pa.array(blobs, pa.binary())],
+                                      ["r", "kind", "doc_id", "print", "packed"])
 
 
 def _dealt(ranges: int, w: int, k: int):
-    """Rows (r, kind, doc_id, packed): runs of edges by hash range, and marks found at once."""
+    """Rows (r, kind, doc_id, print, packed): runs of edges by hash range, and marks found at once."""
     span = w - k + 1
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             ids = [NO_ID if i is None else i for i in b.column(0).to_pylist()]
-            texts = [x or b"" for x in b.column(1).to_pylist()]
-            for ids_c, texts_c in chunks(ids, texts):
-                order = sorted(range(len(ids_c)), key=ids_c.__getitem__)
+            texts = [x or b"" for x in b.column(2).to_pylist()]
+            for ids_c, prints_c, texts_c in chunks(ids, b.column(1).to_pylist(), texts):
+                # repeated rows count once: their marks are joined to each of them
+                once = {key: i for i, key in enumerate(zip(ids_c, prints_c))}
+                order = [once[key] for key in sorted(once)]
                 doc_ids = np.array([ids_c[i] for i in order], np.int64)
+                prints = np.array([prints_c[i] for i in order], np.int64)
                 h, counts = word_hashes([texts_c[i] for i in order])
                 edges = np.maximum(counts - w + 1, 0)
                 total = int(edges.sum())
@@ -68,7 +74,11 @@ def _dealt(ranges: int, w: int, k: int):
                     lead[lo:lo + 200_000] = views.argmin(axis=1)
                 q = at + lead
                 # marks within this run of texts
-                _, first = np.unique(eh, return_index=True)
+                if (doc_ids[1:] == doc_ids[:-1]).any():  # several texts of one doc_id: the earlier start is first
+                    by = np.lexsort((prints[doc], pos, doc_ids[doc]))
+                    first = by[np.unique(eh[by], return_index=True)[1]]
+                else:
+                    first = np.unique(eh, return_index=True)[1]
                 dup = np.ones(total, bool)
                 dup[first] = False
                 if dup.any():
@@ -76,7 +86,7 @@ def _dealt(ranges: int, w: int, k: int):
                     cut = np.concatenate(([0], np.flatnonzero(np.diff(d)) + 1, [len(d)])).tolist()
                     yield _rows([_MARKS] * (len(cut) - 1), [int(doc_ids[d[x]]) % ranges for x in cut[:-1]],
                                 [p[x:y].astype(np.uint32).tobytes() for x, y in zip(cut, cut[1:])],
-                                [int(doc_ids[d[x]]) for x in cut[:-1]])
+                                [int(doc_ids[d[x]]) for x in cut[:-1]], [int(prints[d[x]]) for x in cut[:-1]])
                 # runs: neighbouring edges of a document with one minimizer occurrence
                 new = np.concatenate(([True], (q[1:] != q[:-1]) | (doc[1:] != doc[:-1])))
                 start = np.flatnonzero(new)
@@ -95,38 +105,40 @@ def _dealt(ranges: int, w: int, k: int):
                     du, dn = np.unique(doc[s], return_counts=True)
                     every = np.repeat(s - (np.cumsum(n) - n), n) + np.arange(int(n.sum()))
                     r_out.append(int(where[x]))
-                    b_out.append(np.array([len(du), y - x], np.uint32).tobytes() + doc_ids[du].tobytes() + dn.astype(np.uint32).tobytes()
+                    b_out.append(np.array([len(du), y - x], np.uint32).tobytes() + doc_ids[du].tobytes() + prints[du].tobytes() + dn.astype(np.uint32).tobytes()
                                  + sh[x:y].tobytes() + pos[s].astype(np.uint32).tobytes() + lead[s].astype(np.uint8).tobytes()
                                  + n.astype(np.uint8).tobytes() + check[every].tobytes())
-                yield _rows([0] * len(r_out), r_out, b_out, [None] * len(r_out))
+                yield _rows([0] * len(r_out), r_out, b_out, [None] * len(r_out), [None] * len(r_out))
     return run
 
 
 def _unpacked(blob: bytes):
-    """doc_id, start and identity of every edge of a packed row."""
+    """doc_id, text hash, start and identity of every edge of a packed row."""
     m, n = (int(x) for x in np.frombuffer(blob, np.uint32, 2))
     at = 8
     out = []
-    for kind, size in ((np.int64, m), (np.uint32, m), (np.uint64, n), (np.uint32, n), (np.uint8, n), (np.uint8, n)):
+    for kind, size in ((np.int64, m), (np.int64, m), (np.uint32, m), (np.uint64, n), (np.uint32, n), (np.uint8, n), (np.uint8, n)):
         out.append(np.frombuffer(blob, kind, size, at))
         at += out[-1].nbytes
-    ids, runs, seed, pos, lead, length = out
+    ids, prints, runs, seed, pos, lead, length = out
     check = np.frombuffer(blob, np.uint32, -1, at).astype(np.uint64)
     length = length.astype(np.int64)
     step = np.arange(len(check)) - np.repeat(np.cumsum(length) - length, length)
     offset = (np.repeat(lead.astype(np.int64), length) - step).astype(np.uint64)
     ident = mix(np.repeat(seed, length) + offset * np.uint64(0x9E3779B97F4A7C15)) + mix(check * np.uint64(0xD6E8FEB86659FD93) + np.uint64(1))
-    return np.repeat(np.repeat(ids, runs), length), np.repeat(pos.astype(np.int64), length) + step, ident
+    return (np.repeat(np.repeat(ids, runs), length), np.repeat(np.repeat(prints, runs), length),
+            np.repeat(pos.astype(np.int64), length) + step, ident)
 
 
 def _marked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Per hash range: the starts of all occurrences but the first, as rows (doc_id, starts)."""
-    for (_, kind), (docs, blobs) in by_group(batches, 2):
+    """Per hash range: the starts of all occurrences but the first, as rows (doc_id, print, starts)."""
+    names = ["doc_id", "print", "starts"]
+    for (_, kind), (docs, prints, blobs) in by_group(batches, 2):
         if kind == _MARKS:
-            yield pa.RecordBatch.from_arrays([pa.array(docs, pa.int64()), pa.array(blobs, pa.binary())], ["doc_id", "starts"])
+            yield pa.RecordBatch.from_arrays([pa.array(docs, pa.int64()), pa.array(prints, pa.int64()), pa.array(blobs, pa.binary())], names)
             continue
         parts = [_unpacked(x) for x in blobs]
-        doc, pos, ident = (np.concatenate([p[i] for p in parts]) for i in range(3))
+        doc, text, pos, ident = (np.concatenate([p[i] for p in parts]) for i in range(4))
         del parts
         o = np.argsort(ident)
         s = ident[o]
@@ -134,23 +146,24 @@ def _marked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         many = o[np.concatenate((same, [False])) | np.concatenate(([False], same))]
         if not len(many):
             continue
-        doc, pos, ident = doc[many], pos[many], ident[many]
-        o = np.lexsort((pos, doc, ident))
-        doc, pos, ident = doc[o], pos[o], ident[o]
+        doc, text, pos, ident = doc[many], text[many], pos[many], ident[many]
+        o = np.lexsort((text, pos, doc, ident))
+        doc, text, pos, ident = doc[o], text[o], pos[o], ident[o]
         # every occurrence whose coordinate differs from the first of its identity
         head = np.concatenate(([True], ident[1:] != ident[:-1]))
         src = np.flatnonzero(head)[np.cumsum(head) - 1]
-        later = (doc != doc[src]) | (pos != pos[src])
-        doc, pos = doc[later], pos[later]
-        o = np.lexsort((pos, doc))
-        doc, pos = doc[o], pos[o].astype(np.uint32)
+        later = (doc != doc[src]) | (text != text[src]) | (pos != pos[src])
+        doc, text, pos = doc[later], text[later], pos[later]
+        o = np.lexsort((pos, text, doc))
+        doc, text, pos = doc[o], text[o], pos[o].astype(np.uint32)
         if not len(doc):
             continue
-        at = np.flatnonzero(np.concatenate(([True], doc[1:] != doc[:-1])))
+        at = np.flatnonzero(np.concatenate(([True], (doc[1:] != doc[:-1]) | (text[1:] != text[:-1]))))
         ends = np.concatenate((at, [len(doc)])) * 4
         packed = pa.Array.from_buffers(pa.large_binary(), len(at), [None, pa.py_buffer(ends.astype(np.int64).tobytes()), pa.py_buffer(pos.tobytes())])
         for lo in range(0, len(at), 20000):
-            yield pa.RecordBatch.from_arrays([pa.array(doc[at[lo:lo + 20000]]), packed.slice(lo, 20000).cast(pa.binary())], ["doc_id", "starts"])
+            some = at[lo:lo + 20000]
+            yield pa.RecordBatch.from_arrays([pa.array(doc[some]), pa.array(text[some]), packed.slice(lo, 20000).cast(pa.binary())], names)
 
 
 def _cut(w: int):
@@ -185,13 +198,14 @@ def _cut(w: int):
 def remove_repeats(documents: DataFrame, window: int = WINDOW, seed: int = SEED) -> DataFrame:
     """Per row: doc_id, n_words, n_removed, spans of removed words, kept (UTF-8 text, words joined by a space)."""
     parts = n_partitions(documents.sparkSession)
-    docs = documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("binary").alias("text"))
-    dealt = docs.mapInArrow(_dealt(parts, window, seed), "r int, kind byte, doc_id long, packed binary")
+    text = F.col("text").cast("binary")
+    docs = documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(text).alias("print"), text.alias("text"))
+    dealt = docs.mapInArrow(_dealt(parts, window, seed), "r int, kind byte, doc_id long, print long, packed binary")
     marks = (dealt.repartition(parts, "r").sortWithinPartitions("r", "kind")
-             .mapInArrow(_marked, "doc_id long, starts binary")
-             .groupBy("doc_id").agg(F.collect_list("starts").alias("starts")))
-    marks = marks.withColumnRenamed("doc_id", "_id")
-    joined = docs.join(marks, F.coalesce("doc_id", F.lit(NO_ID)) == F.col("_id"), "left").select("doc_id", "text", "starts")
+             .mapInArrow(_marked, "doc_id long, print long, starts binary")
+             .groupBy(F.col("doc_id").alias("_id"), F.col("print").alias("_print")).agg(F.collect_list("starts").alias("starts")))
+    mine = (F.coalesce("doc_id", F.lit(NO_ID)) == F.col("_id")) & (F.col("print") == F.col("_print"))
+    joined = docs.join(marks, mine, "left").select("doc_id", "text", "starts")
     return joined.mapInArrow(_cut(window), "doc_id long, n_words long, n_removed long, "
                                            "spans array<struct<start:bigint,stop:bigint>>, kept binary")
 

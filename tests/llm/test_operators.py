@@ -101,6 +101,22 @@ def test_substring_dedup(docs):
     assert substring_dedup.remove_repeats(_empty(df)).count() == 0
 
 
+def test_substring_dedup_repeated_rows_and_null_ids(spark):
+    say = lambda name, n: " ".join(f"{name}{k}" for k in range(n))
+    a, b, shared = say("a", 30), say("b", 30), say("s", 25)
+    rows = [(1, a), (1, a), (2, b), (1, a), (3, a + " tail"), (4, say("x", 30)), (4, "lead " + say("x", 30)),
+            (None, say("n", 22) + " " + shared), (None, "m0 " + shared + " " + say("m", 30)), (None, say("k", 40)), (None, say("k", 40))]
+    want = {(1, a): 0, (2, b): 0, (3, a + " tail"): 30, (4, say("x", 30)): 0, (4, "lead " + say("x", 30)): 30,
+            rows[7]: 25, rows[8]: 0, rows[9]: 0}
+    digest = lambda t: hashlib.sha256(t.encode()).hexdigest()
+    kept = {rows[4]: "tail", rows[6]: "lead", rows[7]: say("n", 22)}
+    expected = sorted((str(i), len(t.split()), want[i, t], digest(kept.get((i, t), t))) for i, t in rows)
+    for parts in (1, 2, len(rows)):  # one run of texts, two, and one for each row
+        df = spark.createDataFrame(spark.sparkContext.parallelize(rows, parts), "doc_id long, text string")
+        got = substring_dedup.digest(substring_dedup.remove_repeats(df)).collect()
+        assert sorted((str(r.doc_id), r.n_words, r.n_removed, r.kept_sha256) for r in got) == expected, parts
+
+
 def test_fingerprints(docs):
     rows, df = docs
     got = {r.doc_id: r for r in order_minhash.fingerprint_pairs(df).collect()}
