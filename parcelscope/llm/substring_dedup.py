@@ -6,8 +6,8 @@ start) are marked, and the words that marked edges cover are removed.
 
 1. Every edge is dealt to the hash range of its minimizer (the least hash among its
    ``SEED``-word k-mers).  Neighbouring edges with one minimizer occurrence are a run, and a
-   run travels as one piece: the seed's hash once, and a 32-bit check for each edge.  An edge is
-   identified by seed hash (64 bits), offset to the seed and check.
+   run travels as one piece: its start once, and the 64-bit hash of each edge, which identifies
+   the edge within its range.
 2. Edges repeated within a run of texts are marked at once and sent once; so an edge that
    many documents share costs a range one entry per run of texts, not per document.
 3. A range groups its edges by identity and marks by source coordinate.
@@ -96,8 +96,7 @@ def _dealt(ranges: int, w: int, k: int):
                 sh = mix(seeds[q[start]] ^ np.uint64(0x5851F42D4C957F2D))
                 where = ((sh >> np.uint64(32)) * np.uint64(ranges) >> np.uint64(32)).astype(np.int64)
                 o = np.argsort(where, kind="stable")
-                start, length, sh, where = start[o], length[o], sh[o], where[o]
-                check = (eh & np.uint64(0xFFFFFFFF)).astype(np.uint32)
+                start, length, where = start[o], length[o], where[o]
                 cut = np.concatenate(([0], np.flatnonzero(np.diff(where)) + 1, [len(where)])).tolist()
                 r_out, b_out = [], []
                 for x, y in zip(cut, cut[1:]):
@@ -106,8 +105,7 @@ def _dealt(ranges: int, w: int, k: int):
                     every = np.repeat(s - (np.cumsum(n) - n), n) + np.arange(int(n.sum()))
                     r_out.append(int(where[x]))
                     b_out.append(np.array([len(du), y - x], np.uint32).tobytes() + doc_ids[du].tobytes() + prints[du].tobytes() + dn.astype(np.uint32).tobytes()
-                                 + sh[x:y].tobytes() + pos[s].astype(np.uint32).tobytes() + lead[s].astype(np.uint8).tobytes()
-                                 + n.astype(np.uint8).tobytes() + check[every].tobytes())
+                                 + pos[s].astype(np.uint32).tobytes() + n.astype(np.uint8).tobytes() + eh[every].tobytes())
                 yield _rows([0] * len(r_out), r_out, b_out, [None] * len(r_out), [None] * len(r_out))
     return run
 
@@ -117,15 +115,13 @@ def _unpacked(blob: bytes):
     m, n = (int(x) for x in np.frombuffer(blob, np.uint32, 2))
     at = 8
     out = []
-    for kind, size in ((np.int64, m), (np.int64, m), (np.uint32, m), (np.uint64, n), (np.uint32, n), (np.uint8, n), (np.uint8, n)):
+    for kind, size in ((np.int64, m), (np.int64, m), (np.uint32, m), (np.uint32, n), (np.uint8, n)):
         out.append(np.frombuffer(blob, kind, size, at))
         at += out[-1].nbytes
-    ids, prints, runs, seed, pos, lead, length = out
-    check = np.frombuffer(blob, np.uint32, -1, at).astype(np.uint64)
+    ids, prints, runs, pos, length = out
+    ident = np.frombuffer(blob, np.uint64, -1, at)
     length = length.astype(np.int64)
-    step = np.arange(len(check)) - np.repeat(np.cumsum(length) - length, length)
-    offset = (np.repeat(lead.astype(np.int64), length) - step).astype(np.uint64)
-    ident = mix(np.repeat(seed, length) + offset * np.uint64(0x9E3779B97F4A7C15)) + mix(check * np.uint64(0xD6E8FEB86659FD93) + np.uint64(1))
+    step = np.arange(len(ident)) - np.repeat(np.cumsum(length) - length, length)
     return (np.repeat(np.repeat(ids, runs), length), np.repeat(np.repeat(prints, runs), length),
             np.repeat(pos.astype(np.int64), length) + step, ident)
 

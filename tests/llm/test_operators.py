@@ -117,6 +117,29 @@ def test_substring_dedup_repeated_rows_and_null_ids(spark):
         assert sorted((str(r.doc_id), r.n_words, r.n_removed, r.kept_sha256) for r in got) == expected, parts
 
 
+def test_substring_dedup_tells_edges_of_one_seed_apart(spark):
+    """Two different 20-word edges with the same minimizer at one offset, and hashes equal in their low 32 bits."""
+    names = [b"q%d" % i for i in range(4000)]
+    h, _ = common.word_hashes(names)
+    least = np.lexsort((common.window_hashes(h, 6),))[0]
+    phrase = h[least:least + 6]
+    rng = np.random.default_rng(3)
+    n = 400_000
+    rest = rng.integers(0, len(names), (n, 14))
+    powers = common._powers(common._D, 20)
+    words = np.concatenate((np.broadcast_to(phrase, (n, 6)), h[rest]), axis=1)
+    edges = common.mix((words * powers).sum(axis=1, dtype=np.uint64) + np.uint64(20))
+    assert edges[0] == common.window_hashes(words[0], 20)[0]
+    low = edges & np.uint64(0xFFFFFFFF)
+    o = np.argsort(low)
+    pairs = [(x, y) for x, y in zip(o, o[1:]) if low[x] == low[y] and edges[x] != edges[y]
+             and all(common.window_hashes(words[i], 6).argmin() == 0 for i in (x, y))]
+    assert pairs
+    text = [b" ".join(names[least:least + 6] + [names[j] for j in rest[i]]).decode() for i in pairs[0]]
+    df = spark.createDataFrame(spark.sparkContext.parallelize(list(enumerate(text)), 2), "doc_id long, text string")
+    assert [r.n_removed for r in substring_dedup.remove_repeats(df).collect()] == [0, 0]
+
+
 def test_fingerprints(docs):
     rows, df = docs
     got = {r.doc_id: r for r in order_minhash.fingerprint_pairs(df).collect()}
