@@ -7,8 +7,9 @@ hashed as a tuple: one entry of the signature.  Moving a passage changes the ord
 inside tuples, so the share of equal entries falls with edit distance and
 not only with the overlap of the k-mer sets.
 
-Priority of an occurrence is (hash of the k-mer, occurrence number): one sort of
-packed (hash | position) integers numbers and orders all occurrences.
+Priority of an occurrence is the hash of (k-mer, occurrence number) as one item, so a repeated
+k-mer's occurrences are spread over all priorities and bins.  One sort of packed (hash of the
+k-mer | position) integers numbers the occurrences, a second one of (item | position) orders them.
 
 The fingerprint is ``BINS`` groups of four characters (hex; ``....``: an empty bin).
 Likeness = equal entries / bins filled in either (1.0 if both have none).  Null
@@ -32,15 +33,26 @@ EMPTY = -1
 
 def _with_codes(df: DataFrame, text: str, out: str) -> DataFrame:
     """Adds the signature of a non-null text column: an array of BINS ints, EMPTY where a bin is empty."""
-    w, s = f"_{out}_w", f"_{out}_s"
+    w, k, s = f"_{out}_w", f"_{out}_k", f"_{out}_s"
     df = df.withColumn(w, F.array_remove(F.split(F.replace(F.col(text), F.lit("\n"), F.lit(" ")), " "), ""))
     pos = lambda i: i.cast("long").bitwiseAND(F.lit(LOW_POS))
     pack = lambda x, i: F.shiftleft(x.bitwiseAND(F.lit(LOW_HASH)), POS_BITS).bitwiseOR(pos(i))
-    # every k-mer occurrence as (hash, position); equal hashes sort by occurrence
+    # every k-mer occurrence as (hash | position); equal hashes sort by occurrence
     kmers = F.when(F.size(w) >= K, F.transform(F.slice(w, 1, F.size(w) - (K - 1)),
                                                lambda a, i: pack(F.xxhash64(a, F.get(w, i + 1)), i))
                    ).otherwise(F.transform(w, lambda a, i: pack(F.xxhash64(a), i)))
-    least = F.slice(F.sort_array(kmers), 1, SELECTED)
+    df = df.withColumn(k, F.sort_array(kmers))
+    kmer = lambda x: F.shiftright(x, POS_BITS)
+    again = lambda x, i: (i > 0) & (kmer(x) == kmer(F.get(k, i - 1)))
+    goes_on = lambda x, i: F.coalesce(kmer(x) == kmer(F.get(k, i + 1)), F.lit(False))
+    # the first occurrence's item is the k-mer's hash; those of the others are hashed from it and their number
+    firsts = F.filter(k, lambda x, i: ~again(x, i))
+    begins = F.array_compact(F.transform(k, lambda x, i: F.when(goes_on(x, i) & ~again(x, i), i)))
+    ends = F.array_compact(F.transform(k, lambda x, i: F.when(again(x, i) & ~goes_on(x, i), i)))
+    others = F.flatten(F.zip_with(begins, ends, lambda a, b: F.transform(
+        F.slice(k, a + 2, b - a), lambda x, n: pack(F.xxhash64(kmer(x), n + 1), x))))
+    items = F.concat(firsts, others)
+    least = F.slice(F.sort_array(items), 1, SELECTED)
     # bin | rest of the hash | position, and one sentinel that closes each bin
     to_bin = lambda x: F.shiftleft(F.shiftright(x, POS_BITS).bitwiseAND(F.lit(BINS - 1)), HASH_BITS - BIN_BITS).bitwiseOR(
         F.shiftright(x, POS_BITS + BIN_BITS))
@@ -56,13 +68,12 @@ def _with_codes(df: DataFrame, text: str, out: str) -> DataFrame:
 
     def entry(x: Column, i: Column) -> Column:
         y = F.get(s, i + 1)
-        occurrence = F.when(val(y) == val(x), 2).otherwise(1)
         hashed = F.when(is_end(y), F.xxhash64(val(x))).when(
-            at(x) < at(y), F.xxhash64(val(x), val(y), occurrence)).otherwise(F.xxhash64(val(y), val(x), occurrence))
+            at(x) < at(y), F.xxhash64(val(x), val(y))).otherwise(F.xxhash64(val(y), val(x)))
         first = (i == 0) | (bin_of(F.get(s, i - 1)) != bin_of(x))
         return F.when(first, F.when(is_end(x), EMPTY).otherwise(hashed.bitwiseAND(F.lit(0xFFFF)).cast("int")))
 
-    return df.withColumn(out, F.array_compact(F.transform(s, entry))).drop(w, s)
+    return df.withColumn(out, F.array_compact(F.transform(s, entry))).drop(w, k, s)
 
 
 def fingerprint_text(codes: str) -> Column:

@@ -159,6 +159,20 @@ def test_fingerprints(docs):
     assert order_minhash.fingerprint_pairs(_empty(df)).count() == 0
 
 
+def test_fingerprints_of_repeated_lines(spark):
+    line, other = "one line said again\n", "quite another line of words\n"
+    texts = [line * 500, line * 250 + other * 250, other * 250 + line * 250, line * 2 + other, "a a a a", "a a a a a"]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    rows = sorted(order_minhash.fingerprints(df).collect())
+    codes = [r.codes for r in rows]
+    filled = [sum(c != order_minhash.EMPTY for c in x) for x in codes]
+    assert all(len(x) == order_minhash.BINS for x in codes) and min(filled[:3]) >= 50
+    near = lambda a, b: np.mean([x == y for x, y in zip(codes[a], codes[b])])
+    assert near(0, 1) < 0.9 and near(1, 2) < 0.9  # other words, and moved ones, change the fingerprint
+    # no more bins than occurrences
+    assert [1 <= f <= n for f, n in zip(filled[3:], (12, 3, 4))] == [True] * 3 and codes[4] != codes[5]
+
+
 def test_packing(docs):
     from tokenizers import Tokenizer
     rows, df = docs
