@@ -8,8 +8,9 @@ Evidence of a text in language l:
 * suffix: P(address suffix | l);
 * host: P(l | host), smoothed towards its domain, which is smoothed towards the whole input.
 
-The trigram model is trained on a bounded sample of about ``TRAIN_ROWS`` texts that declare their
-language; the other three come from grouped counts over all rows (of the
+The trigram model is trained, for every declared language, on a sample of about ``TRAIN_ROWS`` of the texts
+that declare it (all, if there are fewer), however small its share of the rows; a language whose texts have no
+cell in common among ``MIN_TEXTS`` of them is not modelled.  The other three come from grouped counts over all rows (of the
 most likely language by text alone).  Rows meet the tables in equi-joins on small rows
 (no texts), which adaptive execution can split; nothing is broadcast by hand.
 
@@ -28,16 +29,16 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import chunks, without, written
+from .common import chunks, n_partitions, without, written
 
 TABLE = 1 << 16
-TRAIN_ROWS = 8000
+TRAIN_ROWS = 8000  # texts of each declared language
 EFFECTIVE = 60.0
 HOST_PRIOR, DOMAIN_PRIOR, EVIDENCE_PRIOR = 10.0, 20.0, 5.0
 UND = "und"
 UND_PRIOR = 1e-3
 MIN_TEXTS = 3
-MIN_SHARE = 0.01  # a declared language with a smaller share of the sample is not modelled
+HELD = 64  # languages whose sums a training task holds at once
 
 TAGS = re.compile(rb"<(script|style)\b.*?</\1\s*>|<!--.*?-->|<[^>]*>", re.S | re.I)
 _FOLD = bytes.maketrans(bytes(range(65, 91)) + bytes(range(48, 58)) + b"\t\n\r\x0b\x0c", bytes(range(97, 123)) + b"0" * 10 + b" " * 5)
@@ -58,51 +59,61 @@ def _plain(kind: str, body: bytes | None) -> bytes:
     return TAGS.sub(b" ", body) if kind == "page" else body
 
 
-def _sums(languages: list[str]):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = {l: np.zeros((2, TABLE), np.float32) for l in languages}  # occurrences, and texts that have the cell
-        for b in batches:
-            kinds, langs, bodies = (c.to_pylist() for c in b.columns)
-            texts = [_plain(k, x) for k, x in zip(kinds, bodies)]
-            for part_l, part in chunks(langs, texts):
-                for l, text in zip(part_l, part):
-                    seen = np.bincount(_cells([text])[0], minlength=TABLE)
-                    total[l][0] += seen
-                    total[l][1] += seen > 0
-        have = [l for l in languages if total[l].any()]
-        yield pa.RecordBatch.from_arrays([pa.array(have, pa.string()), pa.array([total[l].tobytes() for l in have], pa.binary())], ["lang", "cells"])
-    return run
+def _sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    total: dict[str, np.ndarray] = {}  # occurrences, and texts that have the cell
+
+    def held() -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(list(total), pa.string()), pa.array([v.tobytes() for v in total.values()], pa.binary())],
+                                          ["lang", "cells"])
+
+    for b in batches:
+        kinds, langs, bodies = (c.to_pylist() for c in b.columns)
+        texts = [_plain(k, x) for k, x in zip(kinds, bodies)]
+        for l, text in zip(langs, texts):
+            if l not in total:
+                if len(total) == HELD:
+                    yield held()
+                    total.clear()
+                total[l] = np.zeros((2, TABLE), np.float32)
+            seen = np.bincount(_cells([text])[0], minlength=TABLE)
+            total[l][0] += seen
+            total[l][1] += seen > 0
+    if total:
+        yield held()
 
 
 def _added(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(lang, cells): occurrences of the cells that enough texts have; what few texts have is theirs, not the language's."""
     total: dict[str, np.ndarray] = {}
     for b in batches:
         for l, c in zip(*[c.to_pylist() for c in b.columns]):
             total[l] = total.get(l, 0) + np.frombuffer(c, np.float32)
-    yield pa.RecordBatch.from_arrays([pa.array(list(total), pa.string()), pa.array([v.astype(np.float32).tobytes() for v in total.values()], pa.binary())],
-                                     ["lang", "cells"])
+    for l, v in total.items():
+        count, texts = v.reshape(2, TABLE)
+        kept = np.where(texts >= MIN_TEXTS, count, 0).astype(np.float32)
+        if kept.any():
+            yield pa.RecordBatch.from_arrays([pa.array([l], pa.string()), pa.array([kept.tobytes()], pa.binary())], ["lang", "cells"])
 
 
 def train(rows: DataFrame, sample_rows: int = TRAIN_ROWS) -> tuple[list[str], np.ndarray]:
-    """Languages and log P(cell | language), one row each, from a sample chosen by hash."""
-    every = max(1, rows.count() // sample_rows)
-    # the id is in the hash: a group of copies is sampled like other rows, not as a whole
-    sample = rows.filter("declared is not null").filter(F.pmod(F.xxhash64("kind", "id", "body"), F.lit(every)) == 0)
-    seen = {r["declared"]: r["count"] for r in sample.groupBy("declared").count().orderBy(F.desc("count")).limit(64).collect()}
-    least = MIN_SHARE * sum(seen.values())
-    languages = sorted(l for l, c in seen.items() if c >= least)
-    if not languages:
+    """Languages and log P(cell | language), one row each, from a sample of each language chosen by hash."""
+    seen = rows.filter("declared is not null").groupBy("declared").count().filter(F.col("count") >= MIN_TEXTS)
+    seen = {r["declared"]: r["count"] for r in seen.collect()}  # one row per declared language
+    if not seen:
         return [], np.zeros((0, TABLE), np.float32)
-    got = (sample.filter(F.col("declared").isin(languages)).select("kind", "declared", "body")
-           .mapInArrow(_sums(languages), "lang string, cells binary").repartition(len(languages), "lang")
+    rate = {l: n // sample_rows for l, n in seen.items() if n >= 2 * sample_rows}
+    every = F.lit(1)
+    if rate:
+        every = F.coalesce(F.create_map(*[F.lit(x) for pair in rate.items() for x in pair])[F.col("declared")], every)
+    # the id is in the hash: a group of copies is sampled like other rows, not as a whole
+    sample = rows.filter(F.col("declared").isin(list(seen))).filter(F.pmod(F.xxhash64("kind", "id", "body"), every) == 0)
+    got = (sample.select("kind", "declared", "body").mapInArrow(_sums, "lang string, cells binary")
+           .repartition(min(len(seen), n_partitions(rows.sparkSession)), "lang")
            .mapInArrow(_added, "lang string, cells binary").collect())  # one vector per language
-    table = {}
-    for r in got:
-        count, texts = np.frombuffer(r["cells"], np.float32).reshape(2, TABLE)
-        table[r["lang"]] = np.where(texts >= MIN_TEXTS, count, 0)  # what few texts have is theirs, not the language's
-    languages = [l for l in languages if l in table]
+    table = {r["lang"]: np.frombuffer(r["cells"], np.float32) for r in got}
+    languages = sorted(table)
     logs = [np.log((table[l] + 0.05) / (table[l].sum() + 0.05 * TABLE)) for l in languages]
-    return languages, np.array(logs, np.float32)
+    return languages, np.array(logs, np.float32).reshape(len(languages), TABLE)
 
 
 def _scored(logs: np.ndarray):

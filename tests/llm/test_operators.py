@@ -340,6 +340,27 @@ def test_language_id(spark, docs):
     assert language_id.identify(language_id.document_rows(_empty(df))).count() == 0
 
 
+def test_language_id_of_rare_languages(spark):
+    """A language with a share of 0.4%, and more than 64 languages."""
+    rng = np.random.default_rng(11)
+
+    def texts(letters, n):
+        words = ["".join(rng.choice(list(letters), int(rng.integers(3, 9)))) for _ in range(60)]
+        return [" ".join(rng.choice(words, 60)) for _ in range(n)]
+
+    latin = texts("abcdefghijklmnop", 2000)
+    rare = texts("абвгдежзиклмнопр", 8)
+    rows = [(t, "en") for t in latin] + [(t, "ru") for t in rare]
+    schema = "doc_id long, text string, lang string, source string"
+    df = spark.createDataFrame([(k, t, l, "s") for k, (t, l) in enumerate(rows)], schema)
+    got = {r.id: r for r in language_id.identify(language_id.document_rows(df)).collect()}
+    assert all(got[k].lang == l and got[k].kept for k, (_, l) in enumerate(rows))
+    rows = [(t, f"x{k:02}") for k in range(70) for t in texts([chr(0x4E00 + 40 * k + j) for j in range(16)], 4 + k % 3)]
+    df = spark.createDataFrame([(k, t, l, "s") for k, (t, l) in enumerate(rows)], schema)
+    languages, logs = language_id.train(language_id.document_rows(df).withColumn("body", F.col("body").cast("binary")))
+    assert languages == [f"x{k:02}" for k in range(70)] and logs.shape == (70, language_id.TABLE)
+
+
 def test_registered_sql(spark):
     import duckdb
     con = duckdb.connect()
