@@ -4,8 +4,9 @@
    with the rule's path; the longest fitting rule decides.
 2. Template tree, for the rest.  Paths are cut into segments (at most ``DEPTH``; deeper ones
    become one tail segment ``**``).  Level by level below each (host, template so far):
-   * a segment is generalised into a wildcard of its shape (``{num}``, ``{id}``, ``{slug}``, with
-     the file extension kept) unless it is frequent among its siblings;
+   * a segment that is not frequent among its siblings is generalised into a wildcard of its shape
+     (``{num}``, ``{id}``, ``{slug}``, with the file extension kept) unless its labelled share or its
+     next-segment shapes differ significantly from those of the wildcard's pool;
    * sibling branches are merged (``*``) when their next-segment shapes and their labelled share
      of bad pages do not differ significantly from the pool of their siblings.
 3. Verdict: a template's bad share, smoothed towards its host's share, which is smoothed
@@ -21,6 +22,8 @@ repeated: the worst label of an id counts once.  Repeated rows each give a row.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -33,6 +36,7 @@ DEPTH = 4
 FREQUENT = 0.05     # a segment with this share of its siblings' pages stays literal
 MERGE_Z = 2.58      # merge below this |z| of the labelled share against the siblings' pool
 MERGE_TV = 0.25     # and below this total variation of the next segments' shapes
+CHANCE = 0.01       # a rare segment's variation may pass MERGE_TV by what chance gives its few pages this often
 PRIOR = 5.0         # pseudo-labels of each smoothing level
 PURITY = 0.5
 
@@ -100,7 +104,11 @@ def templates(urls: DataFrame) -> DataFrame:
         frequent = F.col("cn") >= FREQUENT * F.col("tn")
         like = (F.abs(z) < MERGE_Z) & (F.col("tv") < MERGE_TV)
         alone = F.col("cn") == F.col("tn")
-        child = child.withColumn("part", F.when(~frequent | (F.col("seg") == F.col("wild")), F.col("wild")).when(like & ~alone, "*").otherwise(F.col("seg")))
+        child = child.withColumn("part", F.when(F.col("seg") == F.col("wild"), F.col("wild")).when(frequent & like & ~alone, "*")
+                                 .when(frequent, F.col("seg")))
+        apart = _apart(kids.join(child.filter("part is null").select(*node, "seg"), [*node, "seg"]), node)
+        child = child.join(apart, [*node, "seg"], "left").withColumn(
+            "part", F.coalesce("part", F.when(F.col("apart"), F.col("seg")).otherwise(F.col("wild"))))
         t = t.join(child.select(*node, "seg", "part"), [*node, "seg"], "left").select(
             "host", "key", "n", "labelled", "bad", "segs",
             F.when(F.col("part").isNull(), F.col("template")).otherwise(
@@ -109,6 +117,30 @@ def templates(urls: DataFrame) -> DataFrame:
     return t.drop("segs")
 
 
+def _apart(rare: DataFrame, node: list[str]) -> DataFrame:
+    """(node, seg, apart): whether a rare segment differs significantly from the pool of its wildcard.
+
+    The labelled share must differ by the variance of the pool and by that of the segment's own
+    (smoothed) share, so that one label alone does not; the total variation must pass ``MERGE_TV`` by more than a
+    sample of the segment's size gives by chance.
+    """
+    sums = ("n", "labelled", "bad")
+    total = rare.groupBy(*node, "wild").agg(*[F.sum(c).alias("t" + c) for c in sums], F.countDistinct("next").alias("kinds"))
+    pool = rare.groupBy(*node, "wild", "next").agg(F.sum("n").alias("pn"))
+    child = rare.groupBy(*node, "seg", "wild").agg(*[F.sum(c).alias("c" + c) for c in sums])
+    rows = rare.join(child, [*node, "seg", "wild"]).join(pool, [*node, "wild", "next"]).join(total, [*node, "wild"])
+    rows = rows.groupBy(*node, "seg").agg(
+        *[F.first(c).alias(c) for c in ("cn", "clabelled", "cbad", "tlabelled", "tbad", "kinds")],
+        F.sum(F.greatest(F.lit(0.0), F.col("n") / F.col("cn") - F.col("pn") / F.col("tn"))).alias("tv"))
+    share, own = (F.col("tbad") + 1) / (F.col("tlabelled") + 2), (F.col("cbad") + 1) / (F.col("clabelled") + 2)
+    z = F.when(F.col("clabelled") == 0, 0.0).otherwise(F.least(
+        F.abs(F.col("cbad") - F.col("clabelled") * share) / F.sqrt(F.col("clabelled") * share * (1 - share)),
+        F.abs(own - share) / F.sqrt(own * (1 - own) / (F.col("clabelled") + 2))))
+    # mean of the variation of cn draws over so many kinds, and the bound on its excess
+    noise = 0.5 * F.sqrt((F.col("kinds") - 1) / F.col("cn")) + F.sqrt(-math.log(CHANCE) / (2 * F.col("cn")))
+    return rows.select(*node, "seg", ((z >= MERGE_Z) | (F.col("tv") >= MERGE_TV + noise)).alias("apart"))
+
+
 def folded(path: Column) -> Column:
     """Path with digits-only stems already generalised: few distinct keys per host."""
     return F.array_join(F.transform(_segments(path), lambda s: F.when(

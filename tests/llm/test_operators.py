@@ -309,6 +309,25 @@ def test_url_filter(spark):
     assert url_filter.filter_urls(_empty(pages), _empty(labels)).count() == 0
 
 
+def _judged(spark, urls, bad):
+    pages = spark.createDataFrame(list(enumerate(urls)), "page_id long, url string")
+    labels = spark.createDataFrame(bad, "url_id long, bad int")
+    return [(r.verdict, r.template) for r in sorted(url_filter.filter_urls(pages, labels).collect(), key=lambda r: r.page_id)]
+
+
+def test_url_filter_rare_sections(spark):
+    """Thirty sections of similar size, two of them with bad labels only, and single pages with one bad label."""
+    words = [a + b for a in ("alpha", "beta", "gamma", "delta", "omega", "sigma") for b in ("one", "two", "six", "ten", "old")]
+    urls = [f"http://big.net/{w}/{100 * k + i}" for k, w in enumerate(words) for i in range(20)]
+    urls += [f"http://big.net/lone{w}/{10000 + k}" for k, w in enumerate(words)]
+    bad = [(100 * k + i, int(k in (3, 17))) for k in range(30) for i in range(20)] + [(10000, 1)]
+    got = _judged(spark, urls, bad)
+    for k, w in enumerate(words):
+        want = ("block", f"/{w}/{{num}}") if k in (3, 17) else ("allow", "/{word}/{num}")
+        assert set(got[20 * k:20 * k + 20]) == {want}, (k, got[20 * k])
+    assert set(got[600:]) == {("allow", "/{word}/{num}")}
+
+
 def test_html_extraction(spark):
     pages = spark.read.parquet(f"{SF_SMALL}/pages.parquet")
     model = html_extract.train(pages)
