@@ -11,7 +11,8 @@ Sum-product messages run up and down each tree; text blocks of nodes whose conte
 is above one half are joined in page order.
 
 Null or empty html gives an empty text, as does a page without content.  Broken markup (open
-tags, a page cut off) is read as far as it goes.  Repeated rows each give a row.
+tags, a page cut off) is read as far as it goes; an element whose text is skipped (``RAW``) is skipped to its
+own closing tag, and only ``RAW_TEXT`` elements to the end of the page if there is none.  Repeated rows each give a row.
 """
 
 from __future__ import annotations
@@ -34,6 +35,8 @@ FLOW = set("p h1 h2 h3 h4 h5 h6 ul ol li dl dt dd table thead tbody tfoot tr td
            "figcaption address hr summary".split())
 BLOCKS = SECTIONING | FLOW
 RAW = set("script style title textarea noscript iframe xmp noembed noframes svg math template select button object head".split())
+# the rest of the page is theirs if they are not closed; of the others only the opening tag is skipped then
+RAW_TEXT = set("script style title textarea xmp noembed noframes".split())
 VOID = set("br hr img input meta link area base col embed source track wbr param".split())
 NEGATIVE_TAGS = set("nav header footer aside form dialog menu fieldset".split())
 POSITIVE_TAGS = {"article", "main"}
@@ -62,6 +65,19 @@ FLOW_WEIGHT = 0.25  # of a flow element's text features: it goes with its parent
 FEATURES = ("hint", "links", "length", "sentence")
 
 
+def _ends(tag: str, source: str) -> dict[int, int]:
+    """Where each closed element of ``tag`` ends, by where it starts."""
+    found, opened = {}, []
+    for m in re.finditer(rf"<!--.*?(?:-->|$)|<(script|style|textarea)\b.*?</\1\b[^>]*>|<(/?){tag}(?=[\s/>])(?:[^>\"']|\"[^\"]*\"|'[^']*')*>",
+                         source, re.I | re.S):
+        if m.group(2) == "/":
+            if opened:
+                found[opened.pop()] = m.end()
+        elif m.group(2) == "" and not m.group().endswith("/>"):
+            opened.append(m.start())
+    return found
+
+
 class Page:
     """Block nodes in page order (parent before child) and the text blocks that they own."""
 
@@ -99,6 +115,7 @@ class Page:
 
     def _read(self, source: str) -> None:
         stack, pieces, linked, in_link, at, n = [0], [], 0, False, 0, len(source)
+        ends: dict[str, dict[int, int]] = {}
         while at < n:
             m = TOKEN.match(source, at)
             if m is None:
@@ -120,7 +137,12 @@ class Page:
             elif tag == "br":
                 pieces.append(" ")
             elif tag in RAW:
-                if not closing and not tok.endswith("/>") and tag != "head":
+                if tag not in RAW_TEXT:
+                    if not closing and tag != "head":
+                        if tag not in ends:
+                            ends[tag] = _ends(tag, source)
+                        at = ends[tag].get(m.start(), at)
+                elif not closing and not tok.endswith("/>"):
                     end = re.compile(rf"</{tag}\b[^>]*>", re.I).search(source, at)
                     at = end.end() if end else n
             elif tag in BLOCKS:

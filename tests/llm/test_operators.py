@@ -340,6 +340,18 @@ def test_html_extraction(spark):
     assert html_extract.extract(_empty(df)).count() == 0
 
 
+def test_html_extraction_of_unclosed_elements(spark):
+    model = html_extract.train(spark.read.parquet(f"{SF_SMALL}/pages.parquet"))
+    body = "<article><h1>T</h1><p>Body one, and some more. Two.</p></article>"
+    want = html_extract.main_text(body, model)
+    assert want == "T Body one, and some more. Two."
+    for tag in ("button", "select", "noscript", "object", "svg", "math", "iframe", "template"):
+        assert html_extract.main_text(f"<{tag} class=x>{body}", model) == want, tag
+        assert html_extract.main_text(f"<{tag}>{body}<div><{tag}>late</{tag}></div>", model) == want, tag  # the close is another's
+        assert html_extract.main_text(f"<{tag}>a<{tag}>b</{tag}><p>c</p></{tag}>{body}", model) == want, tag
+    assert html_extract.main_text(f"<script>{body}", model) == ""
+
+
 def test_language_id(spark, docs):
     noise = "".join(chr(33 + (i * 7919) % 90) + chr(0x2500 + (i * 104729) % 400) for i in range(1500))
     rows, df = docs
