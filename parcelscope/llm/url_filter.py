@@ -2,8 +2,9 @@
 
 1. Rules: a rule ``host/path`` fits its host and all subdomains if the url's path starts
    with the rule's path; the longest fitting rule decides.
-2. Template tree, for the rest.  Paths are cut into segments (at most ``DEPTH``; deeper ones
-   become one tail segment ``**``).  Level by level below each (host, template so far):
+2. Template tree, for the rest.  Paths are cut into segments; level by level below each (host,
+   template so far), until no node has branches left (a node whose paths all go on alike
+   takes the rest of the path as it is):
    * a segment that is not frequent among its siblings is generalised into a wildcard of its shape
      (``{num}``, ``{id}``, ``{slug}``, with the file extension kept) unless its labelled share or its
      next-segment shapes differ significantly from those of the wildcard's pool;
@@ -23,6 +24,7 @@ repeated: the worst label of an id counts once.  Repeated rows each give a row.
 from __future__ import annotations
 
 import math
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -32,7 +34,6 @@ from .common import UPPER, LOWER, written
 # verdict, rule host, rule path: fixed values of the production rule list
 RULES = [("allow", "org", "/"), ("block", "example.org", "/es/"), ("block", "example.org", "/en/1"),
          ("allow", "com", "/fr/"), ("block", "com", "/de/")]
-DEPTH = 4
 FREQUENT = 0.05     # a segment with this share of its siblings' pages stays literal
 MERGE_Z = 2.58      # merge below this |z| of the labelled share against the siblings' pool
 MERGE_TV = 0.25     # and below this total variation of the next segments' shapes
@@ -62,15 +63,14 @@ def shape(seg: Column) -> Column:
     """The wildcard of a segment: kind of its stem, with a short extension kept."""
     ext = F.regexp_extract(seg, r"(\.[A-Za-z]{1,5})$", 1)
     stem = F.regexp_replace(seg, r"\.[A-Za-z]{1,5}$", "")
-    kind = (F.when(seg == "", "").when(seg.rlike(r"^(\*\*$|\{)"), stem).when(stem.rlike("^[0-9]+$"), "{num}")
+    kind = (F.when(seg == "", "").when(seg.rlike(r"^\{"), stem).when(stem.rlike("^[0-9]+$"), "{num}")
             .when(stem.rlike("^[0-9a-fA-F-]{8,}$"), "{id}").when(stem.rlike("[0-9]"), "{mixed}")
             .when(stem.rlike("[-_]"), "{slug}").otherwise("{word}"))
     return F.concat(kind, ext)
 
 
 def _segments(path: Column) -> Column:
-    s = F.split(F.regexp_replace(path, "^/", ""), "/", -1)
-    return F.when(F.size(s) > DEPTH, F.concat(F.slice(s, 1, DEPTH), F.array(F.lit("**")))).otherwise(s)
+    return F.split(F.regexp_replace(path, "^/", ""), "/", -1)
 
 
 def templates(urls: DataFrame) -> DataFrame:
@@ -82,17 +82,18 @@ def templates(urls: DataFrame) -> DataFrame:
     t = urls.select("host", folded(F.col("path")).alias("key"), "n", "labelled", "bad")
     t = t.groupBy("host", "key").agg(*[F.sum(c).alias(c) for c in ("n", "labelled", "bad")])
     t = t.withColumn("segs", F.split("key", "/", -1)).withColumn("template", F.lit(""))
-    deepest = t.agg(F.max(F.size("segs"))).first()[0] or 0  # one number, DEPTH + 1 at most
-    for level in range(deepest):
-        seg, nxt = F.get("segs", F.lit(level)), F.get("segs", F.lit(level + 1))
+    done: list[DataFrame] = []
+    while True:  # ``segs`` are the segments not yet in the template
+        seg, nxt = F.get("segs", F.lit(0)), F.get("segs", F.lit(1))
         t = t.withColumn("seg", seg).withColumn("wild", shape(seg))
         t = t.withColumn("next", F.when(nxt.isNull(), "").otherwise(shape(nxt)))
         node = ["host", "template"]
         # children of every node, with the shapes that follow them
-        kids = t.filter("seg is not null").groupBy(*node, "seg", "wild", "next").agg(
-            *[F.sum(c).alias(c) for c in ("n", "labelled", "bad")])
+        kids = t.groupBy(*node, "seg", "wild", "next").agg(
+            *[F.sum(c).alias(c) for c in ("n", "labelled", "bad")], F.min("segs").alias("lo"), F.max("segs").alias("hi"))
         pool = kids.groupBy(*node, "next").agg(F.sum("n").alias("pn"))
-        total = kids.groupBy(*node).agg(*[F.sum(c).alias("t" + c) for c in ("n", "labelled", "bad")])
+        total = kids.groupBy(*node).agg(*[F.sum(c).alias("t" + c) for c in ("n", "labelled", "bad")],
+                                        (F.min("lo") == F.max("hi")).alias("straight"))
         child = kids.groupBy(*node, "seg", "wild").agg(*[F.sum(c).alias("c" + c) for c in ("n", "labelled", "bad")])
         # total variation = sum of the positive parts of (child share - pool share)
         tv = (kids.join(child, [*node, "seg", "wild"]).join(pool, [*node, "next"]).join(total, node)
@@ -109,12 +110,15 @@ def templates(urls: DataFrame) -> DataFrame:
         apart = _apart(kids.join(child.filter("part is null").select(*node, "seg"), [*node, "seg"]), node)
         child = child.join(apart, [*node, "seg"], "left").withColumn(
             "part", F.coalesce("part", F.when(F.col("apart"), F.col("seg")).otherwise(F.col("wild"))))
-        t = t.join(child.select(*node, "seg", "part"), [*node, "seg"], "left").select(
-            "host", "key", "n", "labelled", "bad", "segs",
-            F.when(F.col("part").isNull(), F.col("template")).otherwise(
-                F.concat("template", F.lit("/"), "part")).alias("template"))
-        t = written(t, f"templates{level}")
-    return t.drop("segs")
+        t = t.join(child.select(*node, "seg", "part", "straight"), [*node, "seg"]).select(
+            "host", "key", "n", "labelled", "bad",
+            F.when(F.col("straight"), F.array().cast("array<string>")).otherwise(F.slice("segs", F.lit(2), F.size("segs"))).alias("segs"),
+            F.concat("template", F.lit("/"), F.when(F.col("straight"), F.array_join("segs", "/")).otherwise(F.col("part"))).alias("template"))
+        t = written(t, f"templates{len(done)}")
+        done.append(t.filter(F.size("segs") == 0).drop("segs"))
+        t = t.filter(F.size("segs") > 0)
+        if t.isEmpty():
+            return reduce(DataFrame.unionByName, done)
 
 
 def _apart(rare: DataFrame, node: list[str]) -> DataFrame:

@@ -328,6 +328,15 @@ def test_url_filter_rare_sections(spark):
     assert set(got[600:]) == {("allow", "/{word}/{num}")}
 
 
+def test_url_filter_deep_paths(spark):
+    urls = [f"http://deep.net/shop/en/2024/a/{s}/x/y/{1000 * k + i}" for k, s in enumerate(("casino", "help")) for i in range(40)]
+    urls += ["http://one.net/a/b/c/d/e/f/g.html", "http://two.net/", "http://deep.net/shop/en"]
+    got = _judged(spark, urls, [(1000 * k + i, 1 - k) for k in range(2) for i in range(30)])
+    assert set(got[:40]) == {("block", "/shop/en/{num}/a/casino/x/y/{num}")}
+    assert set(got[40:80]) == {("allow", "/shop/en/{num}/a/help/x/y/{num}")}
+    assert [t for _, t in got[80:]] == ["/a/b/c/d/e/f/g.html", "/", "/shop/en"]
+
+
 def test_html_extraction(spark):
     pages = spark.read.parquet(f"{SF_SMALL}/pages.parquet")
     model = html_extract.train(pages)
