@@ -1,6 +1,8 @@
-"""Substring dedup on a De Bruijn graph of word k-mers.
+"""Substring dedup by repeated word k-mers.
 
-Edges are the k-mers of ``WINDOW`` words, nodes their overlaps.  An edge that occurs twice is
+Edges are the k-mers of ``WINDOW`` words, as in a De Bruijn graph; the graph itself (nodes, degrees, paths
+compacted by joins) is not built.  Neighbouring edges of a path are neighbours in each document, so merging
+touching marks document by document gives the spans without shuffling nodes.  An edge that occurs twice is
 repeated; all its occurrences but the one with the smallest source coordinate (doc_id,
 start) are marked, and the words that marked edges cover are removed.
 
@@ -11,8 +13,8 @@ start) are marked, and the words that marked edges cover are removed.
 2. Edges repeated within a run of texts are marked at once and sent once; so an edge that
    many documents share costs a range one entry per run of texts, not per document.
 3. A range groups its edges by identity and marks by source coordinate.
-4. A join brings a document's marks together; consecutive marked edges compact into one
-   maximal path, given as a span of words, which is then cut out.
+4. A join brings a document's marks together; marked edges that touch merge into one
+   span of words, which is then cut out.
 
 Nulls and texts of fewer than ``WINDOW`` words lose nothing.  A null doc_id counts as the
 largest.  A document is a (doc_id, hash of its text): rows with both equal are repeated rows, lose
