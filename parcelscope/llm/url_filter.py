@@ -91,6 +91,7 @@ def templates(urls: DataFrame) -> DataFrame:
         # children of every node, with the shapes that follow them
         kids = t.groupBy(*node, "seg", "wild", "next").agg(
             *[F.sum(c).alias(c) for c in ("n", "labelled", "bad")], F.min("segs").alias("lo"), F.max("segs").alias("hi"))
+        kids = written(kids, "kids")  # read many times below: one small plan each
         pool = kids.groupBy(*node, "next").agg(F.sum("n").alias("pn"))
         total = kids.groupBy(*node).agg(*[F.sum(c).alias("t" + c) for c in ("n", "labelled", "bad")],
                                         (F.min("lo") == F.max("hi")).alias("straight"))
@@ -107,6 +108,7 @@ def templates(urls: DataFrame) -> DataFrame:
         alone = F.col("cn") == F.col("tn")
         child = child.withColumn("part", F.when(F.col("seg") == F.col("wild"), F.col("wild")).when(frequent & like & ~alone, "*")
                                  .when(frequent, F.col("seg")))
+        child = written(child, "children")
         apart = _apart(kids.join(child.filter("part is null").select(*node, "seg"), [*node, "seg"]), node)
         child = child.join(apart, [*node, "seg"], "left").withColumn(
             "part", F.coalesce("part", F.when(F.col("apart"), F.col("seg")).otherwise(F.col("wild"))))
