@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import (chat, decontaminate, html_extract, language_id, ngram_join, order_minhash, packing, pii,
-               substring_dedup, url_filter)
+               substring_dedup, url_filter, warc)
 from .common import table
 
 
@@ -66,9 +66,14 @@ def op10_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFram
         table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")))
 
 
+def op13_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    manifest = warc.write_archives(warc.records(table(spark, sf_dir, "pages")), warc.archive_folder(spark))
+    return warc.digest(warc.payloads(warc.read_chunks(manifest)))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (
     op1_url_filters, op2_ngram_jaccard_join, op3_document_fingerprints, op4_best_fit_packing, op5_chat_formatting, op6_pii,
-    op7_substring_dedup, op8_html_extraction, op9_language_id, op10_benchmark_decontamination)}
+    op7_substring_dedup, op8_html_extraction, op9_language_id, op10_benchmark_decontamination, op13_warc)}
 
 SQL = {
     "op5_chat_formatting": r"""
@@ -116,4 +121,15 @@ WITH d AS (
 SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, coalesce(n_items, 0)::BIGINT AS n_items,
   sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
 FROM d LEFT JOIN words USING (rid) LEFT JOIN items USING (rid)""",
+    "op13_warc": r"""
+WITH p AS (
+  SELECT page_id, coalesce(html, '') AS payload, octet_length(encode(coalesce(html, ''))) AS bytes FROM pages
+), f AS (
+  SELECT *, min(page_id) OVER (PARTITION BY payload) AS first FROM p
+), r AS (
+  SELECT *, bytes >= 100 AND first IS NOT NULL AND page_id IS DISTINCT FROM first AS again FROM f
+)
+SELECT page_id, bytes::BIGINT AS payload_bytes, sha256(payload) AS payload_digest,
+  CASE WHEN again THEN 'revisit' ELSE 'response' END AS record_type, CASE WHEN again THEN first END AS refers_to, true AS intact
+FROM r""",
 }
