@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import (chat, decontaminate, html_extract, language_id, ngram_join, order_minhash, packing, pii,
+from . import (chat, conversation_repair, decontaminate, html_extract, language_id, ngram_join, order_minhash, packing, pii,
                substring_dedup, url_filter, warc)
 from .common import table
 
@@ -66,6 +66,11 @@ def op10_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFram
         table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")))
 
 
+def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = conversation_repair.damaged(table(spark, sf_dir, "conversations"))
+    return conversation_repair.digest(conversation_repair.repair(rows))
+
+
 def op13_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     manifest = warc.write_archives(warc.records(table(spark, sf_dir, "pages")), warc.archive_folder(spark))
     return warc.digest(warc.payloads(warc.read_chunks(manifest)))
@@ -73,7 +78,8 @@ def op13_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (
     op1_url_filters, op2_ngram_jaccard_join, op3_document_fingerprints, op4_best_fit_packing, op5_chat_formatting, op6_pii,
-    op7_substring_dedup, op8_html_extraction, op9_language_id, op10_benchmark_decontamination, op13_warc)}
+    op7_substring_dedup, op8_html_extraction, op9_language_id, op10_benchmark_decontamination, op12_conversation_repair,
+    op13_warc)}
 
 SQL = {
     "op5_chat_formatting": r"""
@@ -121,6 +127,68 @@ WITH d AS (
 SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, coalesce(n_items, 0)::BIGINT AS n_items,
   sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
 FROM d LEFT JOIN words USING (rid) LEFT JOIN items USING (rid)""",
+    "op12_conversation_repair": r"""
+WITH RECURSIVE raw AS (
+  SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+    coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' ') AS key FROM conversations
+), hashed AS (
+  SELECT *, xor(4294967295::BIGINT, list_reduce(
+    list_transform(range(1, length(key) + 1), lambda i: ascii(substr(key, i, 1))::BIGINT),
+    lambda crc, byte: list_reduce(range(8)::BIGINT[], lambda c, bit: xor(c >> 1, 3988292384 * (c & 1)), xor(crc, byte)),
+    4294967295::BIGINT)) % 20 AS k FROM raw
+), rows AS (
+  SELECT conv_id, turn, CASE WHEN k = 4 THEN 'user' ELSE role END AS role,
+    CASE WHEN k = 1 THEN '' WHEN k = 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text,
+    unnest(range(CASE WHEN k = 3 THEN 2 ELSE 1 END)) AS copy
+  FROM hashed WHERE k <> 0
+), placed AS (
+  SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, md5(text), copy) AS i FROM rows
+), marked AS (
+  SELECT *, left(role, 1) AS c, rtrim(text, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) AS tail,
+    row_number() OVER (PARTITION BY conv_id, role, text ORDER BY i) > 1 AS again,
+    lag(left(role, 1)) OVER (PARTITION BY conv_id ORDER BY i) AS before FROM placed
+), faults AS (
+  SELECT *, CASE WHEN tail = '' THEN 'b' WHEN again THEN 'd' WHEN right(tail, 1) NOT IN ('.', '!', '?') THEN 't' ELSE 'k' END AS fault
+  FROM marked
+), inserted(q, to_q, cost, letters) AS (
+  VALUES (0, 0, 0, ''), (0, 2, 5, 'I'), (0, 3, 10, 'II'), (1, 1, 0, ''), (1, 2, 5, 'I'), (1, 3, 10, 'II'),
+         (2, 2, 0, ''), (2, 3, 5, 'I'), (2, 2, 10, 'II'), (3, 3, 0, ''), (3, 2, 5, 'I'), (3, 3, 10, 'II')
+), kept(q, c, to_q) AS (VALUES (0, 's', 1), (0, 'u', 2), (1, 'u', 2), (3, 'u', 2), (2, 'a', 3)
+), given(q, to_q) AS (VALUES (0, 2), (1, 2), (3, 2), (2, 3)
+), edits AS (
+  SELECT conv_id, i, q, q AS to_q, 2 AS cost, 'D' AS letter FROM faults, range(4) AS r(q)
+  UNION ALL SELECT conv_id, i, q, to_q, CASE fault WHEN 't' THEN 5 ELSE 0 END, 'K' FROM faults JOIN kept USING (c) WHERE fault IN ('k', 't')
+  UNION ALL SELECT conv_id, i, q, to_q, CASE fault WHEN 't' THEN 6 ELSE 1 END, 'R' FROM faults, given WHERE fault IN ('k', 't')
+), steps AS (
+  SELECT DISTINCT conv_id, 0::BIGINT AS i, 0 AS q, {'cost': 0::BIGINT, 'audit': ''} AS w FROM raw
+  UNION ALL
+  SELECT s.conv_id, e.i, e.to_q, min({'cost': s.w.cost + n.cost + e.cost, 'audit': s.w.audit || n.letters || e.letter})
+  FROM steps s JOIN inserted n ON s.q = n.q JOIN edits e ON e.conv_id IS NOT DISTINCT FROM s.conv_id AND e.i = s.i + 1 AND e.q = n.to_q
+  GROUP BY s.conv_id, e.i, e.to_q
+), counted AS (
+  SELECT c.conv_id, count(i) AS n, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps,
+    count(*) FILTER (WHERE fault = 'b') AS blank, count(*) FILTER (WHERE fault = 'd') AS duplicate,
+    count(*) FILTER (WHERE fault = 't') AS truncated,
+    count(*) FILTER (WHERE i > 1 AND before || f.c NOT IN ('su', 'ua', 'au')) AS illegal
+  FROM (SELECT DISTINCT conv_id FROM raw) c LEFT JOIN faults f ON f.conv_id IS NOT DISTINCT FROM c.conv_id GROUP BY c.conv_id
+), best AS (
+  SELECT c.conv_id, min({'cost': s.w.cost + n.cost, 'audit': s.w.audit || n.letters}) AS w
+  FROM counted c JOIN steps s ON s.conv_id IS NOT DISTINCT FROM c.conv_id AND s.i = c.n JOIN inserted n ON n.q = s.q
+  WHERE n.to_q IN (0, 3) GROUP BY c.conv_id
+), letters AS (
+  SELECT conv_id, j, substr(w.audit, j, 1) AS letter, length(replace(left(w.audit, j), 'I', '')) AS i
+  FROM (SELECT conv_id, w, unnest(range(1, length(w.audit) + 1)) AS j FROM best)
+), out AS (
+  SELECT l.conv_id, j, letter, f.role, f.text,
+    row_number() OVER (PARTITION BY l.conv_id ORDER BY j) AS p, first_value(letter || f.c) OVER (PARTITION BY l.conv_id ORDER BY j) = 'Ks' AS s
+  FROM letters l LEFT JOIN faults f ON f.conv_id IS NOT DISTINCT FROM l.conv_id AND f.i = l.i AND letter <> 'I' WHERE letter <> 'D'
+), texts AS (
+  SELECT conv_id, string_agg(CASE WHEN letter = 'K' THEN role WHEN (p - coalesce(s, false)::INT) % 2 = 1 THEN 'user' ELSE 'assistant' END
+    || ':' || CASE WHEN letter = 'I' THEN '' ELSE text END, chr(10) ORDER BY j) AS t FROM out GROUP BY conv_id
+)
+SELECT c.conv_id, gaps::BIGINT AS gaps, blank, duplicate, truncated, illegal, b.w.cost::BIGINT AS cost, b.w.audit AS audit,
+  sha256(coalesce(t, '')) AS repaired_sha256
+FROM counted c JOIN best b ON b.conv_id IS NOT DISTINCT FROM c.conv_id LEFT JOIN texts x ON x.conv_id IS NOT DISTINCT FROM c.conv_id""",
     "op13_warc": r"""
 WITH p AS (
   SELECT page_id, coalesce(html, '') AS payload, octet_length(encode(coalesce(html, ''))) AS bytes FROM pages
