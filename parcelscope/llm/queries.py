@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import (chat, conversation_repair, decontaminate, html_extract, language_id, ngram_join, order_minhash, packing, pii,
-               substring_dedup, url_filter, warc)
+               substring_dedup, url_filter, warc, whitening)
 from .common import table
 
 
@@ -66,6 +66,11 @@ def op10_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFram
         table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")))
 
 
+def op11_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = whitening.whiten(table(spark, sf_dir, "embeddings"))
+    return out.withColumn("deviation", F.col("deviation").try_cast("long"))
+
+
 def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = conversation_repair.damaged(table(spark, sf_dir, "conversations"))
     return conversation_repair.digest(conversation_repair.repair(rows))
@@ -78,8 +83,8 @@ def op13_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (
     op1_url_filters, op2_ngram_jaccard_join, op3_document_fingerprints, op4_best_fit_packing, op5_chat_formatting, op6_pii,
-    op7_substring_dedup, op8_html_extraction, op9_language_id, op10_benchmark_decontamination, op12_conversation_repair,
-    op13_warc)}
+    op7_substring_dedup, op8_html_extraction, op9_language_id, op10_benchmark_decontamination, op11_embedding_whitening,
+    op12_conversation_repair, op13_warc)}
 
 SQL = {
     "op5_chat_formatting": r"""
