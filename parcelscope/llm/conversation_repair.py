@@ -18,8 +18,8 @@ conversation that tasks share are composed in order by the same agenda.  Its res
 conversation has rows; the task that joins the parts holds at most sixteen of them.  The texts are then
 sorted by conversation and stream by their audit; no task holds the texts of a conversation.
 
-Rows: by turn (nulls first), then role, then digest of the text; a null role or text is one space; rows of a null
-conversation are one conversation.  Repeated rows are duplicates.  An empty table gives no rows.
+Rows: by turn (nulls first), then role, then digest of the text; a null role or text is one space; an empty role has no
+initial and cannot be kept; rows of a null conversation are one conversation.  Repeated rows are duplicates.  An empty table gives no rows.
 """
 
 from __future__ import annotations

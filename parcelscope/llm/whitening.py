@@ -296,7 +296,8 @@ def whiten(embeddings: DataFrame, components: int = COMPONENTS, inner: int = INN
         got = _summed(fit, moments, k + k * k) / fit.n
         cov = got[k:].reshape(k, k) - np.outer(got[:k], got[:k])
         error = float(np.abs(cov - np.eye(k)).max())
-    rows = fit.blocks.select("vec_ids", "wide", "x").mapInArrow(tidy(_projected(fit.bare(), projection)), columns)
+    some_rows = fit.blocks if k else fit.blocks.filter(F.lit(False))
+    rows = some_rows.select("vec_ids", "wide", "x").mapInArrow(tidy(_projected(fit.bare(), projection)), columns)
     explained = F.array(*[F.lit(float(v / trace)) for v in values]) if k else F.array().cast("array<double>")
     return rows.select("vec_id", F.col("deviation").cast("decimal(38,0)").alias("deviation"), F.posexplode("z").alias("at", "whitened")).select(
         "vec_id", (F.col("at") + 1).cast("int").alias("component"), F.lit(fit.n).cast("long").alias("n"), "deviation", "whitened",

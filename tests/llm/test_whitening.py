@@ -1,0 +1,101 @@
+"""Whitening against a dense eigensolver, exact integers, and odd tables."""
+
+import numpy as np
+import pytest
+
+from parcelscope.llm import queries, whitening
+
+from conftest import SF_SMALL
+
+SCHEMA = "vec_id long, embedding array<float>, label int, n int, x string, component int"
+
+
+def _table(spark, vectors, ids=None):
+    ids = list(range(len(vectors))) if ids is None else ids
+    return spark.createDataFrame([(i, v, 0, 7, "x", 9) for i, v in zip(ids, vectors)], SCHEMA)
+
+
+def _expected(vectors, k):
+    x = np.floor(64 * np.array(vectors, np.float32).astype(float)).astype(np.int64) + 1000000
+    n, s = len(x), x.sum(axis=0)
+    deviation = [int(((n * r.astype(object) - s.astype(object)) ** 2).sum()) for r in x]
+    y = x - s / n
+    values, vecs = np.linalg.eigh(y.T @ y / n)
+    values, vecs = values[::-1], vecs[:, ::-1]
+    k = min(k, int((values > 1e-12 * values[0]).sum()))
+    return n, deviation, values[:k], values[:k] / values.sum(), y @ vecs[:, :k] / np.sqrt(values[:k])
+
+
+def _compare(df, vectors, ids, k=whitening.COMPONENTS):
+    n, deviation, values, explained, z = _expected(vectors, k)
+    got = df.toPandas()
+    assert len(got) == n * len(values) and (got.n == n).all() and (got.identity_error < 1e-9).all()
+    by = {(None if v != v else int(v), int(c)): (d, w, e) for v, c, d, w, e in
+          zip(got.vec_id, got.component, got.deviation, got.whitened, got.explained)}
+    for j in range(len(values)):
+        w = np.array([by[i, j + 1][1] for i in ids])
+        assert np.abs(np.abs(w @ z[:, j]) / (np.linalg.norm(w) * np.linalg.norm(z[:, j])) - 1) < 1e-12
+        assert min(np.abs(w - z[:, j]).max(), np.abs(w + z[:, j]).max()) < 1e-8
+        assert abs(by[ids[0], j + 1][2] / explained[j] - 1) < 1e-10
+    assert [int(by[i, 1][0]) for i in ids] == deviation
+
+
+def test_query_equals_a_dense_solver(spark):
+    rows = spark.read.parquet(f"{SF_SMALL}/embeddings.parquet").select("vec_id", "embedding").collect()
+    kept = [r for r in rows if r.embedding is not None and all(v is not None and np.isfinite(v) for v in r.embedding)]
+    _compare(queries.op11_embedding_whitening(spark, SF_SMALL), [r.embedding for r in kept], [r.vec_id for r in kept])
+
+
+def test_odd_rows_are_dropped_and_the_rest_is_whole(spark):
+    rng = np.random.default_rng(3)
+    good = rng.standard_normal((40, 5)).astype(np.float32).tolist()
+    odd = [None, [1.0, None, 2.0, 3.0, 4.0], [float("nan")] * 5, [float("inf"), 0.0, 0.0, 0.0, 0.0], [1.0], []]
+    ids = [*range(39), None, *range(100, 106)]
+    got = whitening.whiten(_table(spark, good + odd, ids))
+    _compare(got, good, ids[:40])
+
+
+def test_repeated_rows_empty_and_degenerate_tables(spark):
+    assert whitening.whiten(_table(spark, [[1.0, 2.0]])).count() == 0          # one row has no spread
+    assert whitening.whiten(_table(spark, [[1.0, 2.0]] * 5)).count() == 0      # nor have equal rows
+    assert whitening.whiten(_table(spark, [[0.0]]).filter("false")).count() == 0
+    assert whitening.whiten(_table(spark, [None, []])).count() == 0
+    line = [[float(i), 2.0 * i, 0.0] for i in range(6)]                         # rank one: one component
+    got = whitening.whiten(_table(spark, line + line)).toPandas()
+    assert set(got.component) == {1} and len(got) == 12 and (got.n == 12).all()
+    assert abs(got.explained.iloc[0] - 1) < 1e-12
+
+
+def test_large_deviations_stay_exact(spark):
+    vectors = [[3.0e9, -1.0], [-2.5e9, 5.0], [1.0, 2.0], [7.0e9, 0.5]]
+    _, deviation, *_ = _expected(vectors, 2)
+    got = {r.vec_id: int(r.deviation) for r in whitening.whiten(_table(spark, vectors)).collect()}
+    assert got == dict(enumerate(deviation)) and max(deviation) > 1 << 63
+
+
+@pytest.mark.parametrize("dim,wanted,values", [
+    (64, 32, 3.0 * 0.97 ** np.arange(64)), (200, 12, np.concatenate((np.full(5, 9.0), 1 + np.arange(195) / 195))),
+    (120, 20, 1 + 1e-3 * np.arange(120)), (30, 32, np.concatenate((np.arange(1.0, 11), np.zeros(20)))), (1, 4, np.array([2.0]))])
+def test_solver(dim, wanted, values):
+    rng = np.random.default_rng(dim)
+    q = np.linalg.qr(rng.standard_normal((dim, dim)))[0]
+    a = (q * values) @ q.T
+    a = (a + a.T) / 2
+    got = whitening.jacobi_davidson(lambda b: a @ b, dim, wanted)
+    k = min(wanted, dim)
+    top = np.sort(values)[::-1][:k]
+    assert np.abs(got.values - top).max() <= 1e-13 * top[0] * np.sqrt(dim)
+    assert np.linalg.norm(a @ got.vectors - got.vectors * got.values, axis=0).max() <= 1e-13 * top[0] * np.sqrt(dim)
+    assert np.abs(got.vectors.T @ got.vectors - np.eye(k)).max() < 1e-13
+
+
+def test_minres_solves_symmetric_systems():
+    rng = np.random.default_rng(1)
+    a = rng.standard_normal((30, 30))
+    a = a + a.T
+    b = rng.standard_normal((30, 3))
+    assert np.abs(a @ whitening.minres(lambda v: a @ v, b, 60) - b).max() < 1e-8
+    shift = np.array([0.5, -2.0, 7.0])
+    x = whitening.minres(lambda v: a @ v - v * shift, b, 60)
+    assert np.abs(a @ x - x * shift - b).max() < 1e-8
+    assert not whitening.minres(lambda v: a @ v, b * 0, 5).any()
