@@ -7,10 +7,14 @@ the lineage before them.
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import tempfile
 import uuid
+from collections.abc import Iterator
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -123,13 +127,29 @@ def window_hashes(h: np.ndarray, w: int) -> np.ndarray:
     return mix((s[w:] - s[:-w]) * _powers(_DI, n)[: n - w + 1] + np.uint64(w))
 
 
-def chunks(*columns: list, size=lambda row: len(row[-1])):
-    """Rows of parallel columns in runs of about CHUNK_BYTES, CHUNK_ROWS at most (the last column holds bytes)."""
+def tidy(run):
+    """A mapInArrow function that leaves the reused Python worker as small as it was: what its task held is
+    freed, and the allocators give the free pages back, so that workers do not add up from stage to stage."""
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from run(batches)
+        finally:
+            _POWERS.clear()
+            gc.collect()
+            pa.default_memory_pool().release_unused()
+            trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc's; elsewhere the allocator decides
+            if trim:
+                trim(0)
+    return task
+
+
+def chunks(*columns: list, size=lambda row: len(row[-1]), limit: int = CHUNK_BYTES):
+    """Rows of parallel columns in runs of about ``limit`` bytes, CHUNK_ROWS at most (the last column holds bytes)."""
     part, held = [], 0
     for row in zip(*columns):
         part.append(row)
         held += size(row)
-        if held >= CHUNK_BYTES or len(part) >= CHUNK_ROWS:
+        if held >= limit or len(part) >= CHUNK_ROWS:
             yield [list(c) for c in zip(*part)]
             part, held = [], 0
     if part:

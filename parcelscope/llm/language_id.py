@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import chunks, n_partitions, without, written
+from .common import chunks, n_partitions, tidy, without, written
 
 TABLE = 1 << 16
 TRAIN_ROWS = 8000  # texts of each declared language
@@ -38,6 +38,7 @@ HOST_PRIOR, DOMAIN_PRIOR, EVIDENCE_PRIOR = 10.0, 20.0, 5.0
 UND = "und"
 UND_PRIOR = 1e-3
 MIN_TEXTS = 3
+SCORED_BYTES = 512 << 10  # text bytes scored at once
 HELD = 64  # languages whose sums a training task holds at once
 
 TAGS = re.compile(rb"<(script|style)\b.*?</\1\s*>|<!--.*?-->|<[^>]*>", re.S | re.I)
@@ -107,9 +108,9 @@ def train(rows: DataFrame, sample_rows: int = TRAIN_ROWS) -> tuple[list[str], np
         every = F.coalesce(F.create_map(*[F.lit(x) for pair in rate.items() for x in pair])[F.col("declared")], every)
     # the id is in the hash: a group of copies is sampled like other rows, not as a whole
     sample = rows.filter(F.col("declared").isin(list(seen))).filter(F.pmod(F.xxhash64("kind", "id", "body"), every) == 0)
-    got = (sample.select("kind", "declared", "body").mapInArrow(_sums, "lang string, cells binary")
+    got = (sample.select("kind", "declared", "body").mapInArrow(tidy(_sums), "lang string, cells binary")
            .repartition(min(len(seen), n_partitions(rows.sparkSession)), "lang")
-           .mapInArrow(_added, "lang string, cells binary").collect())  # one vector per language
+           .mapInArrow(tidy(_added), "lang string, cells binary").collect())  # one vector per language
     table = {r["lang"]: np.frombuffer(r["cells"], np.float32) for r in got}
     languages = sorted(table)
     logs = [np.log((table[l] + 0.05) / (table[l].sum() + 0.05 * TABLE)) for l in languages]
@@ -125,7 +126,7 @@ def _scored(logs: np.ndarray):
             kinds = b.column(0).to_pylist()
             texts = [_plain(k, x) for k, x in zip(kinds, b.column(b.num_columns - 1).to_pylist())]
             scores = []
-            for (part,) in chunks(texts):
+            for (part,) in chunks(texts, limit=SCORED_BYTES):
                 cells, begins = _cells(part)
                 n = np.array([len(t) + 1 for t in part], np.float64)
                 per = np.stack([np.add.reduceat(row[cells].astype(np.float64), begins) for row in logs] + [n * 0], axis=1)
@@ -155,7 +156,7 @@ def identify(rows: DataFrame) -> DataFrame:
     names = [*languages, UND]
     n = len(names)
     scored = written(rows.select("kind", "id", "d", "h", "s", "body").mapInArrow(
-        _scored(logs), "kind string, id long, d string, h string, s string, text_ll array<double>"), "lang")
+        tidy(_scored(logs)), "kind string, id long, d string, h string, s string, text_ll array<double>"), "lang")
     best = F.array_position("text_ll", F.array_max("text_ll")).cast("int")
     votes = scored.withColumn("best", best)
     one_hot = [F.sum((F.col("best") == i + 1).cast("double")) for i in range(n)]

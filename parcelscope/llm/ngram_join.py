@@ -33,7 +33,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import chunks, n_partitions, window_hashes, without, word_hashes, written
+from .common import chunks, n_partitions, tidy, window_hashes, without, word_hashes, written
 from .graph import components
 
 NGRAM, PERCENT = 4, 85
@@ -333,14 +333,14 @@ def jaccard_classes(documents: DataFrame, ngram: int = NGRAM, percent: int = PER
     spark = documents.sparkSession
     parts = n_partitions(spark)
     text = documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("binary").alias("text"))
-    docs = written(text.mapInArrow(_keys_of(ngram), "doc_id long, key long, n long"), "keys")
+    docs = written(text.mapInArrow(tidy(_keys_of(ngram)), "doc_id long, key long, n long"), "keys")
     classes = docs.filter("key is not null").groupBy("key").agg(F.count("*").alias("weight"), F.min("doc_id").alias("least"))
 
-    dealt = text.select("text").mapInArrow(_dealt(ngram, parts), "r int, kind byte, run long, packed binary")
+    dealt = text.select("text").mapInArrow(tidy(_dealt(ngram, parts)), "r int, kind byte, run long, packed binary")
     tokens = (dealt.repartition(parts, "r").sortWithinPartitions("r", "kind")
-              .mapInArrow(_repeated, "run long, r int, packed binary"))
+              .mapInArrow(tidy(_repeated), "run long, r int, packed binary"))
     cand = written(tokens.repartition(parts, "run").sortWithinPartitions("run")
-                   .mapInArrow(_prefixes(percent), "key long, n long, tokens binary, prefix array<long>")
+                   .mapInArrow(tidy(_prefixes(percent)), "key long, n long, tokens binary, prefix array<long>")
                    .dropDuplicates(["key"]), "candidates")
     # candidate groups: classes that share a prefix shingle
     pre = cand.select("key", F.explode("prefix").alias("t"))
@@ -354,7 +354,7 @@ def jaccard_classes(documents: DataFrame, ngram: int = NGRAM, percent: int = PER
     pairs = member.withColumn("o", F.explode(others)).select(
         "root", F.least("block", "o").alias("i"), F.greatest("block", "o").alias("j"), "block", "key", "n", "weight", "tokens")
     found = (pairs.repartition(parts, "root", "i", "j").sortWithinPartitions("root", "i", "j")
-             .mapInArrow(_group_links(percent), "key long, links long, root long"))
+             .mapInArrow(tidy(_group_links(percent)), "key long, links long, root long"))
     found = written(found, "links")
     comp = components(found.select(F.col("key").alias("a"), F.col("root").alias("b")))
     least = (comp.withColumnRenamed("node", "key").join(classes.select("key", "least"), "key")

@@ -28,12 +28,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .common import _B, _BI, _powers, chunks, mix, n_partitions, written
+from .common import _B, _BI, _powers, chunks, mix, n_partitions, tidy, written
 from .ngram_join import by_group
 
 CAPACITY, EOS = 2048, 0
 BLOCK, ISLANDS, EPOCHS, GENERATIONS, POPULATION, INJECTED = 4096, 2, 2, 3, 4, 0.3
-CACHE = 2_000_000  # about 60 bytes each
+CACHE = 200_000  # cuts that an encoder keeps, about 60 bytes each
+ENCODED_BYTES = 256 << 10  # text bytes encoded at once, about 60 bytes of arrays each
 
 # bytes that may begin white space, after which a space is not cut from what follows
 _NO_CUT = np.zeros(256, bool)
@@ -130,10 +131,11 @@ _ENCODERS: dict[str, Encoder] = {}
 def _pieces(path: str, capacity: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc = _ENCODERS.setdefault(path, None) or Encoder(path)
-        _ENCODERS[path] = enc  # kept by the Python worker for its next task
+        _ENCODERS[path] = enc  # its vocabulary is kept by the Python worker for its next task, its cuts are not
+        enc._forget()
         for b in batches:
             texts = [x or b"" for x in b.column(1).to_pylist()]
-            for docs, part in chunks(b.column(0).to_pylist(), texts):
+            for docs, part in chunks(b.column(0).to_pylist(), texts, limit=ENCODED_BYTES):
                 ids, counts = enc.ids(part)
                 rows, at = [], 0
                 for doc, n in zip(docs, counts.tolist()):
@@ -147,6 +149,7 @@ def _pieces(path: str, capacity: int):
                 yield pa.RecordBatch.from_arrays([
                     pa.array(cols[0], pa.int64()), pa.array(cols[1], pa.int32()), *[pa.array(c, pa.int64()) for c in cols[2:]]],
                     ["doc_id", "piece", "start", "length", "ids_crc32"])
+        enc._forget()
     return run
 
 
@@ -261,7 +264,7 @@ def pack(documents: DataFrame, capacity: int = CAPACITY, vocabulary: str | None
     spark = documents.sparkSession
     parts = n_partitions(spark)
     text = documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("binary").alias("text"))
-    pieces = text.mapInArrow(_pieces(vocabulary or default_vocabulary(), capacity),
+    pieces = text.mapInArrow(tidy(_pieces(vocabulary or default_vocabulary(), capacity)),
                              "doc_id long, piece int, start long, length long, ids_crc32 long")
     pieces = written(pieces.withColumn("uid", F.monotonically_increasing_id()), "pieces")
     short = pieces.filter(F.col("length") < capacity).select("uid", "length")
@@ -271,7 +274,7 @@ def pack(documents: DataFrame, capacity: int = CAPACITY, vocabulary: str | None
     state = state.select("block", "island", "uid", "length", F.lit(None).cast("long").alias("own"), F.lit(None).cast("long").alias("guest"))
     for epoch in range(EPOCHS):
         run = (state.repartition(parts, "block", "island").sortWithinPartitions("block", "island", "uid")
-               .mapInArrow(_epoch(capacity, epoch), "block long, island int, uid long, length long, bin long"))
+               .mapInArrow(tidy(_epoch(capacity, epoch)), "block long, island int, uid long, length long, bin long"))
         run = written(run, "islands")
         # elites migrate: every island's solution is a guest on the next one
         guest = run.select("block", ((F.col("island") + 1) % ISLANDS).alias("island"), "uid", F.col("bin").alias("guest"))
