@@ -48,9 +48,15 @@ def _is_text(df: DataFrame, c: str) -> bool:
 NUMBER = "^ *[+-]?([0-9]+([.][0-9]*)?|[.][0-9]+)([eE][+-]?[0-9]+)? *$"
 
 
+def finite_sql(e: str) -> str:
+    """Double expression ``e``, NULL where it is infinite or NaN (which compares as the largest number)."""
+    return f"(CASE WHEN abs({e}) < CAST('Infinity' AS DOUBLE) THEN {e} END)"
+
+
 def number_sql(q: str) -> str:
-    """Text column ``q`` as a double, NULL where it is not a number."""
-    return f"(CASE WHEN {q} rlike '{NUMBER}' THEN try_cast({q} AS DOUBLE) END)"
+    """Text column ``q`` as a double, NULL where it is not a number or too large to be one (``1e400``)."""
+    value = f"try_cast({q} AS DOUBLE)"
+    return f"(CASE WHEN {q} rlike '{NUMBER}' AND abs({value}) < CAST('Infinity' AS DOUBLE) THEN {value} END)"
 
 
 def typed_sql(df: DataFrame, name: str, overrides: dict[str, str] | None = None) -> list[str]:
@@ -77,9 +83,10 @@ def typed_sql(df: DataFrame, name: str, overrides: dict[str, str] | None = None)
             e = f"try_cast({number_sql(q)} AS INT)" if text else f"try_cast({q} AS INT)"
         elif text:
             e = number_sql(q)
-        else:  # a NaN is no number either
-            e = f"nullif(CAST({q} AS {f.dataType.simpleString()}), CAST('NaN' AS {f.dataType.simpleString()}))" \
-                if isinstance(f.dataType, (T.DoubleType, T.FloatType)) else f"CAST({q} AS {f.dataType.simpleString()})"
+        elif isinstance(f.dataType, T.DoubleType):
+            e = finite_sql(f"CAST({q} AS DOUBLE)")
+        else:
+            e = f"CAST({q} AS {f.dataType.simpleString()})"
         out.append(f"{e} AS {q}")
     return out
 
@@ -132,14 +139,19 @@ def split_by_reason(typed: DataFrame, checks: list[tuple[Column, str]], keep: li
     return Split(clean, rejected, flagged)
 
 
+# Amounts of money from here on do not fit the decimal that the cards sum in (see plans.metrics).
+MONEY_LIMIT = 1e28
+MONEY = {"order_items": ["price", "freight_value"], "order_payments": ["payment_value"]}
+
+
 def conform(raw: DataFrame, name: str, overrides: dict[str, str] | None = None,
             whole_number_cols: list[str] | None = None,
             ) -> tuple[DataFrame, DataFrame]:
     """Type a raw table by its declared schema and quarantine rows that cannot be typed.
 
     Reasons, first match wins: ``non_integer:<col>`` (a whole-number column holds
-    a fraction, e.g. ``'40.5'``), then ``null_in_required:<col>`` (a non-nullable
-    number or timestamp is empty or malformed).
+    a fraction, e.g. ``'40.5'``), ``null_in_required:<col>`` (a non-nullable
+    number or timestamp is empty, malformed or not finite), then ``out_of_range:<col>`` (an amount too large to sum exactly).
     """
     cols = [f.name for f in SCHEMAS[name].fields]
     fraction_flags = [
@@ -151,6 +163,7 @@ def conform(raw: DataFrame, name: str, overrides: dict[str, str] | None = None,
     checks += [(F.col(f.name).isNull(), f"null_in_required:{f.name}")
                for f in SCHEMAS[name].fields
                if not f.nullable and not isinstance(f.dataType, T.StringType)]
+    checks += [(F.coalesce(F.abs(F.col(c)) >= MONEY_LIMIT, F.lit(False)), f"out_of_range:{c}") for c in MONEY.get(name, [])]
     return split_by_reason(typed, checks, cols)
 
 
@@ -211,7 +224,7 @@ def passthrough(name: str) -> Callable[[DataFrame], tuple[DataFrame, DataFrame]]
 
 def _coord_sql(raw: DataFrame, c: str) -> str:
     q = ident(c)
-    return f"{number_sql(q)} AS {q}" if _is_text(raw, c) else f"nullif(CAST({q} AS DOUBLE), CAST('NaN' AS DOUBLE)) AS {q}"
+    return f"{number_sql(q) if _is_text(raw, c) else finite_sql(f'CAST({q} AS DOUBLE)')} AS {q}"
 
 
 def type_geolocation(raw: DataFrame) -> DataFrame:

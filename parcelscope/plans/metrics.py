@@ -209,16 +209,19 @@ def q2f_days_early(tables) -> DataFrame:
 
 
 def trend_change(monthly: DataFrame, value_col: str, periods: int = 1) -> DataFrame:
-    """Period-over-period change of a monthly series: ``value``, ``prev_value``, ``change_pct``.
+    """Change of a monthly series against ``periods`` calendar months before: ``value``, ``prev_value``, ``change_pct``.
 
+    The window frame is a range over the number of the month, so it holds the month that lies exactly
+    ``periods`` before: a month without orders gives NULL there and shifts nothing.
     The input is one row per month (a result of 2a-2d), so the un-partitioned
     window runs over at most a few hundred rows.
     """
-    w = Window.orderBy("month")
-    v = F.col(value_col)
-    prev = F.lag(v, periods).over(w)
-    return (monthly.select("month", v.alias("value"), prev.alias("prev_value"))
-            .withColumn("change_pct", _r2(pct(F.col("value") - F.col("prev_value"), F.col("prev_value"))))
+    number = F.year("month") * 12 + F.month("month")
+    w = Window.orderBy("_number").rangeBetween(-periods, -periods)
+    v = F.col("value")
+    return (monthly.select("month", F.col(value_col).alias("value"), number.alias("_number"))
+            .select("month", "value", F.max("value").over(w).alias("prev_value"))
+            .withColumn("change_pct", _r2(pct(v - F.col("prev_value"), F.col("prev_value"))))
             .orderBy("month"))
 
 
@@ -277,8 +280,8 @@ def q4b_stage_by_status(tables) -> DataFrame:
 
 # --- item-level facts, pre-aggregated at the order grain -----------------------------
 
-# money is summed exactly, in cents, and divided once
-MONEY_SQL = "CAST(freight_value AS DECIMAL(18, 2))"
+# money is summed exactly, with ten decimals, and divided once; a value that does not fit (from 10^28) is left out
+MONEY_SQL = "try_cast(freight_value AS DECIMAL(38, 10))"
 
 
 def items_per_order(tables, *keys: str, freight: bool = False) -> DataFrame:
@@ -286,8 +289,8 @@ def items_per_order(tables, *keys: str, freight: bool = False) -> DataFrame:
     it = tables["order_items"]
     aggs = [F.count(F.lit(1)).alias("n_items")]
     if freight:
-        aggs += [F.sum(F.expr(MONEY_SQL)).alias("freight_sum"),
-                 F.count("freight_value").alias("freight_n")]
+        aggs += [F.try_sum(F.expr(MONEY_SQL)).alias("freight_sum"),
+                 F.count(F.expr(MONEY_SQL)).alias("freight_n")]
     return it.groupBy("order_id", *keys).agg(*aggs)
 
 
@@ -300,7 +303,7 @@ def _by_customer_state(per_order: DataFrame, tables, sums: list[Column]) -> Data
     customers = tables["customers"].select("customer_id", "customer_state")
     names = [c for c in per_customer.columns if c != "customer_id"]
     return (per_customer.join(customers, "customer_id")
-            .groupBy("customer_state").agg(*[F.sum(c).alias(c) for c in names]))
+            .groupBy("customer_state").agg(*[F.try_sum(c).alias(c) for c in names]))
 
 
 # --- 5: geography -------------------------------------------------------------------
@@ -332,7 +335,7 @@ def q5c_state_freight(tables, min_rows: int = MIN_ROWS) -> DataFrame:
     per_order = delivered(tables).select("order_id", "customer_id").join(
         items_per_order(tables, freight=True), "order_id")
     s = _by_customer_state(per_order, tables, [F.sum("n_items").alias("n"),
-                                               F.sum("freight_sum").alias("freight_sum"),
+                                               F.try_sum("freight_sum").alias("freight_sum"),
                                                F.sum("freight_n").alias("freight_n")])
     return (s.filter(F.col("n") >= min_rows)
             .select("customer_state",
@@ -469,13 +472,13 @@ def _state_items(tables) -> DataFrame:
         is_late().alias("is_late"))
     it = tables["order_items"].filter(F.col("freight_value").isNotNull())
     per_order = it.groupBy("order_id").agg(F.count(F.lit(1)).alias("n_items"),
-                                           F.sum(F.expr(MONEY_SQL)).alias("freight_sum"))
+                                           F.try_sum(F.expr(MONEY_SQL)).alias("freight_sum"))
     j = o.join(per_order, "order_id")
     n = F.col("n_items")
     return _by_customer_state(j, tables, [
         F.sum(n).alias("n"),
         F.sum(F.col("h") * n).alias("h_sum"),
-        F.sum("freight_sum").alias("freight_sum"),
+        F.try_sum("freight_sum").alias("freight_sum"),
         F.sum(F.when(F.col("is_late"), n).otherwise(0)).alias("late"),
         F.sum(F.when(F.col("is_late").isNotNull(), n).otherwise(0)).alias("n_known"),
     ])

@@ -377,10 +377,9 @@ ORDER BY late_delivery_rate DESC"""
     def trend(base: str, value: str, periods: int) -> str:
         return f"""
 , m AS ({q[base].strip()})
-SELECT month, {value} AS value, lag({value}, {periods}) OVER (ORDER BY month) AS prev_value,
-       {rate(f"{value} - lag({value}, {periods}) OVER (ORDER BY month)",
-             f"lag({value}, {periods}) OVER (ORDER BY month)")} AS change_pct
-FROM m ORDER BY month"""
+SELECT m.month AS month, m.{value} AS value, p.{value} AS prev_value,
+       {rate(f"m.{value} - p.{value}", f"p.{value}")} AS change_pct
+FROM m LEFT JOIN m p ON p.month = m.month - INTERVAL {periods} MONTH ORDER BY m.month"""
     q["trend_delivery_days"] = trend("q2a_monthly_delivery", "avg_delivery_days", trend_periods[0])
     q["trend_on_time_rate"] = trend("q2b_monthly_on_time", "on_time_rate", trend_periods[1])
     return q
@@ -429,6 +428,54 @@ def _as_null(col: str, is_text: bool) -> str:
     return f"nullif({col}, '')" if is_text else col
 
 
+def _listed(numbers) -> str:
+    return ", ".join(str(n) for n in numbers)
+
+
+def _audit_sql(rows: str) -> str:
+    return f"""
+, a AS ({rows})
+SELECT table_name, rows_before, rows_after, rows_rejected,
+       rows_before - rows_after - rows_rejected AS rows_duplicate, rows_before - rows_after AS rows_dropped,
+       CASE WHEN rows_before > 0
+            THEN round(CAST(rows_before - rows_after AS DOUBLE) * 100.0 / CAST(rows_before AS DOUBLE), 2)
+            ELSE 0.0 END AS dropped_pct
+FROM a"""
+
+
+# Tables with unreadable cells: name -> (CTE, number of the rule, remainders modulo 97 that are rejected).
+MALFORMED = {
+    "order_items": ("items", "CAST(order_id AS BIGINT) + order_item_id", (0, 1, 2, 3, 4, 5)),
+    "order_reviews": ("rev", "CAST(order_id AS BIGINT)", (0,)),
+    "products": ("prod", "CAST(product_id AS BIGINT)", (0,)),
+    "order_payments": ("pay", "CAST(order_id AS BIGINT)", (0, 1, 2, 3)),
+}
+MALFORMED_SQL = {
+    "order_items_rejected": """
+, m AS (SELECT *, (CAST(order_id AS BIGINT) + order_item_id) % 97 AS m FROM items)
+SELECT order_id, order_item_id, product_id, seller_id, shipping_limit_date,
+       CASE WHEN m IN (0, 4) THEN NULL WHEN m = 5 THEN CAST(1e30 AS DOUBLE) ELSE price END AS price,
+       CASE WHEN m IN (1, 2) THEN NULL ELSE freight_value END AS freight_value,
+       CASE WHEN m IN (0, 4) THEN 'null_in_required:price' WHEN m IN (1, 2) THEN 'null_in_required:freight_value'
+            WHEN m = 3 THEN 'non_integer:order_item_id' ELSE 'out_of_range:price' END AS reject_reason
+FROM m WHERE m BETWEEN 0 AND 5""",
+    "order_reviews_rejected": """
+SELECT * REPLACE (CAST(3 AS INTEGER) AS review_score), 'non_integer:review_score' AS reject_reason
+FROM rev WHERE CAST(order_id AS BIGINT) % 97 = 0""",
+    "products_rejected": """
+SELECT * REPLACE (CAST(2 AS INTEGER) AS product_photos_qty), 'non_integer:product_photos_qty' AS reject_reason
+FROM prod WHERE CAST(product_id AS BIGINT) % 97 = 0""",
+    "order_payments_rejected": """
+, m AS (SELECT *, CAST(order_id AS BIGINT) % 97 AS m FROM pay)
+SELECT order_id, payment_sequential, payment_type,
+       CAST(CASE WHEN m = 1 THEN 1 ELSE payment_installments END AS INTEGER) AS payment_installments,
+       CASE WHEN m IN (0, 2) THEN NULL WHEN m = 3 THEN CAST(1e29 AS DOUBLE) ELSE payment_value END AS payment_value,
+       CASE WHEN m = 1 THEN 'non_integer:payment_installments' WHEN m = 3 THEN 'out_of_range:payment_value'
+            ELSE 'null_in_required:payment_value' END AS reject_reason
+FROM m WHERE m BETWEEN 0 AND 3""",
+}
+
+
 def check_sql(schemas) -> dict[str, str]:
     from pyspark.sql import types as T
 
@@ -441,20 +488,19 @@ def check_sql(schemas) -> dict[str, str]:
     for name, rej in REJECTED_CTE.items():
         q[f"{name}_rejected"] = f"SELECT * FROM {rej}"
 
+    q |= MALFORMED_SQL
+    q["etl_audit_malformed"] = _audit_sql(_union([
+        f"SELECT '{name}' AS table_name, count(*) AS rows_before, count(*) FILTER (WHERE NOT bad) AS rows_after, "
+        f"count(*) FILTER (WHERE bad) AS rows_rejected FROM (SELECT ({k}) % 97 IN ({_listed(bad)}) AS bad FROM {cte})"
+        for name, (cte, k, bad) in MALFORMED.items()]))
+
     audit = []
     for name, (clean, _, src) in CTE.items():
         rej = REJECTED_CTE.get(name)
         rej_n = f"(SELECT count(*) FROM {rej})" if rej else "CAST(0 AS BIGINT)"
         audit.append(f"SELECT '{name}' AS table_name, (SELECT count(*) FROM {src}) AS rows_before, "
                      f"(SELECT count(*) FROM {clean}) AS rows_after, {rej_n} AS rows_rejected")
-    q["etl_audit"] = f"""
-, a AS ({_union(audit)})
-SELECT table_name, rows_before, rows_after, rows_rejected,
-       rows_before - rows_after - rows_rejected AS rows_duplicate, rows_before - rows_after AS rows_dropped,
-       CASE WHEN rows_before > 0
-            THEN round(CAST(rows_before - rows_after AS DOUBLE) * 100.0 / CAST(rows_before AS DOUBLE), 2)
-            ELSE 0.0 END AS dropped_pct
-FROM a"""
+    q["etl_audit"] = _audit_sql(_union(audit))
 
     q["e01_profile_tables"] = _union([
         f"SELECT '{name}' AS table_name, count(*) AS n_rows, {len(schemas[name].fields)} AS n_cols FROM {typed}"

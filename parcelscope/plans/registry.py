@@ -20,9 +20,9 @@ from pyspark.sql import types as T
 
 from ..operators import quality as Q
 from ..operators.clean import TRANSFORMS, typed_table
-from ..schema import SCHEMAS, TABLES
+from ..schema import DEAL_VALUE_COLUMNS, RULED_TABLES, SCHEMAS, TABLES
 from ..session import pin_utc
-from ..sources.adapter import raw_table, typed_source
+from ..sources.adapter import MALFORMED_CELLS, malformed_raw_table, raw_table, typed_source
 from ..sources.zones import etl_audit
 from . import metrics as M
 from . import oracle
@@ -70,6 +70,13 @@ class Lake:
     def rejected(self, name: str) -> DataFrame:
         return self.split(name)[1]
 
+    def malformed(self, name: str) -> DataFrame:
+        """Raw text of a table in which some cells cannot be read."""
+        return malformed_raw_table(self.spark, self.sf_dir, name)
+
+    def malformed_split(self, name: str):
+        return TRANSFORMS[name](self.malformed(name))
+
     def tables(self, *names: str) -> dict[str, DataFrame]:
         return {n: self.clean(n) for n in names}
 
@@ -212,8 +219,12 @@ def check_queries() -> dict[str, Query]:
     q: dict[str, Query] = {}
     for name in TABLES:
         q[f"clean_{name}"] = _lake_query(lambda lake, n=name: ntz(lake.clean(n)))
-    for name in oracle.REJECTED_CTE:
+    for name in RULED_TABLES:
         q[f"{name}_rejected"] = _lake_query(lambda lake, n=name: ntz(lake.rejected(n)))
+    for name in MALFORMED_CELLS:
+        q[f"{name}_rejected"] = _lake_query(lambda lake, n=name: ntz(lake.malformed_split(n).rejected))
+    q["etl_audit_malformed"] = _lake_query(lambda lake: etl_audit({n: lake.malformed(n) for n in MALFORMED_CELLS},
+                                                                  {n: lake.malformed_split(n) for n in MALFORMED_CELLS}))
     q["etl_audit"] = _lake_query(lambda lake: etl_audit({n: lake.raw(n) for n in TABLES},
                                                         {n: lake.split(n) for n in TABLES}))
     q["e01_profile_tables"] = _lake_query(lambda lake: Q.profile_tables({n: lake.typed(n) for n in TABLES}))
@@ -238,7 +249,7 @@ def check_queries() -> dict[str, Query]:
         lake.profiled("closed_deals"), ["has_company", "has_gtin", "average_stock", "declared_product_catalog_size"],
         key="mql_id"))
     q["e11_value_counts_deals"] = _lake_query(lambda lake: Q.value_counts(
-        lake.profiled("closed_deals"), list(oracle.VALUE_COUNT_DEAL_COLS)))
+        lake.profiled("closed_deals"), list(DEAL_VALUE_COLUMNS)))
     q["e11_value_counts_origin"] = _lake_query(lambda lake: Q.value_counts(lake.profiled("mql"), ["origin"]))
     q["e12_duplicate_census"] = _lake_query(
         lambda lake: Q.duplicate_census({n: lake.typed(n) for n in TABLES}))

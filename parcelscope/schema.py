@@ -132,6 +132,14 @@ SORT_KEYS: dict[str, tuple[str, ...]] = {
     "mql": ("mql_id",),
 }
 
+# Tables with rules of their own for what is rejected (the others only reject what cannot be typed).
+RULED_TABLES: tuple[str, ...] = ("orders", "geolocation")
+
+# The columns of closed deals whose values are counted.
+DEAL_VALUE_COLUMNS: tuple[str, ...] = (
+    "business_segment", "lead_type", "lead_behaviour_profile", "has_company", "has_gtin", "average_stock", "business_type",
+    "declared_product_catalog_size")
+
 # Order in which the pipeline visits the tables.
 TABLES: tuple[str, ...] = tuple(SCHEMAS)
 

@@ -318,3 +318,32 @@ def raw_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def raw_tables(spark: SparkSession, sf_dir: str, names=None) -> dict[str, DataFrame]:
     """Lazily derived raw zone for the requested tables (all by default)."""
     return {n: raw_table(spark, sf_dir, n) for n in (names or TYPED_BUILDERS)}
+
+
+# Raw cells that cannot be read, by the remainder (modulo 97) of the rule's number: table -> (number, {remainder: (column, text)}).
+# A text beginning with ``+`` is appended to the cell.
+MALFORMED_EVERY = 97
+MALFORMED_CELLS = {
+    "order_items": ("CAST(order_id AS BIGINT) + CAST(order_item_id AS INT)",
+                    {0: ("price", "n/a"), 1: ("freight_value", "1e400"), 2: ("freight_value", ""), 3: ("order_item_id", "+.5"),
+                     4: ("price", "NaN"), 5: ("price", "1e30")}),
+    "order_reviews": ("CAST(order_id AS BIGINT)", {0: ("review_score", "3.5"), 1: ("review_score", "x")}),
+    "products": ("CAST(product_id AS BIGINT)", {0: ("product_photos_qty", "2.5"), 1: ("product_name_lenght", "1,5"),
+                                                2: ("product_weight_g", "-1e999")}),
+    "order_payments": ("CAST(order_id AS BIGINT)", {0: ("payment_value", ""), 1: ("payment_installments", "1.5"),
+                                                    2: ("payment_value", "-Infinity"), 3: ("payment_value", "1e29")}),
+}
+
+
+def malformed_raw_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """The raw zone form of a table in which every 97th row has a cell of each kind of ``MALFORMED_CELLS``."""
+    number, cells = MALFORMED_CELLS[name]
+    cols = []
+    for c in raw_schema(name).names:
+        q, e = ident(c), ident(c)
+        for remainder, (column, text) in cells.items():
+            if column == c:
+                value = f"concat({q}, '{text[1:]}')" if text.startswith("+") else f"'{text}'"
+                e = f"CASE WHEN ({number}) % {MALFORMED_EVERY} = {remainder} THEN {value} ELSE {e} END"
+        cols.append(f"{e} AS {q}")
+    return raw_table(spark, sf_dir, name).selectExpr(*cols)

@@ -170,3 +170,34 @@ def test_estimate_gap_uses_unrounded_averages(spark):
     g = M.estimate_gap(_tables(spark, orders=rows)).first()
     # estimated (3+3+4+5)/4 = 3.75, actual (1+2+2)/3 = 1.666.., gap 2.0833 -> 2.08
     assert (g.avg_estimated_days, g.avg_actual_days, g.gap_days) == (3.75, 1.67, 2.08)
+
+
+def _freight_tables(spark, values):
+    order = ("o1", "c1", "delivered", ts("2018-01-01 00:00:00"), None, None, ts("2018-01-03 00:00:00"), ts("2018-01-09 00:00:00"))
+    return {"orders": spark.createDataFrame([order], SCHEMAS["orders"]),
+            "order_items": spark.createDataFrame([("o1", i, "p", "s", None, 1.0, v) for i, v in enumerate(values)], SCHEMAS["order_items"]),
+            "customers": spark.createDataFrame([("c1", "u", "00001", "x", "SP")], SCHEMAS["customers"])}
+
+
+def test_freight_is_averaged_from_the_plain_values(spark):
+    """Parts of a cent count, and a very large value ends no card."""
+    t = _freight_tables(spark, [0.005, 0.005, 0.03])
+    assert M.q5c_state_freight(t, min_rows=1).first().avg_freight_cost == 0.01
+    assert M.q8a_state_delivery_freight(t).first().avg_freight_cost == 0.01
+    assert M.q8b_state_late_freight(t).first().avg_freight_cost == 0.01
+    t = _freight_tables(spark, [1e17, 0.5, 3e20])
+    expected = round((1e17 + 0.5 + 3e20) / 3, 2)
+    for got in (M.q5c_state_freight(t, min_rows=1), M.q8a_state_delivery_freight(t), M.q8b_state_late_freight(t)):
+        assert abs(got.first().avg_freight_cost / expected - 1) < 1e-15
+
+
+def test_trend_compares_calendar_months(spark):
+    """A month without orders gives NULL where it would be compared, and shifts no other month."""
+    rows = [(dt.date(2018, 1, 1), 10.0), (dt.date(2018, 2, 1), 20.0), (dt.date(2018, 4, 1), 30.0), (dt.date(2018, 5, 1), 60.0),
+            (dt.date(2019, 1, 1), 5.0)]
+    monthly = spark.createDataFrame(rows, "month date, v double")
+    one = [(r.prev_value, r.change_pct) for r in M.trend_change(monthly, "v", 1).collect()]
+    assert one == [(None, None), (10.0, 100.0), (None, None), (30.0, 100.0), (None, None)]
+    two = [r.prev_value for r in M.trend_change(monthly, "v", 2).collect()]
+    assert two == [None, None, 20.0, None, None]
+    assert [r.prev_value for r in M.trend_change(monthly, "v", 12).collect()] == [None, None, None, None, 10.0]
