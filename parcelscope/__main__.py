@@ -2,11 +2,13 @@
 
     python -m parcelscope daily  --source DIR --lake DIR [--buckets N]
     python -m parcelscope ingest --landing DIR --lake DIR
-    python -m parcelscope card   --lake DIR NAME [--param key=value ...] [--out DIR]
+    python -m parcelscope card   --lake DIR NAME [--source warehouse|stream|rollup] [--param key=value ...] [--out DIR]
 
+``ingest`` appends newly landed files, cleans them and brings the stored sums up to date.
 ``card`` reads the loaded tables of the lake and runs one card from
 ``plans.metrics`` (``q1a_delivery_stats`` ... ``q8b_state_late_freight``,
-``estimate_gap``); ``--out`` writes the result as Parquet, otherwise every row is
+``estimate_gap``); with ``--source stream`` the tables of the ingest, with ``--source rollup`` the stored sums
+(cards 1a-2d, 5a, 5b).  ``--out`` writes the result as Parquet, otherwise every row is
 printed, tab-separated.  ``--cluster`` before the command applies the settings for a large cluster.
 """
 
@@ -16,9 +18,12 @@ import argparse
 import sys
 
 from .plans import metrics as M
+from .plans import rollup
 from .schema import TABLES
 from .session import CLUSTER_CONF, build_session
 from .sources import zones
+from .streaming import refine
+from .streaming.ingest import ingest_new_files
 
 CARDS = {**M.QUERIES, "estimate_gap": M.estimate_gap}
 
@@ -51,12 +56,13 @@ def main(argv: list[str] | None = None) -> int:
     d.add_argument("--source", required=True)
     d.add_argument("--lake", required=True)
     d.add_argument("--buckets", type=int, default=None)
-    i = sub.add_parser("ingest", help="append newly landed CSV files to the raw zone")
+    i = sub.add_parser("ingest", help="append newly landed CSV files, clean them and update the stored sums")
     i.add_argument("--landing", required=True)
     i.add_argument("--lake", required=True)
     c = sub.add_parser("card", help="run one dashboard card over the clean zone")
     c.add_argument("--lake", required=True)
     c.add_argument("name", choices=sorted(CARDS))
+    c.add_argument("--source", choices=("warehouse", "stream", "rollup"), default="warehouse")
     c.add_argument("--param", action="append", default=[], help="card parameter, e.g. min_rows=190")
     c.add_argument("--out", default=None)
     args = ap.parse_args(argv)
@@ -65,11 +71,18 @@ def main(argv: list[str] | None = None) -> int:
     if args.cmd == "daily":
         zones.run_daily(spark, args.source, args.lake, buckets=args.buckets).show(len(TABLES), truncate=False)
     elif args.cmd == "ingest":
-        from .streaming.ingest import ingest_new_files
         for name, n in ingest_new_files(spark, args.landing, args.lake).items():
             print(f"{name:25s} {n:>12,d} rows appended")
+        refine.refine_new_rows(spark, args.lake)
+        rollup.update(spark, args.lake)
+        refine.refined_audit(spark, args.lake).show(len(TABLES), truncate=False)
     else:
-        df = CARDS[args.name](LoadedTables(spark, args.lake), **_params(args.param))
+        params = _params(args.param)
+        if args.source == "rollup":
+            df = rollup.CARDS[args.name](spark, args.lake, **params)
+        else:
+            tables = refine.RefinedTables(spark, args.lake) if args.source == "stream" else LoadedTables(spark, args.lake)
+            df = CARDS[args.name](tables, **params)
         if args.out:
             df.write.mode("overwrite").parquet(args.out)
         else:

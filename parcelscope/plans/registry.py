@@ -24,8 +24,8 @@ from ..schema import DEAL_VALUE_COLUMNS, RULED_TABLES, SCHEMAS, TABLES
 from ..session import pin_utc
 from ..sources.adapter import MALFORMED_CELLS, malformed_raw_table, raw_table, typed_source
 from ..sources.zones import etl_audit
+from . import arrivals, oracle, rollup
 from . import metrics as M
-from . import oracle
 
 # Parameters of the registered cards (see module docstring).
 SINCE = "1998-01-01"
@@ -271,9 +271,40 @@ def check_queries() -> dict[str, Query]:
     return q
 
 
+# Parameters of the cards that have some, by card.
+CARD_PARAMS: dict[str, dict] = {
+    "q2a_monthly_delivery": {"since": SINCE}, "q2b_monthly_on_time": {"since": SINCE}, "q2d_monthly_on_time": {"since": SINCE},
+    "q5a_state_delivery": {"min_rows": MIN_STATE}, "q5b_state_late_rate": {"min_rows": MIN_STATE},
+}
+STREAM_TABLES = ("orders", "customers", "geolocation")
+
+
+def _rollup(card: str) -> Query:
+    return lambda spark, sf_dir: arrivals.rollup_card(spark, sf_dir, card, **CARD_PARAMS.get(card, {}))
+
+
+def stream_queries() -> dict[str, Query]:
+    """Tables and cards of the incremental path; every key answers the statement of the key that it names."""
+    q: dict[str, Query] = {f"rollup_{card.split('_', 1)[0]}": _rollup(card) for card in rollup.CARDS}
+    for name in STREAM_TABLES:
+        q[f"stream_clean_{name}"] = lambda spark, sf_dir, n=name: ntz(arrivals.refined(spark, sf_dir, n))
+    for name in RULED_TABLES:
+        q[f"stream_{name}_rejected"] = lambda spark, sf_dir, n=name: ntz(arrivals.refined(spark, sf_dir, n, rejected=True))
+    q["stream_q8a"] = lambda spark, sf_dir: arrivals.full_card(spark, sf_dir, "q8a_state_delivery_freight")
+    return q
+
+
+def stream_oracles(full: dict[str, str]) -> dict[str, str]:
+    q = {f"rollup_{card.split('_', 1)[0]}": full[card] for card in rollup.CARDS}
+    q |= {f"stream_clean_{name}": full[f"clean_{name}"] for name in STREAM_TABLES}
+    q |= {f"stream_{name}_rejected": full[f"{name}_rejected"] for name in RULED_TABLES}
+    return q | {"stream_q8a": full["q8a_state_delivery_freight"]}
+
+
 def queries() -> dict[str, Query]:
-    return {**metric_queries(), **check_queries()}
+    return {**metric_queries(), **check_queries(), **stream_queries()}
 
 
 def oracle_sql() -> dict[str, str]:
-    return oracle.finish({**metric_oracles(), **oracle.check_sql(SCHEMAS)})
+    full = {**metric_oracles(), **oracle.check_sql(SCHEMAS)}
+    return oracle.finish({**full, **stream_oracles(full)})

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import tempfile
+
 from pyspark.sql import SparkSession
 
 UTC = "UTC"
@@ -69,3 +71,13 @@ def checkpoint_dir(spark: SparkSession, lake: str) -> str:
     """The shared folder the cluster names in ``spark.checkpoint.dir``, else a folder beside the
     lake, on the lake's own file system."""
     return spark.conf.get("spark.checkpoint.dir", None) or lake.rstrip("/") + "/_checkpoints"
+
+
+def work_dir(spark: SparkSession) -> str:
+    """A folder that all executors share: ``spark.checkpoint.dir``, or a private one for a local master."""
+    d = spark.conf.get("spark.checkpoint.dir", None)
+    if d:
+        return d.rstrip("/")
+    if not spark.sparkContext.master.startswith("local"):
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+    return tempfile.mkdtemp(prefix="parcelscope-work-")

@@ -335,10 +335,10 @@ def _drop_old_versions(spark: SparkSession, lake: str, versions: list[int], in_u
 def audit_frame(spark: SparkSession, log: list[tuple[str, int, int, int]]) -> DataFrame:
     """S9 for a finished run: one row per table from the counts observed while writing."""
     df = spark.createDataFrame(log, "table_name string, rows_before long, rows_after long, rows_rejected long")
-    return _audit_columns(df)
+    return audit_columns(df)
 
 
-def _audit_columns(df: DataFrame) -> DataFrame:
+def audit_columns(df: DataFrame) -> DataFrame:
     dropped = F.col("rows_before") - F.col("rows_after")
     return df.select("table_name", "rows_before", "rows_after", "rows_rejected",
                      (dropped - F.col("rows_rejected")).alias("rows_duplicate"), dropped.alias("rows_dropped"),
@@ -376,7 +376,7 @@ def etl_audit(raw: dict[str, DataFrame], split: dict) -> DataFrame:
         u = u.unionByName(p)
     wide = u.groupBy("table_name").agg(F.sum("b").alias("rows_before"), F.sum("a").alias("rows_after"),
                                        F.sum("r").alias("rows_rejected"))
-    return _audit_columns(wide)
+    return audit_columns(wide)
 
 
 def run_daily(spark: SparkSession, source_dir: str, lake: str, buckets: int | None = None) -> DataFrame:

@@ -23,38 +23,39 @@ from pyspark.sql.streaming import StreamingQuery
 
 from ..schema import TABLES, raw_schema
 from ..session import checkpoint_dir
-from ..sources.zones import STREAM, stored_rows
+from ..sources.zones import MALFORMED, STREAM, filled, lines_schema
 
 
 MAX_FILES_PER_BATCH = 1000
+PROGRESS_KEPT = 100_000  # micro-batches of one run whose row counts are remembered
 
 
 def landing_stream(spark: SparkSession, landing_dir: str, name: str, max_files: int = MAX_FILES_PER_BATCH):
-    """New ``<name>*.csv`` files in ``landing_dir`` as a stream of raw (all-text) rows.
+    """New ``<name>*.csv`` files in ``landing_dir`` as a stream of raw (all-text) rows, and ``MALFORMED``.
 
     The header is checked against the declared column names
     (``enforceSchema=false``), so a file with other columns fails loudly instead
     of being read by position.  A backlog is drained in micro-batches of at most
     ``max_files`` files, each committed to the checkpoint before the next.
     """
-    return (spark.readStream.schema(raw_schema(name))
-            .option("maxFilesPerTrigger", max_files)
-            .option("header", True).option("enforceSchema", False)
-            .option("multiLine", True).option("quote", '"').option("escape", '"')
-            .option("pathGlobFilter", f"{name}*.csv")
-            .csv(landing_dir)
-            .na.fill(""))
+    return filled(spark.readStream.schema(lines_schema(raw_schema(name).names))
+                  .option("maxFilesPerTrigger", max_files)
+                  .option("header", True).option("enforceSchema", False)
+                  .option("multiLine", True).option("quote", '"').option("escape", '"')
+                  .option("columnNameOfCorruptRecord", MALFORMED)
+                  .option("pathGlobFilter", f"{name}*.csv")
+                  .csv(landing_dir))
 
 
-def stream_checkpoint(spark: SparkSession, lake: str, name: str) -> str:
-    """Checkpoint folder of one table's ingest into one lake.
+def stream_checkpoint(spark: SparkSession, lake: str, name: str, job: str = "parcelscope-ingest") -> str:
+    """Checkpoint folder of one table's stream in one lake.
 
     It sits under ``spark.checkpoint.dir`` and is keyed by the sink location as
     well as the table, so two lakes never share (and corrupt) a checkpoint.
     """
     sink = os.path.join(lake, STREAM, name)
     digest = hashlib.sha1(sink.encode()).hexdigest()[:16]
-    return os.path.join(checkpoint_dir(spark, lake), "parcelscope-ingest", digest, name)
+    return os.path.join(checkpoint_dir(spark, lake), job, digest, name)
 
 
 def ingest_table(spark: SparkSession, landing_dir: str, lake: str, name: str) -> StreamingQuery:
@@ -71,12 +72,12 @@ def ingest_table(spark: SparkSession, landing_dir: str, lake: str, name: str) ->
 def ingest_new_files(spark: SparkSession, landing_dir: str, lake: str, names=TABLES) -> dict[str, int]:
     """One daily run over every table; returns the rows appended per table.
 
-    Rows are counted in the sink, before and after (Parquet footers only): the query's own
-    progress list forgets all but its latest batches.
+    Rows are those that the run's own micro-batches report, so nothing that was stored before is read.
     """
+    spark.conf.set("spark.sql.streaming.numRecentProgressUpdates", str(PROGRESS_KEPT))
     appended = {}
     for name in names:
-        before = stored_rows(spark, lake, STREAM, name)
-        ingest_table(spark, landing_dir, lake, name).awaitTermination()
-        appended[name] = stored_rows(spark, lake, STREAM, name) - before
+        query = ingest_table(spark, landing_dir, lake, name)
+        query.awaitTermination()
+        appended[name] = sum(p["numInputRows"] for p in query.recentProgress)
     return appended

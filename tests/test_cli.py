@@ -28,3 +28,16 @@ def test_daily_then_card(spark, tmpdir_path):
     got = [(r.customer_state, r.avg_delivery_days, r.avg_freight_cost, r.total_orders)
            for r in spark.read.parquet(out).collect()]
     assert got == [("SP", 2.0, 2.5, 1)]
+
+
+def test_ingest_then_cards_from_the_stream_and_the_stored_sums(spark, tmpdir_path):
+    landing, lake, out = (os.path.join(tmpdir_path, x) for x in ("landing", "lake", "out"))
+    os.makedirs(landing)
+    _csv(landing, "orders", [
+        (f"o{i}", "c1", "delivered", "2018-01-01 10:00:00", "2018-01-01 11:00:00", "2018-01-02 10:00:00",
+         f"2018-01-{3 + i:02d} 10:00:00", "2018-01-04 00:00:00") for i in range(3)])
+    _csv(landing, "customers", [("c1", "u1", "123", "x", "SP")])
+    assert main(["ingest", "--landing", landing, "--lake", lake]) == 0
+    for n, source in enumerate(("stream", "rollup")):
+        assert main(["card", "--lake", lake, "q5a_state_delivery", "--source", source, "--param", "min_rows=1", "--out", f"{out}{n}"]) == 0
+        assert [tuple(r) for r in spark.read.parquet(f"{out}{n}").collect()] == [("SP", 3.0, 3)]
