@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.timefn import ident, pct
+from .spread import row_groups
 
 
 def _lit_sql(s: str) -> str:
@@ -135,14 +136,16 @@ def value_counts(df: DataFrame, cols: list[str]) -> DataFrame:
 def duplicate_census(tables: Mapping[str, DataFrame]) -> DataFrame:
     """Total rows, distinct rows and duplicates per table.
 
-    Distinct rows are counted by grouping on every column with a row count,
-    which aggregates map-side first; each table contributes one row.
+    Rows are counted by their hash first; only rows whose hash repeats are compared as a whole (``spread.row_groups``).
+    Each table contributes one row.
     """
     parts = []
     for name, df in tables.items():
-        g = df.groupBy(*df.columns).agg(F.count(F.lit(1)).alias("__m"))
-        parts.append(g.agg(F.sum("__m").alias("total_rows"), F.count(F.lit(1)).alias("distinct_rows"))
-                     .select(F.lit(name).alias("table_name"), "total_rows", "distinct_rows"))
+        repeated, by_hash = row_groups(df, "__m")
+        parts.append(by_hash.agg(F.coalesce(F.sum("_n"), F.lit(0)).alias("total"), F.count_if(F.col("_n") == 1).alias("unique"))
+                     .crossJoin(repeated.agg(F.count(F.lit(1)).alias("groups")))  # one row each
+                     .select(F.lit(name).alias("table_name"), F.col("total").alias("total_rows"),
+                             (F.col("unique") + F.col("groups")).alias("distinct_rows")))
     u = parts[0]
     for p in parts[1:]:
         u = u.unionByName(p)
@@ -153,10 +156,10 @@ def duplicate_groups(df: DataFrame, top_n: int = 20) -> DataFrame:
     """Fully identical rows that occur more than once, most frequent first.
 
     A top-k report: ties on the count are broken by the row's own values so the
-    selection is deterministic.
+    selection is deterministic.  Only rows whose hash repeats are read whole.
     """
     cols = df.columns
-    g = df.groupBy(*cols).agg(F.count(F.lit(1)).alias("count")).filter(F.col("count") > 1)
+    g = row_groups(df, "count")[0].filter(F.col("count") > 1)
     return g.orderBy(F.desc("count"), *[F.col(c).asc_nulls_first() for c in cols]).limit(top_n)
 
 

@@ -35,6 +35,7 @@ from pyspark.sql import Window
 
 from ..functions.timefn import (days_between, delivery_status, hours_between, is_late,
                                 is_on_time, month_start, pct)
+from ..operators.spread import spread_join
 
 # The dashboard's parameter defaults and labels.
 DELIVERED = "delivered"
@@ -245,10 +246,11 @@ def q3a_review_by_status(tables) -> DataFrame:
     )
 
 
-def q3b_review_rows(tables) -> DataFrame:
-    r = tables["order_reviews"].filter(F.col("review_score").isNotNull()).select("order_id", "review_score")
+def q3b_review_rows(tables, salts: int | None = None) -> DataFrame:
+    """Reviews meet their order one by one; an order with very many of them is spread (``spread_join``)."""
+    r = tables["order_reviews"].filter(F.col("review_score").isNotNull()).select("order_id", "review_score", "review_id")
     o = delivered(tables).select("order_id", delivery_status().alias("delivery_status"))
-    return o.join(r, "order_id").select("order_id", "review_score", "delivery_status")
+    return spread_join(r, o, "order_id", "review_id", salts).select("order_id", "review_score", "delivery_status")
 
 
 # --- 4: stages ---------------------------------------------------------------------
@@ -393,17 +395,17 @@ def q6c_seller_scatter(tables, min_rows: int = MIN_ROWS) -> DataFrame:
 
 # --- 7: products -----------------------------------------------------------------------
 
-def _product_facts(tables) -> DataFrame:
+def _product_facts(tables, salts: int | None = None) -> DataFrame:
     """Per product: item rows, item rows with a delivery time, their hour sum, late items.
 
     Line items are (almost) unique per (order, product), so they are joined to
-    the orders as they are and summed per product right after; the partial
-    aggregate collapses a hot product before the shuffle.
+    the orders as they are (those of an order with very many items spread, see ``spread_join``) and summed per
+    product right after; the partial aggregate collapses a hot product before the shuffle.
     """
-    items = tables["order_items"].select("order_id", "product_id")
+    items = tables["order_items"].select("order_id", "product_id", "order_item_id")
     o = delivered(tables).select("order_id", hours_between(PURCHASE, CUSTOMER).alias("h"),
                                  is_late().alias("is_late"))
-    j = items.join(o, "order_id")
+    j = spread_join(items, o, "order_id", "order_item_id", salts)
     return j.groupBy("product_id").agg(
         F.count(F.lit(1)).alias("n"),
         F.count("h").alias("n_h"),
@@ -426,8 +428,8 @@ def _rollup(df: DataFrame, key: Column) -> DataFrame:
                                F.sum("h_sum").alias("h_sum"), F.sum("late").alias("late"))
 
 
-def q7a_category_delivery(tables, min_rows: int = MIN_ROWS, top_n: int = TOP_CATEGORIES) -> DataFrame:
-    c = _rollup(_with_category(_product_facts(tables), tables), F.col("product_category"))
+def q7a_category_delivery(tables, min_rows: int = MIN_ROWS, top_n: int = TOP_CATEGORIES, salts: int | None = None) -> DataFrame:
+    c = _rollup(_with_category(_product_facts(tables, salts), tables), F.col("product_category"))
     return (c.filter(F.col("n") >= min_rows)
             .select("product_category",
                     _r2(_days_from_hours(F.col("h_sum"), F.col("n_h"))).alias("avg_delivery_days"),
@@ -443,8 +445,8 @@ def weight_bucket(w: Column) -> Column:
     return out
 
 
-def q7b_weight_delivery(tables) -> DataFrame:
-    facts = _product_facts(tables).join(
+def q7b_weight_delivery(tables, salts: int | None = None) -> DataFrame:
+    facts = _product_facts(tables, salts).join(
         tables["products"].select("product_id", "product_weight_g"), "product_id")
     c = _rollup(facts, weight_bucket(F.col("product_weight_g")).alias("weight_category"))
     return (c.select("weight_category",
@@ -453,9 +455,9 @@ def q7b_weight_delivery(tables) -> DataFrame:
             .orderBy(F.desc("avg_delivery_days"), "weight_category"))
 
 
-def q7c_category_late_rate(tables, min_rows: int = MIN_ROWS, top_n: int = TOP_CATEGORIES) -> DataFrame:
+def q7c_category_late_rate(tables, min_rows: int = MIN_ROWS, top_n: int = TOP_CATEGORIES, salts: int | None = None) -> DataFrame:
     """Denominator is every item row, undelivered-date rows included."""
-    c = _rollup(_with_category(_product_facts(tables), tables), F.col("product_category"))
+    c = _rollup(_with_category(_product_facts(tables, salts), tables), F.col("product_category"))
     return (c.filter(F.col("n") >= min_rows)
             .select("product_category", F.col("n").alias("total_items_sold"),
                     F.col("late").alias("late_deliveries"),
