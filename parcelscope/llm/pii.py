@@ -2,7 +2,8 @@
 
 DataFrame functions only.  ``regexp_extract_all`` gives a kind's matches and
 ``split`` by the same pattern the gaps between them; running sums of both
-lengths are the spans (code points, end exclusive).
+lengths are the spans (code points, end exclusive).  Running sums and maxima go over blocks of ``BLOCK`` matches, and
+texts are cut up by pieces, so the work grows with the length of a text and the number of its matches, not their product.
 
 Kinds and their proposal patterns, in the order used for ties:
 
@@ -15,7 +16,8 @@ Kinds and their proposal patterns, in the order used for ties:
 
 Null texts are empty and have no spans.  Groups are written possessively, which
 matches the same text and needs neither recursion nor backtracking on long runs.
-Repeated rows each give a row; extra columns are ignored by ``find_spans``.
+Repeated rows each give a row.  Extra columns are carried along whatever their names (a column ``pii`` is replaced by
+``find_spans`` and kept by ``redact``).
 """
 
 from __future__ import annotations
@@ -24,6 +26,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 CONTEXT_CHARS = 40
+BLOCK = 256  # matches, or code points of a text, that one step of a running value covers
 THRESHOLD = 0.5
 
 LOCAL = "[A-Za-z0-9._%+-]"
@@ -86,17 +89,61 @@ def _valid(kind: str, m: Column) -> Column:
     return F.lit(True)
 
 
-def _located(text: Column, matches: Column, pattern: str) -> Column:
-    """array<struct<start, m>>: every match with its place."""
-    gaps = F.transform(F.split(text, pattern, -1), lambda g: F.length(g))
-    pairs = F.arrays_zip(gaps.alias("g"), matches.alias("m"))
-    acc0 = F.struct(F.lit(0).alias("at"), F.array().cast("array<struct<start:int,m:string>>").alias("out"))
-    return F.aggregate(
-        pairs, acc0,
-        lambda a, p: F.when(p["m"].isNull(), a).otherwise(F.struct(
-            (a["at"] + p["g"] + F.length(p["m"])).alias("at"),
-            F.concat(a["out"], F.array(F.struct((a["at"] + p["g"]).alias("start"), p["m"].alias("m")))).alias("out"))),
-        lambda a: a["out"])
+def let(value: Column, body) -> Column:
+    """``body(value)`` with ``value`` computed once, however often the body (or a lambda in it) names it."""
+    return F.element_at(F.transform(F.array(value), body), 1)
+
+
+def _blocks(xs: Column) -> Column:
+    """Numbers of the blocks of a non-empty array."""
+    return F.sequence(F.lit(0), F.floor((F.size(xs) - 1) / BLOCK).cast("int"))
+
+
+def _block(xs: Column, i: Column) -> Column:
+    return F.slice(xs, i * BLOCK + 1, F.lit(BLOCK))
+
+
+def _before_blocks(totals: Column, op) -> Column:
+    """array<int>: op over all totals before each one, from 0."""
+    acc0 = F.struct(F.lit(0).alias("at"), F.array().cast("array<int>").alias("out"))
+    return F.aggregate(totals, acc0, lambda a, t: F.struct(op(a["at"], t).cast("int").alias("at"),
+                                                           F.concat(a["out"], F.array(a["at"])).alias("out")), lambda a: a["out"])
+
+
+def _located(text: Column, matches: Column, pattern: str, context: bool) -> Column:
+    """array<struct<start, m, before>>: every match with its place and, with ``context``, the characters before it."""
+    pairs = F.arrays_zip(F.split(text, pattern, -1).alias("g"), matches.alias("m"))
+
+    def length(p: Column) -> Column:
+        return F.length(p["g"]) + F.coalesce(F.length(p["m"]), F.lit(0))
+
+    def last_chars(c: Column) -> Column:
+        return F.substring(c, -CONTEXT_CHARS, CONTEXT_CHARS)
+
+    def before_block(ps: Column, i: Column) -> Column:
+        """The last characters before a block: every match has one at least."""
+        some = F.slice(ps, F.greatest(i * BLOCK + 1 - CONTEXT_CHARS, F.lit(1)), F.least(i * BLOCK, F.lit(CONTEXT_CHARS)))
+        return last_chars(F.array_join(F.transform(some, lambda p: F.concat(last_chars(p["g"]), p["m"])), ""))
+
+    def step(a: Column, p: Column) -> Column:
+        before = last_chars(F.concat(a["tail"], last_chars(p["g"]))) if context else F.lit("")
+        start = a["at"] + F.length(p["g"])
+        found = F.array(F.struct(start.alias("start"), p["m"].alias("m"), before.alias("before")))
+        tail = last_chars(F.concat(before, p["m"])) if context else F.lit("")
+        return F.when(p["m"].isNull(), a).otherwise(F.struct(
+            (start + F.length(p["m"])).alias("at"), tail.alias("tail"), F.concat(a["out"], found).alias("out")))
+
+    def of_block(ps: Column, b: Column) -> Column:
+        acc0 = F.struct(b["at"].alias("at"), (before_block(ps, b["i"]) if context else F.lit("")).alias("tail"),
+                        F.array().cast("array<struct<start:int,m:string,before:string>>").alias("out"))
+        return F.aggregate(_block(ps, b["i"]), acc0, step, lambda a: a["out"])
+
+    def over(ps: Column) -> Column:
+        sums = F.transform(_blocks(ps), lambda i: F.aggregate(_block(ps, i), F.lit(0), lambda a, p: a + length(p)))
+        starts = _before_blocks(sums, lambda a, t: a + t)
+        return F.flatten(F.transform(F.arrays_zip(_blocks(ps).alias("i"), starts.alias("at")), lambda b: of_block(ps, b)))
+
+    return let(pairs, over)
 
 
 def _spans(kind: str, text: Column, matches: Column, pattern: str, prior: float, words: str | None, bonus: float) -> Column:
@@ -106,41 +153,43 @@ def _spans(kind: str, text: Column, matches: Column, pattern: str, prior: float,
         start, m = x["start"], x["m"]
         score = F.lit(prior)
         if words:
-            before = F.lower(F.substring(text, F.greatest(start - CONTEXT_CHARS, F.lit(0)) + 1,
-                                         F.least(start, F.lit(CONTEXT_CHARS))))
-            score = score + F.when(before.rlike(words), bonus).otherwise(0.0)
+            score = score + F.when(F.lower(x["before"]).rlike(words), bonus).otherwise(0.0)
         return F.struct(start.alias("start"), (start + F.length(m)).cast("int").alias("end"), F.lit(rank).alias("rank"),
                         F.lit(kind).alias("kind"), score.cast("double").alias("score"))
 
-    valid = F.filter(_located(text, matches, pattern), lambda x: _valid(kind, x["m"]))
+    valid = F.filter(_located(text, matches, pattern, bool(words)), lambda x: _valid(kind, x["m"]))
     spans = F.transform(valid, span)
     return F.filter(spans, lambda s: s["score"] >= THRESHOLD)
 
 
-def find_spans(documents: DataFrame) -> DataFrame:
-    """``documents`` plus ``pii``: array of (start, end, rank, kind, score) by start, then kind."""
+def _found(documents: DataFrame) -> DataFrame:
+    """row (a struct of all columns), t (the text, null as empty), pii: array of (start, end, rank, kind, score) by start, then kind."""
     empty = F.array().cast(f"array<{SPAN}>")
-    df = documents.withColumn("_t", F.coalesce("text", F.lit("")))
-    found = df
+    df = documents.select(F.struct(*[F.col(f"`{c}`") for c in documents.columns]).alias("row"), F.coalesce("text", F.lit("")).alias("t"))
     specs = {**{k: (p, 1.0, None, 0.0, t) for k, (p, t) in BASE.items()}, **{k: (*v, None) for k, v in ADDED.items()}}
     # matches first: most texts have none of a kind, and then nothing else is computed
-    has_digits = F.col("_t").rlike("[0-9]")
-    found = found.withColumn("_d", has_digits)
+    found = df.withColumn("d", F.col("t").rlike("[0-9]"))
     for kind, (pattern, _, _, _, must) in specs.items():
-        gate = F.col("_t").rlike(r"(?i)[=:]") if kind == "secret" else F.col("_d") if kind != "email" else F.lit(True)
+        gate = F.col("t").rlike(r"(?i)[=:]") if kind == "secret" else F.col("d") if kind != "email" else F.lit(True)
         if must:
-            gate = gate & F.contains("_t", F.lit(must))
+            gate = gate & F.contains("t", F.lit(must))
         if kind == "card13" or kind == "card":
-            gate = gate & F.col("_t").rlike(r"[0-9][0-9\x20-]{11}")
-        found = found.withColumn(f"_m_{kind}", F.when(gate, F.regexp_extract_all("_t", F.lit(pattern), F.lit(0))))
+            gate = gate & F.col("t").rlike(r"[0-9][0-9\x20-]{11}")
+        found = found.withColumn(f"m_{kind}", F.when(gate, F.regexp_extract_all("t", F.lit(pattern), F.lit(0))))
     for kind, (pattern, prior, words, bonus, _) in specs.items():
-        m = F.col(f"_m_{kind}")
-        found = found.withColumn(f"_s_{kind}", F.when(
-            F.size(m) > 0, _spans(kind, F.col("_t"), m, pattern, prior, words, bonus)).otherwise(empty))
-    allspans = F.array_sort(F.concat(*[F.col(f"_s_{k}") for k in specs]),
+        m = F.col(f"m_{kind}")
+        found = found.withColumn(f"s_{kind}", F.when(
+            F.size(m) > 0, _spans(kind, F.col("t"), m, pattern, prior, words, bonus)).otherwise(empty))
+    allspans = F.array_sort(F.concat(*[F.col(f"s_{k}") for k in specs]),
                             lambda a, b: F.when(a["start"] != b["start"], a["start"] - b["start"])
                             .otherwise(a["rank"] - b["rank"]))
-    return found.withColumn("pii", allspans).select(*documents.columns, "pii")
+    return found.select("row", "t", allspans.alias("pii"))
+
+
+def find_spans(documents: DataFrame) -> DataFrame:
+    """``documents`` plus ``pii``: array of (start, end, rank, kind, score) by start, then kind."""
+    kept = [F.col("row").getField(c).alias(c) for c in documents.columns if c.lower() != "pii"]
+    return _found(documents).select(*kept, "pii")
 
 
 def _joined(spans: Column) -> Column:
@@ -152,32 +201,56 @@ def digest(found: DataFrame) -> DataFrame:
     count = lambda k: F.size(F.filter("pii", lambda s: s["kind"] == k)).cast("long").alias(f"n_{k}")
     base = F.filter("pii", lambda s: s["kind"].isin(list(BASE)))
     return found.select("doc_id", *[count(k) for k in BASE], F.sha2(_joined(base), 256).alias("base_sha256"),
-                        _joined(F.col("pii")).alias("spans"))
+                        _joined(F.col("pii")).alias("spans"), F.size("pii").cast("long").alias("n_spans"))
+
+
+def _pieces(text: Column) -> Column:
+    """The text as an array of pieces of ``BLOCK`` code points."""
+    return F.regexp_extract_all(text, F.lit(f"(?s).{{1,{BLOCK}}}"), F.lit(0))
+
+
+def _between(pieces: Column, start: Column, end: Column) -> Column:
+    """Code points [start, end) of the text that ``pieces`` make."""
+    first, last = F.floor(start / BLOCK).cast("int"), F.floor((end - 1) / BLOCK).cast("int")
+    some = F.array_join(F.slice(pieces, first + 1, last - first + 1), "")
+    return F.when(end > start, F.substring(some, start - first * BLOCK + 1, end - start)).otherwise("")
+
+
+def _opening(spans: Column) -> Column:
+    """array<struct<upto, start, kind>>: the spans that overlap none before them, and where the last one before ends."""
+    def step(a: Column, s: Column) -> Column:
+        return F.struct(F.greatest(a["upto"], s["end"]).alias("upto"), F.when(s["start"] >= a["upto"], F.concat(
+            a["out"], F.array(F.struct(a["upto"].alias("upto"), s["start"].alias("start"), s["kind"].alias("kind"))))).otherwise(
+            a["out"]).alias("out"))
+
+    def of_block(xs: Column, b: Column) -> Column:
+        acc0 = F.struct(b["at"].alias("upto"), F.array().cast("array<struct<upto:int,start:int,kind:string>>").alias("out"))
+        return F.aggregate(_block(xs, b["i"]), acc0, step, lambda a: a["out"])
+
+    def over(xs: Column) -> Column:
+        ends = F.transform(_blocks(xs), lambda i: F.array_max(F.transform(_block(xs, i), lambda s: s["end"])))
+        before = _before_blocks(ends, lambda a, t: F.greatest(a, t))
+        return F.flatten(F.transform(F.arrays_zip(_blocks(xs).alias("i"), before.alias("at")), lambda b: of_block(xs, b)))
+
+    return let(spans, over)
 
 
 def redact(documents: DataFrame) -> DataFrame:
     """Every span (overlapping ones merged, named by the first) replaced by ``<KIND>``; n_chars follows."""
-    found = find_spans(documents)
-    merged = F.aggregate(
-        "pii", F.array().cast("array<struct<start:int,end:int,kind:string>>"),
-        lambda acc, s: F.when(
-            (F.size(acc) > 0) & (s["start"] < F.element_at(acc, -1)["end"]),
-            F.concat(F.slice(acc, 1, F.size(acc) - 1), F.array(F.struct(
-                F.element_at(acc, -1)["start"].alias("start"),
-                F.greatest(F.element_at(acc, -1)["end"], s["end"]).alias("end"),
-                F.element_at(acc, -1)["kind"].alias("kind")))))
-        .otherwise(F.concat(acc, F.array(F.struct(s["start"].alias("start"), s["end"].alias("end"),
-                                                  s["kind"].alias("kind"))))))
-    found = found.withColumn("_spans", F.when(F.size("pii") > 0, merged))
-    pieces = F.aggregate(
-        "_spans", F.struct(F.lit(0).alias("at"), F.lit("").alias("out")),
-        lambda a, s: F.struct(s["end"].alias("at"), F.concat(
-            a["out"], F.substring("text", a["at"] + 1, s["start"] - a["at"]),
-            F.lit("<"), F.upper(s["kind"]), F.lit(">")).alias("out")),
-        lambda a: F.concat(a["out"], F.substring("text", a["at"] + 1, F.length("text"))))
-    text = F.when(F.size("pii") > 0, pieces).otherwise(F.col("text"))
-    out = found.withColumn("text", text)
-    if "n_chars" in documents.columns:
-        kind = documents.schema["n_chars"].dataType
-        out = out.withColumn("n_chars", F.when(F.size("pii") > 0, F.length("text").cast(kind)).otherwise(F.col("n_chars")))
-    return out.select(*documents.columns)
+    def written_out(pieces: Column) -> Column:
+        parts = F.transform(_opening(F.col("pii")), lambda o: F.concat(
+            _between(pieces, o["upto"], o["start"]), F.lit("<"), F.upper(o["kind"]), F.lit(">")))
+        last = F.array_max(F.transform("pii", lambda s: s["end"]))
+        return F.concat(F.array_join(parts, ""), _between(pieces, last, F.length("t")))
+
+    hit = F.size("pii") > 0
+    out = _found(documents).withColumn("redacted", F.when(hit, let(_pieces(F.col("t")), written_out)))
+    columns = []
+    for f in documents.schema.fields:
+        old = F.col("row").getField(f.name)
+        if f.name == "text":
+            old = F.when(hit, F.col("redacted")).otherwise(old)
+        elif f.name == "n_chars":
+            old = F.when(hit, F.length("redacted").cast(f.dataType)).otherwise(old)
+        columns.append(old.alias(f.name))
+    return out.select(*columns)
