@@ -49,7 +49,9 @@ NEGATIVE_WORDS = set(
 NEGATIVE_IN_LANDMARKS = set("comment comments reply replies ad ads advert related teaser sponsored promo hidden".split())
 POSITIVE_WORDS = set("article content main post entry story body text articlebody maincontent".split())
 
-TOKEN = re.compile(r"<!--.*?(?:-->|$)|<!\[CDATA\[.*?(?:\]\]>|$)|</?[a-zA-Z][^\s/>]*(?:[^>\"']|\"[^\"]*\"|'[^']*')*>|</?[a-zA-Z][^>]*>"
+# attributes: quotes only count right after an equals sign; an apostrophe inside an unquoted value is part of it
+ATTRIBUTES = r"(?>[\s/]++|=?[^\s/>=]++(?:\s*+=\s*+(?>\"[^\"]*+\"|'[^']*+'|[^\s>]*+))?+|=)*+"
+TOKEN = re.compile(rf"<!--.*?(?:-->|$)|<!\[CDATA\[.*?(?:\]\]>|$)|</?[a-zA-Z][^\s/>]*+{ATTRIBUTES}>|</?[a-zA-Z][^>]*>"
                    r"|<[!?/][^>]*>|<[!?/a-zA-Z][^>]*$|[^<]+|<", re.S)
 NAME = re.compile(r"</?([a-zA-Z][^\s/>]*)")
 ATTR = re.compile(r"(?:class|id|role|itemprop)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
@@ -68,7 +70,7 @@ FEATURES = ("hint", "links", "length", "sentence")
 def _ends(tag: str, source: str) -> dict[int, int]:
     """Where each closed element of ``tag`` ends, by where it starts."""
     found, opened = {}, []
-    for m in re.finditer(rf"<!--.*?(?:-->|$)|<(script|style|textarea)\b.*?</\1\b[^>]*>|<(/?){tag}(?=[\s/>])(?:[^>\"']|\"[^\"]*\"|'[^']*')*>",
+    for m in re.finditer(rf"<!--.*?(?:-->|$)|<(script|style|textarea)\b.*?</\1\b[^>]*>|<(/?){tag}(?=[\s/>]){ATTRIBUTES}>",
                          source, re.I | re.S):
         if m.group(2) == "/":
             if opened:
@@ -92,13 +94,13 @@ class Page:
             self.linked[p] += self.linked[i]
             self.sentences[p] += self.sentences[i]
         # a wrapper with a negative name around the marked main text says nothing about it
-        for i in range(1, len(self.tag)):
-            if self.hint[i] in (LAND, POSITIVE):
-                p = self.parent[i]
-                while p > 0:
-                    if self.hint[p] == NEGATIVE and 2 * self.chars[i] > self.chars[p]:
-                        self.hint[p] = NONE
-                    p = self.parent[p]
+        marked = [0] * len(self.tag)  # characters of the largest marked node below
+        for i in range(len(self.tag) - 1, 0, -1):
+            p = self.parent[i]
+            own = self.chars[i] if self.hint[i] in (LAND, POSITIVE) else 0
+            marked[p] = max(marked[p], marked[i], own)
+            if self.hint[i] == NEGATIVE and 2 * marked[i] > self.chars[i]:
+                self.hint[i] = NONE
         for i in range(1, len(self.tag)):
             if self.hint[i] == NONE:
                 self.hint[i] = BELOW.get(self.hint[self.parent[i]], NONE)
@@ -116,6 +118,7 @@ class Page:
     def _read(self, source: str) -> None:
         stack, pieces, linked, in_link, at, n = [0], [], 0, False, 0, len(source)
         ends: dict[str, dict[int, int]] = {}
+        opened: Counter = Counter()  # elements on the stack, the root aside
         while at < n:
             m = TOKEN.match(source, at)
             if m is None:
@@ -149,17 +152,19 @@ class Page:
                 self._flush(stack[-1], pieces, linked)
                 linked, in_link = 0, False
                 if closing:
-                    depth = len(stack) - 1
-                    while depth > 0 and self.tag[stack[depth]] != tag:
-                        depth -= 1
-                    if depth > 0:
-                        del stack[depth:]
+                    if opened[tag]:
+                        while True:
+                            last = self.tag[stack.pop()]
+                            opened[last] -= 1
+                            if last == tag:
+                                break
                     continue
-                if self.tag[stack[-1]] == "p" or self.tag[stack[-1]] in CLOSED_BY.get(tag, ()):
-                    stack.pop()
+                if len(stack) > 1 and (self.tag[stack[-1]] == "p" or self.tag[stack[-1]] in CLOSED_BY.get(tag, ())):
+                    opened[self.tag[stack.pop()]] -= 1
                 if tag in ("html", "body"):
                     continue  # the root stands for both
                 self._open(tag, tok, stack)
+                opened[tag] += tag not in VOID
         self._flush(stack[-1], pieces, linked)
 
     def _open(self, tag: str, tok: str, stack: list[int]) -> None:
