@@ -32,7 +32,9 @@ from .common import _B, _BI, _powers, chunks, mix, n_partitions, tidy, written
 from .ngram_join import by_group
 
 CAPACITY, EOS = 2048, 0
-BLOCK, ISLANDS, EPOCHS, GENERATIONS, POPULATION, INJECTED = 4096, 2, 2, 3, 4, 0.3
+BLOCK, ISLANDS, EPOCHS, POPULATION, INJECTED = 4096, 2, 2, 6, 0.3
+GENERATIONS, PATIENCE = 40, 4  # at most, and without a better individual
+SLACK = 24  # tokens that an exact completion of a sequence may leave free
 CACHE = 200_000  # cuts that an encoder keeps, about 60 bytes each
 ENCODED_BYTES = 256 << 10  # text bytes encoded at once, about 60 bytes of arrays each
 
@@ -187,15 +189,72 @@ class Individual:
         self.score = (-len(bins), sum((f / capacity) ** 2 for f in self.fill))  # fewer bins, then uneven fill
 
 
-def _seeded(size: list[int], capacity: int, rng: random.Random, noise: float) -> Individual:
-    order = sorted(range(len(size)), key=lambda i: -size[i] * (1 + noise * rng.random()))
-    bins, free = [], []
-    _best_fit(bins, free, order, size, capacity)
+def _completed(items: list[int], size: list[int], capacity: int, rng: random.Random, noise: float) -> list[list[int]]:
+    """Bins of ``items``: each begins with a long one (by chance ``noise`` not the longest) and takes the one or two pieces
+    that fill it best, looked up in a bitmap of the lengths left and its mirror image."""
+    by: dict[int, list[int]] = {}
+    for it in items:
+        by.setdefault(size[it], []).append(it)
+    mask = mirror = 0
+    for s in by:
+        mask |= 1 << s
+        mirror |= 1 << (capacity - s)
+    left, bins = len(items), []
+
+    def take(s: int) -> int:
+        nonlocal mask, mirror, left
+        row = by[s]
+        it = row.pop()
+        left -= 1
+        if not row:
+            mask &= ~(1 << s)
+            mirror &= ~(1 << (capacity - s))
+        return it
+
+    def filling(free: int) -> tuple[int, ...]:
+        """Lengths of one or two pieces that leave least free, else the longest that fits."""
+        for t in range(free, max(0, free - SLACK), -1):
+            if mask >> t & 1:
+                return (t,)
+            pairs = mask & (mirror >> (capacity - t)) & ((1 << t) - 1)
+            while pairs:
+                x = pairs.bit_length() - 1
+                if 2 * x != t or len(by[x]) > 1:
+                    return x, t - x
+                pairs &= ~(1 << x)
+        return ((mask & ((2 << free) - 1)).bit_length() - 1,)
+
+    while left:
+        s = mask.bit_length() - 1
+        if noise and rng.random() < noise:
+            least = int(s * (0.5 + 0.5 * rng.random()))
+            above = mask >> least
+            s = least + (above & -above).bit_length() - 1
+        row, free = [take(s)], capacity - s
+        while free > 0 and mask & ((2 << free) - 1):
+            for x in filling(free):
+                row.append(take(x))
+                free -= x
+        bins.append(row)
+    return bins
+
+
+def _seeded(size: list[int], capacity: int, rng: random.Random, noise: float | None) -> Individual:
+    """Best fit, longest first (no noise given), or bins completed one by one."""
+    order = sorted(range(len(size)), key=lambda i: -size[i])
+    if noise is not None:
+        return Individual(_completed(order, size, capacity, rng, noise), size, capacity)
+    bins: list[list[int]] = []
+    _best_fit(bins, [], order, size, capacity)
     return Individual(bins, size, capacity)
 
 
 def _cross(a: Individual, b: Individual, size: list[int], capacity: int, rng: random.Random) -> Individual:
-    """b's best-filled bins whole, a's bins that do not clash, the displaced by best fit."""
+    """b's best-filled bins whole, a's bins that do not clash, the displaced by best fit.
+
+    The emptiest bins are opened as well; of their pieces and the displaced, well-filled bins are made again as far
+    as they go, and the pieces of the others are put back by best fit, longest first.
+    """
     ranked = sorted(range(len(b.bins)), key=lambda i: -b.fill[i] + rng.random() * 0.01 * capacity)
     given = ranked[: max(1, int(INJECTED * len(ranked) * (0.5 + rng.random())))]
     inside = bytearray(len(size))
@@ -209,11 +268,20 @@ def _cross(a: Individual, b: Individual, size: list[int], capacity: int, rng: ra
         else:
             bins.append(x[:])
             free.append(capacity - f)
-    # the emptiest bins are opened too, so that their pieces can fill gaps
-    worst = sorted(range(len(bins)), key=lambda i: -free[i])[: max(1, len(bins) // 50)]
-    for i in sorted(worst, reverse=True):
+    worst = sorted(range(len(bins)), key=lambda i: -free[i])[: max(1, len(bins) // 20)]
+    worst += [i for i in range(len(bins)) if free[i] > SLACK]
+    for i in sorted(set(worst), reverse=True):
         loose += bins.pop(i)
         free.pop(i)
+    again = _completed(loose, size, capacity, rng, rng.random())
+    loose = []
+    for x in again:
+        f = capacity - sum(size[it] for it in x)
+        if f <= SLACK:
+            bins.append(x)
+            free.append(f)
+        else:
+            loose += x
     loose.sort(key=lambda it: -size[it])
     _best_fit(bins, free, loose, size, capacity)
     return Individual(bins, size, capacity)
@@ -228,17 +296,22 @@ def evolve(size: list[int], capacity: int, seeds: list[list[int]], seed: int) ->
         for it, b in enumerate(assigned):
             bins.setdefault(b, []).append(it)
         pop.append(Individual(list(bins.values()), size, capacity))
-    while len(pop) < POPULATION:
-        pop.append(_seeded(size, capacity, rng, 0.0 if not pop else 0.1 * len(pop)))
     bound = -(-sum(size) // capacity)
+    if not any(len(p.bins) == bound for p in pop):  # a block at its bound is done
+        pop.append(_seeded(size, capacity, rng, None))
+    while len(pop) < POPULATION and not any(len(p.bins) == bound for p in pop):
+        pop.append(_seeded(size, capacity, rng, 0.2 * (len(pop) - 1)))
+    pop.sort(key=lambda p: p.score, reverse=True)
+    idle = 0
     for _ in range(GENERATIONS):
-        pop.sort(key=lambda p: p.score, reverse=True)
-        if len(pop[0].bins) == bound:
-            break  # no packing has fewer
-        for other in (1, 2):
-            if other < len(pop):
-                pop.append(_cross(pop[0], pop[other], size, capacity, rng))
+        if len(pop[0].bins) == bound or idle == PATIENCE:
+            break  # no packing has fewer, or none better was found for long
+        before = pop[0].score
+        for _ in range(2):
+            x, y = sorted(rng.sample(range(len(pop)), 2))
+            pop.append(_cross(pop[x], pop[y], size, capacity, rng))
         pop = sorted(pop, key=lambda p: p.score, reverse=True)[:POPULATION]
+        idle = 0 if pop[0].score > before else idle + 1
     best = max(pop, key=lambda p: p.score)
     out = [0] * len(size)
     for b, x in enumerate(best.bins):
