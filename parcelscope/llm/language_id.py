@@ -9,8 +9,9 @@ Evidence of a text in language l:
 * host: P(l | host), smoothed towards its domain, which is smoothed towards the whole input.
 
 The trigram model is trained, for every declared language, on a sample of about ``TRAIN_ROWS`` of the texts
-that declare it (all, if there are fewer), however small its share of the rows; a language whose texts have no
-cell in common among ``MIN_TEXTS`` of them is not modelled.  The other three come from grouped counts over all rows (of the
+that declare it (all, if there are fewer), however small its share of the rows.  Not modelled are languages whose texts have no
+cell in common among ``MIN_TEXTS`` of them, and those beyond the ``MODELS`` most declared values (a model is 256 KB in
+every task): a row that declares such a language keeps it where no modelled language is likelier than noise.  The other three come from grouped counts over all rows (of the
 most likely language by text alone).  Rows meet the tables in equi-joins on small rows
 (no texts), which adaptive execution can split; nothing is broadcast by hand.
 
@@ -38,6 +39,7 @@ HOST_PRIOR, DOMAIN_PRIOR, EVIDENCE_PRIOR = 10.0, 20.0, 5.0
 UND = "und"
 UND_PRIOR = 1e-3
 MIN_TEXTS = 3
+MODELS = 200  # languages that are modelled
 SCORED_BYTES = 512 << 10  # text bytes scored at once
 HELD = 64  # languages whose sums a training task holds at once
 
@@ -99,7 +101,8 @@ def _added(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def train(rows: DataFrame, sample_rows: int = TRAIN_ROWS) -> tuple[list[str], np.ndarray]:
     """Languages and log P(cell | language), one row each, from a sample of each language chosen by hash."""
     seen = rows.filter("declared is not null").groupBy("declared").count().filter(F.col("count") >= MIN_TEXTS)
-    seen = {r["declared"]: r["count"] for r in seen.collect()}  # one row per declared language
+    seen = seen.orderBy(F.desc("count"), "declared").limit(MODELS)
+    seen = {r["declared"]: r["count"] for r in seen.collect()}  # MODELS rows at most
     if not seen:
         return [], np.zeros((0, TABLE), np.float32)
     rate = {l: n // sample_rows for l, n in seen.items() if n >= 2 * sample_rows}
@@ -186,6 +189,7 @@ def identify(rows: DataFrame) -> DataFrame:
     joined = joined.withColumn("lp", logp).withColumn("m", F.array_max("lp"))
     rest = F.aggregate("lp", F.lit(0.0), lambda a, x: a + F.exp(x - F.col("m")))
     lang = F.element_at(F.array(*[F.lit(x) for x in names]), F.array_position("lp", F.col("m")).cast("int"))
+    lang = F.when((lang == UND) & (F.col("d") != "") & ~F.col("d").isin(names), F.col("d")).otherwise(lang)  # a language without a model
     return joined.select("kind", "id", lang.alias("lang"), (1 / rest).alias("probability"), (lang != UND).alias("kept"))
 
 
