@@ -404,7 +404,7 @@ def test_language_id_of_rare_languages(spark):
 def test_registered_sql(spark):
     import duckdb
     con = duckdb.connect()
-    for t in ("documents", "benchmark", "conversations"):
+    for t in ("documents", "benchmark", "conversations", "pages"):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM '{SF_SMALL}/{t}.parquet'")
     for key, sql in queries.SQL.items():
         df = queries.QUERIES[key](spark, SF_SMALL)
