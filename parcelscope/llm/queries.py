@@ -87,6 +87,44 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f fo
     op12_conversation_repair, op13_warc)}
 
 SQL = {
+    "op2_ngram_jaccard_join": r"""
+WITH RECURSIVE d AS (
+  SELECT doc_id, list_filter(string_split_regex(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w
+  FROM documents
+), s AS (
+  SELECT DISTINCT doc_id, list_slice(w, i, i + 3) AS shingle
+  FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 3, 1) + 1)) AS i FROM d WHERE len(w) > 0)
+), n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id
+), links AS (
+  SELECT a.doc_id AS a, b.doc_id AS b FROM s a JOIN s b ON a.shingle = b.shingle AND a.doc_id <> b.doc_id
+  JOIN n x ON x.doc_id = a.doc_id JOIN n y ON y.doc_id = b.doc_id
+  GROUP BY a.doc_id, b.doc_id, x.n, y.n HAVING 100 * count(*) >= 85 * (x.n + y.n - count(*))
+), reach AS (
+  SELECT a, b FROM links UNION SELECT r.a, l.b FROM reach r JOIN links l ON l.a = r.b
+)
+SELECT d.doc_id, coalesce(n.n, 0)::BIGINT AS n_shingles,
+  least(d.doc_id, coalesce((SELECT min(b) FROM reach WHERE reach.a = d.doc_id), d.doc_id)) AS component_id,
+  (SELECT count(*) FROM links WHERE links.a = d.doc_id)::BIGINT AS n_links
+FROM d LEFT JOIN n ON n.doc_id = d.doc_id""",
+    "op7_substring_dedup": r"""
+WITH d AS (
+  SELECT doc_id, list_filter(string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w FROM documents
+), occ AS (
+  SELECT doc_id, i, list_slice(w, i, i + 19) AS win FROM (SELECT doc_id, w, unnest(range(1, len(w) - 18)) AS i FROM d WHERE len(w) >= 20)
+), later AS (
+  SELECT doc_id, i FROM (SELECT doc_id, i, row_number() OVER (PARTITION BY win ORDER BY doc_id, i) AS k FROM occ) WHERE k > 1
+), gone AS (SELECT DISTINCT doc_id, unnest(range(i, i + 20)) AS p FROM later
+), words AS (
+  SELECT x.doc_id, x.p, x.word, g.p IS NOT NULL AS removed
+  FROM (SELECT doc_id, unnest(range(1, len(w) + 1)) AS p, unnest(w) AS word FROM d) x
+  LEFT JOIN gone g ON g.doc_id = x.doc_id AND g.p = x.p
+), per AS (
+  SELECT doc_id, count(*) FILTER (WHERE removed) AS n_removed, string_agg(word, ' ' ORDER BY p) FILTER (WHERE NOT removed) AS kept
+  FROM words GROUP BY doc_id
+)
+SELECT d.doc_id, len(w)::BIGINT AS n_words, coalesce(n_removed, 0)::BIGINT AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256
+FROM d LEFT JOIN per ON per.doc_id = d.doc_id""",
     "op5_chat_formatting": r"""
 WITH c AS (
   SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
