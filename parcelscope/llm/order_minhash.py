@@ -13,7 +13,7 @@ k-mer | position) integers numbers the occurrences, a second one of (item | posi
 
 The fingerprint is ``BINS`` groups of four characters (hex; ``....``: an empty bin).
 Likeness = equal entries / bins filled in either (1.0 if both have none).  Null
-texts are empty.  Any text length works; positions are kept modulo 2**20.  Repeated rows and
+texts are empty.  Any text length works: a string of Spark's has fewer than 2**30 words, the places there are.  Repeated rows and
 ids each keep their row; equal texts have equal fingerprints.
 """
 
@@ -26,7 +26,8 @@ from pyspark.sql.window import Window
 K = 2
 BINS = 64
 SELECTED = 256
-BIN_BITS, HASH_BITS, POS_BITS = 6, 37, 20  # 63 together; the bin is the low bits of the hash
+BIN_BITS, HASH_BITS, POS_BITS = 6, 33, 30  # the last two 63 together; the bin is the low bits of the hash
+PARTS = 6  # bits: ranges that the rows of one frequent key (or without one) are dealt to
 LOW_HASH, LOW_POS = (1 << HASH_BITS) - 1, (1 << POS_BITS) - 1
 EMPTY = -1
 
@@ -58,7 +59,7 @@ def _with_codes(df: DataFrame, text: str, out: str) -> DataFrame:
         F.shiftright(x, POS_BITS + BIN_BITS))
     binned = F.transform(least, lambda x: F.shiftleft(to_bin(x), POS_BITS).bitwiseOR(x.bitwiseAND(F.lit(LOW_POS))))
     shift = HASH_BITS - BIN_BITS + POS_BITS
-    sentinel = lambda b: F.shiftleft(b.cast("long") + 1, shift) - 1
+    sentinel = lambda b: F.shiftleft(b.cast("long"), shift).bitwiseOR(F.lit((1 << shift) - 1))
     closing = F.transform(F.sequence(F.lit(0), F.lit(BINS - 1)), sentinel)
     df = df.withColumn(s, F.sort_array(F.concat(binned, closing)))
     is_end = lambda x: x.bitwiseAND(F.lit((1 << shift) - 1)) == (1 << shift) - 1
@@ -99,34 +100,35 @@ def fingerprints(documents: DataFrame) -> DataFrame:
 def with_next(documents: DataFrame, columns: list[str], key: str = "doc_id") -> DataFrame:
     """Adds ``next_<c>`` of the row with the next smaller key (after the last: of the first).
 
-    Keys are dealt to ranges between quantiles; the first row of each range is also
+    Keys are dealt to ranges between quantiles, and a key that several quantiles name, as the rows without a key, to
+    ranges of the tie hash; the first row of each range is also
     given to the range before it, so that one shuffle of the rows is enough and no window spans
-    the table.  Ties are ordered by the hash of the columns; null keys come last.
+    the table.  Ties are ordered by the hash of the columns; null keys come last.  The ranges' first rows are a
+    broadcast table of one row a range: as many as shuffle partitions, and 2**PARTS for each frequent key, of which there are fewer.
     """
     spark = documents.sparkSession
     n = max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
     k = F.col(key).cast("double")
-    cuts = documents.select(F.percentile_approx(k, [i / n for i in range(1, n)] or [0.5], 10000).alias("q")).first()["q"] or []
-    cuts = sorted(set(cuts))
-    # ranges count upwards as keys fall
+    found = documents.select(F.percentile_approx(k, [i / n for i in range(1, n)] or [0.5], 10000).alias("q")).first()["q"] or []
+    cuts = sorted(set(found))
+    frequent = [c for c in cuts if found.count(c) > 1]
+    # ranges count upwards as keys fall, and in a key as its ties fall
     rng = F.when(k.isNull(), len(cuts) + 1).otherwise(F.size(F.filter(
         F.array(*[F.lit(c) for c in cuts]).cast("array<double>"), lambda c: c >= k)))
-    tie = F.xxhash64(columns[0])
-    d = documents.withColumn("_r", rng).withColumn("_tie", tie)
+    by_tie = F.shiftright(F.bitwise_not("_tie"), 64 - PARTS) + (1 << PARTS - 1)
+    split = k.isNull() | (k.isin(frequent) if frequent else F.lit(False))
+    d = documents.withColumn("_tie", F.xxhash64(columns[0])).withColumn(
+        "_r", rng.cast("long") * (2 << PARTS) + F.when(split, by_tie).otherwise(1 << PARTS))
     order = F.struct(F.col(key).isNotNull().alias("some"), F.col(key).alias("key"), F.col("_tie").alias("tie"))
-    heads = sorted(d.groupBy("_r").agg(F.max(order).alias("first")).collect(), key=lambda r: r["_r"])  # one row per range
-    if not heads:
-        return documents.select("*", *[F.lit(None).cast(documents.schema[c].dataType).alias(f"next_{c}") for c in columns])
-    before = {heads[i]["_r"]: heads[i - 1]["_r"] for i in range(len(heads))}
-    is_head = F.lit(False)
-    for h in heads:
-        f = h["first"]
-        is_head = is_head | ((F.col("_r") == h["_r"]) & F.col(key).eqNullSafe(F.lit(f["key"])) & (F.col("_tie") == f["tie"]))
-    prev = F.create_map(*[x for r, p in before.items() for x in (F.lit(r), F.lit(p))])[F.col("_r")]
+    firsts = d.groupBy("_r").agg(F.max(order).alias("_first"))
+    over_all = Window.orderBy("_r")  # one row for each range
+    before = F.coalesce(F.lag("_r").over(over_all), F.max("_r").over(over_all.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)))
+    d = d.join(F.broadcast(firsts.select("_r", "_first", before.alias("_before"))), "_r")
+    is_head = F.col(key).eqNullSafe(F.col("_first.key")) & (F.col("_tie") == F.col("_first.tie"))
     own = F.struct(F.col("_r").alias("r"), F.lit(False).alias("ghost"))
-    d = d.withColumn("_to", F.explode(F.when(is_head, F.array(own, F.struct(prev.alias("r"), F.lit(True).alias("ghost"))))
+    d = d.withColumn("_to", F.explode(F.when(is_head, F.array(own, F.struct(F.col("_before").alias("r"), F.lit(True).alias("ghost"))))
                                       .otherwise(F.array(own))))
-    d = d.select("*", F.col("_to.r").alias("_w"), F.col("_to.ghost").alias("_ghost")).drop("_to", "_r")
+    d = d.select("*", F.col("_to.r").alias("_w"), F.col("_to.ghost").alias("_ghost")).drop("_to", "_r", "_first", "_before")
     w = Window.partitionBy("_w").orderBy("_ghost", F.col(key).desc_nulls_last(), F.col("_tie").desc())
     d = d.select("*", *[F.lead(c).over(w).alias(f"next_{c}") for c in columns])
     return d.filter(~F.col("_ghost")).drop("_w", "_ghost", "_tie")
