@@ -143,6 +143,13 @@ def tidy(run):
     return task
 
 
+def slices(batches: Iterator[pa.RecordBatch], rows: int = 1000) -> Iterator[pa.RecordBatch]:
+    """Batches cut (without copying) to ``rows`` rows, so that what is made of one in Python stays small."""
+    for b in batches:
+        for at in range(0, b.num_rows, rows):
+            yield b.slice(at, rows)
+
+
 def chunks(*columns: list, size=lambda row: len(row[-1]), limit: int = CHUNK_BYTES):
     """Rows of parallel columns in runs of about ``limit`` bytes, CHUNK_ROWS at most (the last column holds bytes)."""
     part, held = [], 0

@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import chunks, n_partitions, tidy, without, written
+from .common import chunks, n_partitions, slices, tidy, without, written
 
 TABLE = 1 << 16
 TRAIN_ROWS = 8000  # texts of each declared language
@@ -124,7 +124,7 @@ def _scored(logs: np.ndarray):
     uniform = np.float64(-np.log(TABLE))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in slices(batches):
             keep = [b.column(i) for i in range(b.num_columns - 1)]
             kinds = b.column(0).to_pylist()
             texts = [_plain(k, x) for k, x in zip(kinds, b.column(b.num_columns - 1).to_pylist())]

@@ -33,11 +33,12 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import chunks, n_partitions, tidy, window_hashes, without, word_hashes, written
+from .common import chunks, n_partitions, slices, tidy, window_hashes, without, word_hashes, written
 from .graph import components
 
 NGRAM, PERCENT = 4, 85
 BLOCK = 2000
+HASHED_BYTES = 512 << 10  # text bytes hashed at once, about 60 bytes of arrays each
 LEAF, FAN, BITS = 32, 8, 1024
 
 
@@ -67,8 +68,8 @@ def _bytes(column: pa.Array) -> list[bytes]:
 
 def _keys_of(n: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            for ids, texts in chunks(b.column(0).to_pylist(), _bytes(b.column(1))):
+        for b in slices(batches):
+            for ids, texts in chunks(b.column(0).to_pylist(), _bytes(b.column(1)), limit=HASHED_BYTES):
                 sets = shingle_sets(texts, n)
                 yield pa.RecordBatch.from_arrays([
                     pa.array(ids, pa.int64()), pa.array([_key(s) if len(s) else None for s in sets], pa.int64()),
@@ -84,8 +85,8 @@ def _dealt(n: int, ranges: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()
         number = TaskContext.get().partitionId() << 32
-        for b in batches:
-            for (texts,) in chunks(_bytes(b.column(0))):
+        for b in slices(batches):
+            for (texts,) in chunks(_bytes(b.column(0)), limit=2 * HASHED_BYTES):
                 keys, sets = [], []
                 for s in shingle_sets(texts, n):
                     k = _key(s)

@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .common import _B, _BI, _powers, chunks, mix, n_partitions, tidy, written
+from .common import _B, _BI, _powers, chunks, mix, n_partitions, slices, tidy, written
 from .ngram_join import by_group
 
 CAPACITY, EOS = 2048, 0
@@ -135,7 +135,7 @@ def _pieces(path: str, capacity: int):
         enc = _ENCODERS.setdefault(path, None) or Encoder(path)
         _ENCODERS[path] = enc  # its vocabulary is kept by the Python worker for its next task, its cuts are not
         enc._forget()
-        for b in batches:
+        for b in slices(batches):
             texts = [x or b"" for x in b.column(1).to_pylist()]
             for docs, part in chunks(b.column(0).to_pylist(), texts, limit=ENCODED_BYTES):
                 ids, counts = enc.ids(part)
