@@ -44,6 +44,11 @@ def _is_text(df: DataFrame, c: str) -> bool:
     return isinstance(df.schema[c].dataType, T.StringType)
 
 
+def _reads_text(df: DataFrame, name: str) -> bool:
+    """Whether numbers or timestamps of table ``name`` are still text in ``df``."""
+    return any(not isinstance(f.dataType, T.StringType) and _is_text(df, f.name) for f in SCHEMAS[name].fields)
+
+
 # A plain decimal number; anything else ('NaN', '1.5d', 'x') is text that cannot be read.
 NUMBER = "^ *[+-]?([0-9]+([.][0-9]*)?|[.][0-9]+)([eE][+-]?[0-9]+)? *$"
 
@@ -124,6 +129,16 @@ class Split(tuple):
         return self[1]
 
 
+def parsed_once(typed: DataFrame) -> DataFrame:
+    """The same rows; what is asked of them afterwards reads finished values.
+
+    A filter is otherwise moved below the projection that parses text, and every expression it names is
+    then copied into it: a cell is rendered, matched and cast again for each check that looks at it, and once more
+    for the output.  Nothing is moved through the one-element ``inline``.
+    """
+    return typed.selectExpr(f"inline(array(struct({', '.join(ident(c) for c in typed.columns)})))")
+
+
 def split_by_reason(typed: DataFrame, checks: list[tuple[Column, str]], keep: list[str]) -> Split:
     """Rows failing no check are clean; the others get the first failing check's reason.
 
@@ -159,6 +174,8 @@ def conform(raw: DataFrame, name: str, overrides: dict[str, str] | None = None,
         for c in (whole_number_cols or []) if _is_text(raw, c)
     ]
     typed = raw.selectExpr(*typed_sql(raw, name, overrides), *[e for e, _ in fraction_flags])
+    if _reads_text(raw, name):
+        typed = parsed_once(typed)
     checks = [(F.col(f"_frac_{c}"), f"non_integer:{c}") for _, c in fraction_flags]
     checks += [(F.col(f.name).isNull(), f"null_in_required:{f.name}")
                for f in SCHEMAS[name].fields
@@ -184,6 +201,8 @@ def clean_orders(raw: DataFrame) -> tuple[DataFrame, DataFrame]:
     """
     cols = [f.name for f in SCHEMAS["orders"].fields]
     typed = raw.selectExpr(*typed_sql(raw, "orders"))
+    if _reads_text(raw, "orders"):
+        typed = parsed_once(typed)
     carrier_first, customer_first = order_anomalies()
     checks = [(carrier_first & customer_first, BOTH_REASONS), (customer_first, CUSTOMER_BEFORE_CARRIER),
               (carrier_first, CARRIER_BEFORE_APPROVED)]
