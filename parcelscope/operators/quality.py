@@ -136,13 +136,13 @@ def value_counts(df: DataFrame, cols: list[str]) -> DataFrame:
 def duplicate_census(tables: Mapping[str, DataFrame]) -> DataFrame:
     """Total rows, distinct rows and duplicates per table.
 
-    Rows are counted by their hash first; only rows whose hash repeats are compared as a whole (``spread.row_groups``).
+    Rows are counted by their hash first; only rows whose hash may repeat are moved and compared as a whole (``spread.row_groups``).
     Each table contributes one row.
     """
     parts = []
     for name, df in tables.items():
         repeated, by_hash = row_groups(df, "__m")
-        parts.append(by_hash.agg(F.coalesce(F.sum("_n"), F.lit(0)).alias("total"), F.count_if(F.col("_n") == 1).alias("unique"))
+        parts.append(by_hash.agg(F.coalesce(F.sum("_n"), F.lit(0)).alias("total"), F.count_if(~F.col("_marked")).alias("unique"))
                      .crossJoin(repeated.agg(F.count(F.lit(1)).alias("groups")))  # one row each
                      .select(F.lit(name).alias("table_name"), F.col("total").alias("total_rows"),
                              (F.col("unique") + F.col("groups")).alias("distinct_rows")))

@@ -6,7 +6,7 @@ dimension's rows of these keys are repeated once for each salt.  No other row is
 matching dimension row exactly once, whichever keys the sample finds.
 
 ``row_groups``: equal rows of a wide table.  Rows are first counted by a hash of all their columns, so only eight bytes of each
-move; the rows themselves are compared only where a hash repeats.
+move; the rows themselves are moved and compared only where a hash repeats (or shares a bit with one that does).
 """
 
 from __future__ import annotations
@@ -19,6 +19,9 @@ SAMPLE, SAMPLE_ROWS = 0.01, 32  # share of the facts looked at, and how often a
 SALTS = 64
 SPREAD_BYTES = 1 << 30  # facts that the planner takes to be smaller are joined as they are
 SEED = 17
+MARK_BITS = 27  # bits of a row's hash that say whether the row may have an equal
+BITMAP = 32768  # bits of one bitmap of ``bitmap_construct_agg``
+_BUCKET = f"shiftright(_h, 15) & {(1 << MARK_BITS) // BITMAP - 1}"
 
 
 def planned_bytes(df: DataFrame) -> int:
@@ -57,12 +60,27 @@ def row_hash(df: DataFrame) -> Column:
     return F.xxhash64(*[F.col(c) for c in df.columns])
 
 
+def _marks(again: DataFrame) -> DataFrame:
+    """Bitmaps (``_bucket``, ``_bits``) of the low ``MARK_BITS`` of the hashes ``_h``: 16 MB, however many there are."""
+    return (again.select(F.expr(_BUCKET).alias("_bucket"), F.expr(f"_h & {BITMAP - 1}").alias("_at"))
+            .groupBy("_bucket").agg(F.bitmap_construct_agg("_at").alias("_bits")))
+
+
+def _marked(rows: DataFrame, marks: DataFrame) -> DataFrame:
+    """``rows`` with ``_marked``: whether the bit of their hash ``_h`` is set.  Nothing is shuffled."""
+    known = F.broadcast(marks.select(F.col("_bucket").alias("_b"), "_bits"))
+    return (rows.join(known, F.expr(_BUCKET) == F.col("_b"), "left")
+            .withColumn("_marked", F.expr(f"coalesce(shiftright(CAST(conv(hex(substring(_bits, CAST((_h & {BITMAP - 1}) / 8 AS INT) + 1, 1)), 16, 10) "
+                                          "AS INT), CAST(_h & 7 AS INT)) & 1, 0) = 1")).drop("_b", "_bits"))
+
+
 def row_groups(df: DataFrame, count: str, hashed=row_hash) -> tuple[DataFrame, DataFrame]:
-    """(rows that occur more than once or share a hash, with ``count``; (hash, n) of all rows).
+    """(groups of equal rows among those marked, with ``count``; (``_h``, ``_n``, ``_marked``) of the hashes of all rows).
 
-    A row whose hash occurs once is unique; only the others are read whole and grouped by all their columns.
+    Marked are all rows whose hash occurs more than once, and the few whose hash shares a bit with such a one; the others are
+    unique.  Marks are broadcast, so an unmarked row is never moved: only its hash is.
     """
     by_hash = df.select(hashed(df).alias("_h")).groupBy("_h").agg(F.count(F.lit(1)).alias("_n"))
-    again = by_hash.filter("_n > 1").select(F.col("_h").alias("_again"))
-    rows = df.withColumn("_h", hashed(df)).join(again, F.col("_h") == F.col("_again"), "left_semi")
-    return rows.groupBy(*df.columns).agg(F.count(F.lit(1)).alias(count)), by_hash
+    marks = _marks(by_hash.filter("_n > 1"))
+    rows = _marked(df.withColumn("_h", hashed(df)), marks).filter("_marked")
+    return rows.groupBy(*df.columns).agg(F.count(F.lit(1)).alias(count)), _marked(by_hash, marks)
