@@ -14,6 +14,7 @@ from __future__ import annotations
 
 import os
 
+from pyspark import StorageLevel
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -50,7 +51,15 @@ def log_batch(spark: SparkSession, lake: str, name: str, batch_id: int) -> None:
 
 def _write_batch(lake: str, name: str):
     def write(rows: DataFrame, batch_id: int) -> None:
-        flagged = TRANSFORMS[name](rows).flagged
+        # dealing rows to ranges reads them twice; kept, they are parsed once and the state store is asked and committed once
+        typed = TRANSFORMS[name](rows).flagged.persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            store(typed, batch_id)
+        finally:
+            typed.unpersist()
+        log_batch(rows.sparkSession, lake, name, batch_id)
+
+    def store(flagged: DataFrame, batch_id: int) -> None:
         folders = [REJECTED_FLAG]
         if name in PARTITIONS:
             col, expr = PARTITIONS[name]
@@ -60,7 +69,6 @@ def _write_batch(lake: str, name: str):
             flagged = clustered(flagged, name)
         path = os.path.join(lake, REFINED, name, f"{BATCH}={batch_id}")
         flagged.write.mode("overwrite").partitionBy(*folders).parquet(path)
-        log_batch(rows.sparkSession, lake, name, batch_id)
     return write
 
 
