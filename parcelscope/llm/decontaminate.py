@@ -26,7 +26,8 @@ from .common import ascii_lower, without, written
 
 WINDOW = 10
 BROADCAST_BYTES = 64 << 20  # upper bound of what the vocabulary or the prefix index holds
-SEPARATOR = r"[\x00-\x2F\x3A-\x60\x7B-\x7F&&[^A-Z]]+"  # Java: ASCII outside 0-9, a-z, A-Z
+# Java: ASCII outside 0-9, a-z, A-Z; one by one, as a class of single characters is looked up in a table, one of ranges tested range by range
+SEPARATOR = "[" + "".join(f"\\x{c:02X}" for c in range(128) if not chr(c).isalnum()) + "]+"
 
 
 def _words(text: Column) -> Column:

@@ -447,3 +447,12 @@ def test_pipeline(spark):
         if any(tuple(w[k:k + 10]) in wins for k in range(len(w) - 9)):
             keep.discard(i)
     assert {r.doc_id for r in out} == keep
+
+
+def test_decontamination_separators_are_looked_up_one_by_one(spark):
+    """Every ASCII character but 0-9, a-z, A-Z parts words; no ranges or intersections, which cost three times the time."""
+    assert "&&" not in decontaminate.SEPARATOR and "-" not in decontaminate.SEPARATOR
+    codes = [*range(0, 0x300), 0x2028, 0x1F600, 0x10FFFF]
+    rows = spark.createDataFrame([(c, f"a{chr(c)}b") for c in codes], "c int, text string")
+    got = {r.c: list(r.w) for r in rows.select("c", decontaminate._words(F.col("text")).alias("w")).collect()}
+    assert got == {c: re.findall(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+", f"a{chr(c)}b") for c in codes}
